@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, packing, simhash, suffix_dedup, token_files
+from . import bpe, exact_dedup, language, licenses, media, mixing, packing, simhash, suffix_dedup, token_files, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_media_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_round_trip(_documents(spark, sf_dir))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
@@ -23,10 +27,18 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(files)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf_dir))
+
+
 def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_documents(spark, sf_dir))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_documents(spark, sf_dir))
 
@@ -39,8 +51,24 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(_documents(spark, sf_dir), keep="max")
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_source_mix, op3_token_files, op5_simhash_groups, op7_suffix_dedup, op8_best_fit_packing, op9_exact_dedup)
+    f.__name__: f
+    for f in (
+        op1_media_round_trip,
+        op2_source_mix,
+        op3_token_files,
+        op4_license_scan,
+        op5_simhash_groups,
+        op6_toxicity,
+        op7_suffix_dedup,
+        op8_best_fit_packing,
+        op9_exact_dedup,
+        op10_language,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -65,6 +93,7 @@ SELECT doc_id, size, source_size, target,
        (whole * size + least(size, greatest(0, budget - whole * source_size - before)))::BIGINT AS taken
 FROM p
 """,
+    "op4_license_scan": licenses.oracle_sql(),
     "op9_exact_dedup": """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
