@@ -83,7 +83,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     stand for themselves.  An empty table gives none; other columns are not read.
     """
     rows = template_rows(templates)
-    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    low, high = threshold / (2 - threshold) - 1e-9, (2 - threshold) / threshold + 1e-9
     least, most = min(len(g) for _, g in rows) * low, max(len(g) for _, g in rows) * high
     known = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(len(g)).alias("m"), F.array(*map(F.lit, g)).alias("grams")) for name, g in rows])
     signals = F.array(*map(F.lit, signal_bigrams(rows, threshold)))
