@@ -114,6 +114,11 @@ def popcount_cells(fp: np.ndarray) -> np.ndarray:
     return out
 
 
+def bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which 64-bit values differ; of signed values numpy would count the bits of the magnitude."""
+    return np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64))
+
+
 def linked_in_cell(fp: np.ndarray, distance: int) -> np.ndarray:
     """Row pairs that join all that is connected by at most ``distance`` bits within one cell: a spanning forest.
 
@@ -124,7 +129,7 @@ def linked_in_cell(fp: np.ndarray, distance: int) -> np.ndarray:
     root = np.arange(n)
     edges = []
     for i in range(n - 1):
-        near = np.flatnonzero(np.bitwise_count(fp[i + 1 :] ^ fp[i]) <= distance) + i + 1
+        near = np.flatnonzero(bits_apart(fp[i + 1 :], fp[i : i + 1]) <= distance) + i + 1
         if len(near):
             roots, at = np.unique(root[near], return_index=True)
             other = roots != root[i]
@@ -179,7 +184,7 @@ def _pairs(cell: np.ndarray, fp: np.ndarray, distance: int) -> pa.RecordBatch:
     left, right = [], []
     small = np.repeat(sizes <= 16, sizes)
     for shift in range(1, min(16, int(sizes.max()))):
-        same = np.flatnonzero((cell[shift:] == cell[:-shift]) & small[shift:] & (np.bitwise_count(fp[shift:] ^ fp[:-shift]) <= distance))
+        same = np.flatnonzero((cell[shift:] == cell[:-shift]) & small[shift:] & (bits_apart(fp[shift:], fp[:-shift]) <= distance))
         left.append(fp[same])
         right.append(fp[same + shift])
     for a, n in zip(start[sizes > 16], sizes[sizes > 16], strict=True):
