@@ -126,7 +126,7 @@ class ToxicityModel:
 def _features(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Names of all features, and (text, feature, count of distinct words) wherever a text has one."""
     vocabulary: dict[str, int] = {}
-    seen = [np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in distinct_words(t)), np.int64) for t in texts]
+    seen = [np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in sorted(distinct_words(t))), np.int64) for t in texts]
     names: dict[str, int] = {}
     each = [[names.setdefault(f, len(names)) for f in word_features(w)] for w in vocabulary]
     sizes = np.array([len(e) for e in each], np.int64)
