@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Keys that may not travel, verdicts of a ballot, classes of severe errors.
 TRANSPORT_KEYS = ["seed", "source", "provenance", "arm", "model", "run_id", "experiment_id", "legacy", "candidate"]
 VERDICTS = ["A", "B", "tie", "cannot-judge", "unjudged"]
-LEAKS = r"(?iU)\b(candidate|legacy|experiment|baseline|golden|seed(?:ed)?|model|gemini|run[-_ ]?id)\b"
+LEAKS = r"(?iU)\b(candidate|legacy|experiment|baseline|golden|seed(?:ed)?|model|run[-_ ]?id)\b"
 
 
 def checks(tests: dict[str, Column]) -> Column:
