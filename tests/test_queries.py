@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import lexloom.plans.more_queries  # noqa: F401  (registers further queries)
+import lexloom.plans.record_queries  # noqa: F401  (registers further queries)
 from lexloom.plans.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
