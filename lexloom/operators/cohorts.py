@@ -36,7 +36,7 @@ def quota_draw(rows: DataFrame, key: str, cell: str, quotas: dict[str, int], fla
     score = sum((F.when(F.col(f), w).otherwise(0) for f, w in flags.items()), F.lit(0))
     own = Window.partitionBy(cell).orderBy(score.desc(), draw_key(seed, F.col(key)), key)
     most = F.try_element_at(F.create_map(*[F.lit(v) for kv in quotas.items() for v in kv]), F.col(cell))
-    return rows.withColumn("_n", F.row_number().over(own)).where(F.col("_n") <= most).select(key, cell)
+    return rows.withColumn("_n", F.row_number().over(own)).where(F.col("_n") <= max(quotas.values())).where(F.col("_n") <= most).select(key, cell)
 
 
 def same_word_elsewhere(rows: DataFrame, word: str, pos: str) -> DataFrame:

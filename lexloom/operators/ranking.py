@@ -20,8 +20,11 @@ def lookup(table: dict, key: Column, default) -> Column:
 
 
 def word_frequency(words: DataFrame, scope: str, word: str) -> DataFrame:
-    """``scope, word, n, zipf``: occurrences and log10 of them per thousand million."""
-    counts = words.groupBy(scope, word).agg(F.count(F.lit(1)).alias("n"))
+    """``scope, word, n, zipf``: occurrences and log10 of them per thousand million.
+
+    The text is read once: counts, of which totals are made, are checkpointed.
+    """
+    counts = cut(words.groupBy(scope, word).agg(F.count(F.lit(1)).alias("n")))
     totals = counts.groupBy(F.col(scope).alias("_s")).agg(F.sum("n").alias("_all"))
     zipf = F.round(F.log10(F.col("n") / F.col("_all") * 1e9), 6)
     return counts.join(totals, F.col(scope) == F.col("_s")).select(scope, word, "n", zipf.alias("zipf"))
@@ -34,7 +37,13 @@ def latest_per_key(rows: DataFrame, keys: list[str], line: str, *ties: str) -> D
 
 
 def dense_rank_in_scope(rows: DataFrame, scope: str, value: str, into: str = "rank") -> DataFrame:
-    return rows.withColumn(into, F.dense_rank().over(Window.partitionBy(scope).orderBy(F.col(value).desc())))
+    """Dense rank of a value in its scope, highest first.
+
+    Ranked are the distinct values, which map-side aggregation leaves few of; rows take theirs by a join.
+    """
+    values = rows.select(F.col(scope).alias("_s"), F.col(value).alias("_v")).distinct()
+    ranks = values.withColumn(into, F.dense_rank().over(Window.partitionBy("_s").orderBy(F.col("_v").desc())))
+    return rows.join(ranks, F.col(scope).eqNullSafe(F.col("_s")) & F.col(value).eqNullSafe(F.col("_v"))).drop("_s", "_v")
 
 
 def global_position(rows: DataFrame, order: list[Column], into: str) -> DataFrame:

@@ -31,10 +31,13 @@ def allocate(sizes: DataFrame, cell: str, size: str, total: int, floor: int = 2)
     return told.select(cell, size, F.least(quota, F.col(size)).cast("long").alias("quota"))
 
 
-def stratified(rows: DataFrame, quotas: DataFrame, cell: str, key: str, seed: str) -> DataFrame:
-    """The first ``quota`` rows of each cell in the order of their draw keys."""
+def stratified(rows: DataFrame, quotas: DataFrame, cell: str, key: str, seed: str, most: int) -> DataFrame:
+    """The first ``quota`` rows of each cell in the order of their draw keys.
+
+    ``most`` bounds every quota; with it Spark keeps only so many rows of a cell on each side of the shuffle.
+    """
     own = Window.partitionBy(cell).orderBy(draw_key(seed, F.col(key)), key)
-    told = rows.withColumn("_n", F.row_number().over(own))
+    told = rows.withColumn("_n", F.row_number().over(own)).where(F.col("_n") <= most)
     q = quotas.select(F.col(cell).alias("_c"), "quota")
     return told.join(q, F.col(cell) == F.col("_c")).where(F.col("_n") <= F.col("quota")).drop("_n", "_c", "quota")
 

@@ -452,7 +452,7 @@ def stratified_allocation(spark, sf):
 @query(_ALLOC_SQL + ", r AS (SELECT doc_id, lang || '/' || source AS cell, row_number() OVER (PARTITION BY lang, source ORDER BY md5('pick:' || doc_id), doc_id) AS n FROM documents) SELECT doc_id, cell FROM r JOIN q USING (cell) WHERE n <= quota")
 def stratified_sample(spark, sf):
     d, quotas = _cells(spark, sf)
-    return sampling.stratified(d.select("doc_id", "cell"), quotas, "cell", "doc_id", "pick")
+    return sampling.stratified(d.select("doc_id", "cell"), quotas, "cell", "doc_id", "pick", 400)
 
 
 @query("SELECT lang || '/' || source AS cell, min(doc_id) AS doc_id FROM documents GROUP BY 1")

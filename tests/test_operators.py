@@ -71,7 +71,7 @@ def test_allocation_sums_and_takes_small_cells_whole(spark):
 def test_sample_is_the_same_each_time_and_another_with_another_seed(spark):
     df = spark.range(200).select("id", F.lit("x").alias("cell"))
     quota = spark.createDataFrame([("x", 20)], "cell string, quota long")
-    draw = lambda seed, n: [r.id for r in sampling.stratified(df.repartition(n), quota, "cell", "id", seed).orderBy("id").collect()]
+    draw = lambda seed, n: [r.id for r in sampling.stratified(df.repartition(n), quota, "cell", "id", seed, 20).orderBy("id").collect()]
     assert draw("s", 1) == draw("s", 7) and len(draw("s", 3)) == 20 and draw("s", 1) != draw("t", 1)
 
 
