@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .sampling import bounded_sample, held_out
 from .simhash import slices
 from .shared import text_column
+from .shipping import ship
 
 BUCKETS = 1 << 16
 #: Labelled rows that the classifier is fitted on, at most.
@@ -99,6 +100,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """
     from pyspark.sql.types import StringType
 
+    ship(docs.sparkSession)
     model = train(docs.where(~held_out(id_col)).withColumn(lang_col, F.col(lang_col).cast(StringType())), id_col, text_col, lang_col, most)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

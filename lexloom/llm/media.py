@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import staged, text_column
+from .shipping import ship
 from .simhash import slices
 
 UNIT = 576
@@ -128,4 +129,5 @@ def media_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Null text is empty and stored as 576 bytes of 255.  Each row stands for itself, also where ids repeat or
     are null; equal texts give equal values.  An empty table gives none; other columns are not read.
     """
+    ship(docs.sparkSession)
     return media_features(staged(media_table(docs, id_col, text_col), "media"), id_col)

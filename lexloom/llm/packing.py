@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encoder
 from .shared import staged, text_column
+from .shipping import ship
 
 CAPACITY = 2048
 #: Steps of the swap search; each serves all bins of two patterns.
@@ -210,6 +211,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str
     that many documents share is no hot key: ranks are the task's own count plus its base, a prefix sum
     over tasks.
     """
+    ship(docs.sparkSession)
     pieces = staged(token_pieces(docs, tokenizer, capacity, id_col, text_col, end_id), "pack-pieces")
     tallies = pieces.groupBy("length", "shard").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r.length: r.n for r in tallies.groupBy("length").agg(F.sum("n").alias("n")).collect()}

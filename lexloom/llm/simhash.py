@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import staged, text_column
+from .shipping import ship
 
 SEED = 42
 #: Texts hashed at once, in bytes: a worker holds some ten times as much.
@@ -205,6 +206,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows that repeat an id are nodes by their fingerprints; a null id is never the smallest unless a
     component has no other (then null).  An empty table gives none.  Other columns are not read.
     """
+    ship(docs.sparkSession)
     prints = staged(fingerprints(docs, id_col, text_col, words), "simhash-prints")
     nodes = prints.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(links(prints, distance))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encoder
 from .shared import fresh_path, map_file, staged, text_column, write_file
+from .shipping import ship
 
 #: Documents handed to the encoder at once: what a worker holds besides its shard's ids.
 SLICE = 256
@@ -46,6 +47,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", t
     are not read.
     """
     spark = docs.sparkSession
+    ship(spark)
     path = path or fresh_path(spark, "token-files")
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long")).alias("id"), text_column(text_col).alias("text"))
     ranged = rows.repartitionByRange(partitions, "id") if partitions else rows.repartitionByRange("id")

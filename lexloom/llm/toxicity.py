@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .sampling import bounded_sample, held_out
 from .shared import text_column
+from .shipping import ship
 
 #: Labelled rows that the model is fitted on, at most.
 TRAIN_ROWS = 6_000
@@ -233,6 +234,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     stands for itself, also where ids repeat or are null.  With no labels, or of one kind only, every text
     has the share of toxic labels as its score.  An empty table gives none; other columns are not read.
     """
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, label_col, most))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,6 +250,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.5, most: int = TRAIN_ROWS) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more; its own columns and no others."""
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, label_col, most))
 
     @F.pandas_udf("boolean")
