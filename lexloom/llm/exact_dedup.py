@@ -67,8 +67,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows that repeat the winning id and text collapse into one of them.
     """
-    groups = content_groups(docs, id_col, text_col, keep, normalise).select("text_sha256", "keep_id").withColumnsRenamed({"text_sha256": "_lx_sha_k", "keep_id": "_lx_id_k"})
-    told = docs.withColumn("_lx_sha", F.sha2(normalise(text_column(text_col)), 256))
-    on = (F.col("_lx_sha") == F.col("_lx_sha_k")) & F.col(id_col).eqNullSafe(F.col("_lx_id_k"))
-    kept = told.join(groups, on, "left_semi")
-    return kept.dropDuplicates([id_col, "_lx_sha"]).select(*docs.columns)
+    # One plain key for both steps, so that the texts are dealt out once.
+    tag = lambda sha, i: F.sha2(F.concat(sha, F.lit(":"), F.coalesce(F.col(i).cast("string"), F.lit("null"))), 256)
+    groups = content_groups(docs, id_col, text_col, keep, normalise)
+    stays = groups.select(tag(F.col("text_sha256"), "keep_id").alias("_lx_stays"))
+    told = docs.withColumn("_lx_tag", tag(F.sha2(normalise(text_column(text_col)), 256), id_col))
+    kept = told.join(stays, F.col("_lx_tag") == F.col("_lx_stays"), "left_semi")
+    return kept.dropDuplicates(["_lx_tag"]).select(*docs.columns)
