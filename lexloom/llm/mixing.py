@@ -45,21 +45,26 @@ def source_targets(sizes: DataFrame, epochs: int = 3, cycle: int = 3) -> DataFra
     return per.select("_source", "source_size", "n_docs", target.alias("target"), F.floor(target + 0.5).cast("long").alias("budget"))
 
 
-def _placed(rows: DataFrame, targets: DataFrame, *carried: str) -> DataFrame:
-    """``rows`` (_id, _source, _size, _key and what is ``carried``) with their source's figures and ``_taken``."""
+def _placed(rows: DataFrame, sizes: DataFrame, targets: DataFrame, *carried: str) -> DataFrame:
+    """``rows`` (_id, _source, _size, _key and what is ``carried``) with their source's figures and ``_taken``.
+
+    ``sizes`` are the same rows without what is carried, as staged: sums of ranges need no text.
+    """
     place = F.conv(F.substring("_key", 1, 12), 16, 10).cast("double") / float(16**12)
     ranges = F.ceil(F.col("n_docs") / BUCKET_ROWS)
-    figures = targets.withColumnRenamed("_source", "_ts")
+    # A plain key for sources, null ones too, so that the join and the window share one dealing of the rows.
+    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))
+    figures = targets.withColumn("_ts", key("_source")).drop("_source")
 
-    def dealt(*columns: str) -> DataFrame:
-        chosen = rows.select("_id", "_source", "_size", "_key", *columns).join(figures, F.col("_source").eqNullSafe(F.col("_ts")))
+    def dealt(some: DataFrame, *columns: str) -> DataFrame:
+        chosen = some.select("_id", key("_source").alias("_s"), "_size", "_key", *columns).join(figures, F.col("_s") == F.col("_ts"))
         return chosen.withColumn("_range", F.floor(place * ranges).cast("long")).drop("_ts", "n_docs")
 
-    sums = dealt().groupBy("_source", "_range").agg(F.sum("_size").alias("_sum"))
-    over = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select(F.col("_source").alias("_bs"), F.col("_range").alias("_br"), F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_base"))
-    joined = dealt(*carried).join(bases, F.col("_source").eqNullSafe(F.col("_bs")) & (F.col("_range") == F.col("_br")))
-    inner = Window.partitionBy("_source", "_range").orderBy("_key", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt(sizes).groupBy("_s", "_range").agg(F.sum("_size").alias("_sum"))
+    over = Window.partitionBy("_s").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select(F.col("_s").alias("_bs"), F.col("_range").alias("_br"), F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_base"))
+    joined = dealt(rows, *carried).join(bases, (F.col("_s") == F.col("_bs")) & (F.col("_range") == F.col("_br")))
+    inner = Window.partitionBy("_s", "_range").orderBy("_key", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
     placed = joined.withColumn("_before", F.col("_base") + F.coalesce(F.sum("_size").over(inner), F.lit(0)))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     left = F.col("budget") - whole * F.col("source_size") - F.col("_before")
@@ -86,7 +91,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     sizes = staged(_keyed(docs, id_col, text_col, source_col, seed), "mix-sizes")
     targets = staged(source_targets(sizes, epochs, cycle), "mix-targets")
-    placed = _placed(sizes, targets)
+    placed = _placed(sizes, sizes, targets)
     return placed.select(F.col("_id").alias(id_col), F.col("_size").alias("size"), "source_size", "target", F.col("_taken").alias("taken"))
 
 
@@ -97,9 +102,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``n_chars``, where there is such a column, is theirs).  A document of which the mix takes nothing is
     absent; one without words, which adds nothing to any budget, stays once.
     """
-    sizes = staged(_keyed(docs, id_col, text_col, source_col, seed).select("_source", "_size"), "mix-sizes")
+    sizes = staged(_keyed(docs, id_col, text_col, source_col, seed), "mix-sizes")
     targets = staged(source_targets(sizes, epochs, cycle), "mix-targets")
-    placed = _placed(_keyed(docs, id_col, text_col, source_col, seed, F.struct("*").alias("_row")), targets, "_row")
+    placed = _placed(_keyed(docs, id_col, text_col, source_col, seed, F.struct("*").alias("_row")), sizes, targets, "_row")
     size, taken, zero = F.col("_size"), F.col("_taken"), F.lit(0).cast("long")
     whole = F.array_repeat(size, F.when(size > 0, F.floor(taken / size)).otherwise(1).cast("int"))
     parts = F.when((size > 0) & (taken % size > 0), F.concat(whole, F.array(taken % size))).otherwise(whole)
