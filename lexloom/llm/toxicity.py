@@ -125,25 +125,44 @@ class ToxicityModel:
 
 
 def _features(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Names of all features, and (text, feature, count of distinct words) wherever a text has one."""
+    """Names of all features, and (text, feature, count of distinct words) wherever a text has a common one."""
     vocabulary: dict[str, int] = {}
     seen = [np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in sorted(distinct_words(t))), np.int64) for t in texts]
     names: dict[str, int] = {}
     each = [[names.setdefault(f, len(names)) for f in word_features(w)] for w in vocabulary]
     sizes = np.array([len(e) for e in each], np.int64)
     flat, first = np.array([f for e in each for f in e], np.int64), np.cumsum(sizes) - sizes
-    words, of = np.concatenate(seen), np.repeat(np.arange(len(texts)), [len(x) for x in seen])
-    n = sizes[words]
-    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[words], n)
-    key, count = np.unique(np.repeat(of, n) * len(names) + flat[place], return_counts=True)
-    return list(names), key // max(1, len(names)), key % max(1, len(names)), count.astype(float)
+    spread, parts = np.zeros(len(names), np.int64), []
+    for a in range(0, len(texts), 250):  # some texts at a time, so that the repeated features stay small
+        own = seen[a : a + 250]
+        words, of = np.concatenate(own), np.repeat(np.arange(a, a + len(own)), [len(x) for x in own])
+        n = sizes[words]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[words], n)
+        key, count = np.unique(np.repeat(of, n) * len(names) + flat[place], return_counts=True)
+        col = (key % max(1, len(names))).astype(np.int32)
+        spread += np.bincount(col, minlength=len(names))
+        parts.append(((key // max(1, len(names))).astype(np.int32), col, count.astype(np.float32)))
+    row, col, count = (np.concatenate(c) for c in zip(*parts, strict=True))
+    common = spread[col] >= LEAST_TEXTS
+    return list(names), row[common], col[common], count[common]
 
 
 def fit(texts: list[str], labels: np.ndarray, steps: int = 200) -> ToxicityModel:
-    """Fit voters, label model and classifier on a bounded sample of labelled texts."""
+    """Fit voters, label model and classifier on three quarters of a bounded sample of labelled texts.
+
+    The odds are calibrated on the last quarter, where forms that the fit has not seen occur as they will elsewhere.
+    """
     if not texts or labels.min() == labels.max():
         share = float(np.clip(labels.mean() if len(texts) else 0.01, 1e-3, 1 - 1e-3))
         return ToxicityModel(bias=float(np.log(share / (1 - share))))
+    apart = np.arange(len(texts)) % 4 == 3
+    if min(labels[apart].sum(), (1 - labels[apart]).sum()) >= LEAST_TEXTS and min(labels[~apart].sum(), (1 - labels[~apart]).sum()) >= LEAST_TEXTS:
+        fitted, judged = ([t for t, x in zip(texts, apart, strict=True) if x == which] for which in (False, True))
+        return _calibrated(_fit(fitted, labels[~apart], steps), judged, labels[apart])
+    return _calibrated(_fit(texts, labels, steps), texts, labels)
+
+
+def _fit(texts: list[str], labels: np.ndarray, steps: int) -> ToxicityModel:
     names, row, col, val = _features(texts)
     in_toxic = np.bincount(col, labels[row], minlength=len(names))
     in_clean = np.bincount(col, 1 - labels[row], minlength=len(names))
@@ -185,26 +204,30 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = 200) -> ToxicityModel
         v = np.maximum(0, v - 0.3 * (beyond.T @ off + v) / (0.25 * beyond.sum(axis=0) + 20))  # a pattern never excuses
         b -= 0.3 * off.sum() / (0.25 * len(texts))
     keep = np.flatnonzero(w)
-    model = ToxicityModel(float(b), {names[common[i]]: float(w[i]) for i in keep}, dict(zip(PATTERNS, v.tolist(), strict=True)))
-    return _calibrated(model, texts, labels)
+    return ToxicityModel(float(b), {names[common[i]]: float(w[i]) for i in keep}, dict(zip(PATTERNS, v.tolist(), strict=True)))
 
 
 def _calibrated(model: ToxicityModel, texts: list[str], labels: np.ndarray) -> ToxicityModel:
-    """Scale and shift the odds so that they are those of the labels (with one row of doubt on each side)."""
+    """Scale and shift the odds so that they are those of the labels (with one row of doubt on each side).
+
+    Both classes weigh the same in all, so a rare class is not given up for the common one.
+    """
     odds = np.array([model.odds(t) for t in texts])
     toxic, clean = labels.sum(), len(labels) - labels.sum()
     aim = np.where(labels == 1, (toxic + 1) / (toxic + 2), 1 / (clean + 2))
     middle, spread = float(np.median(odds)), float(odds.std()) + 1e-9
     x = np.stack([(odds - middle) / spread, np.ones(len(odds))], axis=1)
 
+    weight = np.where(labels == 1, clean / toxic, 1.0)
+
     def loss(t: np.ndarray) -> float:
         z = x @ t
-        return float((np.logaddexp(0, z) - aim * z).sum() + 1e-3 * (t @ t))
+        return float((weight * (np.logaddexp(0, z) - aim * z)).sum() + 1e-3 * (t @ t))
 
     t, now = np.array([1.0, 0.0]), loss(np.array([1.0, 0.0]))
     for _ in range(50):  # Newton steps, halved until they help
         p = 1 / (1 + np.exp(-np.clip(x @ t, -40, 40)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 2e-3 * np.eye(2), x.T @ (p - aim) + 2e-3 * t)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + 2e-3 * np.eye(2), x.T @ (weight * (p - aim)) + 2e-3 * t)
         size = 1.0
         while size > 1e-6 and (then := loss(t - size * step)) > now:
             size /= 2
