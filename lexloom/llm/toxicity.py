@@ -32,7 +32,7 @@ imbécil estúpido basura asqueroso patético inútil escoria payaso""".split()
 PATTERNS = {
     "shouting": ("", re.compile(r"[A-ZÀ-Þ]{2,}(?:\W+[A-ZÀ-Þ]{2,}){4}")),
     "bangs": ("", re.compile(r"[!?]{3,}")),
-    "address": ("you", re.compile(r"\b[Yy]ou(?:'re| are)\b.{0,20}\b(?:" + "|".join(LEXICON[:15]) + r")\b", re.S)),
+    "address": ("ou", re.compile(r"\b[Yy]ou(?:'re| are)\b.{0,20}\b(?:" + "|".join(LEXICON[:15]) + r")\b", re.S)),
     "starred": ("**", re.compile(r"\w\*{2,}")),
 }
 
