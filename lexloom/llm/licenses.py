@@ -69,7 +69,7 @@ def signal_bigrams(rows: list[tuple[str, list[str]]], threshold: float) -> list[
     return sorted(out)
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, templates: dict[str, list[str]] = TEMPLATES, windows: bool = False) -> DataFrame:
     """One row a document: id, ``license`` (null if none), ``dice`` of its best match (0.0 if none), ``n_matches``.
 
     Units are the lines and the paragraphs (runs of lines without an empty one) of the whole text.  A unit is
@@ -77,6 +77,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     against each template's: ``2 * shared / (unit + template)``.  A unit matches a template from ``threshold``
     on; ``n_matches`` counts distinct matching units.  The best is the highest coefficient, then the first name.
 
+    With ``windows``, what stands in no such unit is sought in windows of words: of each paragraph that does not match, less its
+    lines that do, the windows of a template's admissible size that begin and end with one of its bigrams.  Of
+    windows that overlap only the best counts, as a further unit.
+
     Only units whose number of bigrams lies between the bounds of some template, and which hold one of the
     signal bigrams, are ever compared, and then only with templates whose own bounds admit them.  Everything
     happens within a row: nothing is shuffled.  Null and empty texts have no units.  Rows that repeat an id
@@ -100,8 +104,6 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
         pairs = F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
         return F.array_distinct(pairs)
 
-    grams = F.filter(F.transform(units, grams_of), lambda g: F.size(g).between(F.lit(least), F.lit(most)) & F.arrays_overlap(g, signals))
-
     def best_of(g):
         n = F.size(g)
         fit = F.filter(known, lambda t: (n >= t["m"] * F.lit(low)) & (n <= t["m"] * F.lit(high)))
@@ -109,8 +111,56 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
         dice = F.transform(fit, lambda t: F.struct((-2.0 * F.size(F.array_intersect(g, t["grams"])) / (n + t["m"])).alias("dice"), t["name"].alias("name")))
         return F.array_min(F.filter(dice, lambda d: d["dice"] <= -threshold))
 
-    found = F.filter(F.transform(grams, best_of), lambda d: d.isNotNull())
-    told = docs.select(F.col(id_col), F.coalesce(found, F.array()).alias("_found")).withColumn("_best", F.array_min("_found"))
+    # Lambdas evaluate what they name again at each call; a value bound by another lambda is evaluated once.
+    let = lambda value, then: F.element_at(F.transform(F.array(value), then), 1)
+
+    def windows_of(run):
+        """Matching windows of a run of words that no better one overlaps."""
+
+        def of_template(t, pairs):
+            longest, need = F.floor(t["m"] * F.lit(high)).cast("int"), t["m"] * F.lit(low)
+
+            def from_start(i, at):
+                def scored(j):
+                    dice = lambda held: -2.0 * F.size(F.array_intersect(held, t["grams"])) / (F.size(held) + t["m"])
+                    return F.struct(let(F.array_distinct(F.slice(pairs, i, j - i + 1)), dice).alias("dice"), t["name"].alias("name"), i.alias("first"), j.alias("last"))
+
+                return F.array_min(F.transform(F.filter(at, lambda j: (j - i + 1 >= need) & (j - i < longest)), scored))
+
+            def matching(at):
+                starts = F.filter(at, lambda i: F.size(F.array_intersect(F.slice(pairs, i, longest), t["grams"])) >= need)
+                return F.filter(F.transform(starts, lambda i: from_start(i, at)), lambda w: w["dice"] <= -threshold)
+
+            return let(F.filter(F.sequence(F.lit(1), F.size(pairs)), lambda k: F.array_contains(t["grams"], F.element_at(pairs, k))), matching)
+
+        def of_pairs(words, pairs):
+            fit = F.filter(known, lambda t: F.size(F.array_intersect(pairs, t["grams"])) >= t["m"] * F.lit(low))
+            alone = lambda every: F.filter(every, lambda w: ~F.exists(every, lambda v: (v < w) & (v["first"] <= w["last"] + 1) & (w["first"] <= v["last"] + 1)))
+            told = let(F.flatten(F.transform(fit, lambda t: of_template(t, pairs))), alone)
+            return F.transform(told, lambda w: F.struct(w["dice"].alias("dice"), w["name"].alias("name"), F.array_join(F.slice(words, w["first"], w["last"] - w["first"] + 2), " ").alias("unit")))
+
+        def of_words(words):
+            pairs = F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+            return let(pairs, lambda p: of_pairs(words, p))
+
+        return let(F.split(run, " "), of_words)
+
+    with_grams = F.transform(units, lambda u: F.struct(u.alias("unit"), grams_of(u).alias("grams")))
+    signalled = F.coalesce(F.filter(with_grams, lambda x: F.arrays_overlap(x["grams"], signals)), F.array())
+    fitting = F.filter(F.col("_signalled"), lambda x: F.size(x["grams"]).between(F.lit(least), F.lit(most)))
+    whole = F.filter(F.transform(fitting, lambda x: F.struct(best_of(x["grams"]).alias("best"), x["unit"].alias("unit"))), lambda d: d["best"].isNotNull())
+    whole = F.transform(whole, lambda d: F.struct(d["best"]["dice"].alias("dice"), d["best"]["name"].alias("name"), d["unit"].alias("unit")))
+    tidy = lambda u: F.trim(F.regexp_replace(F.translate(u, "\n", " "), " +", " "))
+    is_whole = lambda u: F.exists(F.col("_whole"), lambda d: d["unit"] == tidy(u))
+    # A paragraph that matches goes; a line that does becomes an empty one, which ends a run.
+    others = F.filter(F.split(text, r"\n *\n"), lambda p: ~is_whole(p))
+    runs = F.flatten(F.transform(others, lambda p: F.split(F.array_join(F.transform(F.split(p, "\n"), lambda x: F.when(is_whole(x), F.lit("")).otherwise(x)), "\n"), r"\n *\n")))
+    runs = F.filter(F.transform(runs, tidy), lambda r: likely(r))
+    in_runs = F.when(F.size("_signalled") > 0, F.flatten(F.transform(F.array_distinct(runs), windows_of))).otherwise(F.slice(F.col("_whole"), F.lit(1), F.lit(0)))
+
+    told = docs.select(F.col(id_col), F.col(text_col), signalled.alias("_signalled")).withColumn("_whole", whole)
+    found = F.array_distinct(F.concat("_whole", in_runs)) if windows else F.col("_whole")
+    told = told.select(F.col(id_col), found.alias("_found")).withColumn("_best", F.array_min("_found"))
     return told.select(
         F.col(id_col),
         F.col("_best.name").alias("license"),

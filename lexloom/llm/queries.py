@@ -28,7 +28,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(_documents(spark, sf_dir))
+    return licenses.scan(_documents(spark, sf_dir), windows=True)
 
 
 def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
