@@ -1,9 +1,12 @@
-"""Best-fit packing of token pieces into fixed-length sequences, improved by swaps.
+"""Packing of token pieces into fixed-length sequences by swap-based local search.
 
 How pieces fit together depends on their lengths alone, so the search runs on the histogram of lengths
 (at most ``capacity`` rows): a bin is a pattern of lengths with a multiplicity, and every step of the
-search serves all bins of a pattern at once.  Its cost depends on the capacity, not on the corpus.
-Documents then take their places by rank within their length.
+search serves many bins of two patterns at once.  It starts from a cheap packing (next fit) and moves
+or exchanges pieces, one for one or two for one, between underfull bins; each step raises the squared
+fill, until bins are empty.  Best fit serves as a check: where bins above the lower bound are left, the
+search runs from its packing, too, and the fewer bins count.  Documents then take their places by rank
+within their length.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +28,10 @@ from .shared import staged, text_column
 from .shipping import ship
 
 CAPACITY = 2048
-#: Steps of the swap search; each serves all bins of two patterns.
-SWAP_STEPS = 400
-#: Receiving patterns looked at for one donor in a step.
-SWAP_RECEIVERS = 256
+#: Pieces that the search packs at once where there are more: what it costs on the driver grows with it.
+COARSE = 32_768
+#: Rows of the broadcast table, 48 bytes each, at most.
+PLACEMENTS = 1_000_000
 
 Pattern = tuple[int, ...]
 
@@ -90,73 +94,216 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def _exchange(donor: Pattern, receiver: Pattern, capacity: int) -> tuple[Pattern, Pattern, int] | None:
-    """The move, one-for-one or two-for-one exchange that raises the squared fill of both bins most.
+def next_fit(counts: dict[int, int], capacity: int) -> dict[Pattern, int]:
+    """A cheap start: next fit over the lengths in a mixed order, all pieces of a length at a time.
 
-    What it gains is ``2 * gain * (fill(receiver) - fill(donor) + gain)`` for ``gain`` more tokens in the
-    receiver; the donor is never the fuller one, so any gain is an improvement.
+    New bins take pieces of one length up to half their room; one piece of the next length that fits goes into
+    each bin that is open.  At most some two patterns a length come out.
     """
-    gap = capacity - sum(receiver)
-    give = sorted(set(donor), reverse=True)
-    pairs = sorted({tuple(sorted((a, b), reverse=True)) for i, a in enumerate(donor) for b in donor[i + 1 :]}, key=sum, reverse=True)
-    back: list[Pattern] = [(), *((x,) for x in sorted(set(receiver)))]
-    back_pairs = sorted({tuple(sorted((a, b), reverse=True)) for i, a in enumerate(receiver) for b in receiver[i + 1 :]}, key=sum)
-    best, found = 0, None
-    for out in [(x,) for x in give] + pairs:
-        for into in back + (back_pairs if len(out) == 1 else []):
-            gain = sum(out) - sum(into)
-            if best < gain <= gap:
-                best, found = gain, (out, into)
-    if not found:
+    done: dict[Pattern, int] = defaultdict(int)
+    open_, times, gap = (), 0, 0
+    for length in sorted((n for n in counts if counts[n] > 0), key=lambda n: (n * 0x9E3779B1 % 2**32, n)):
+        left = counts[length]
+        while left:
+            if times and gap >= length:
+                used = min(left, times)
+                more = tuple(sorted((*open_, length), reverse=True))
+                left, rest = left - used, times - used
+                if rest > used:
+                    done[more], times = done[more] + used, rest
+                else:
+                    done[open_] += rest
+                    open_, times, gap = more, used, gap - length
+                continue
+            done[open_] += times
+            each = max(1, capacity // 2 // length)
+            if left < each:
+                open_, times, left = (length,) * left, 1, 0
+            else:
+                open_, times, left = (length,) * each, left // each, left % each
+            gap = capacity - sum(open_)
+    done[open_] += times
+    return {p: n for p, n in done.items() if p and n}
+
+
+class _Bins:
+    """Underfull bins by pattern, found by the room they have and by the lengths they hold; full ones apart."""
+
+    def __init__(self, bins: dict[Pattern, int], capacity: int):
+        self.capacity, self.count = capacity, {}
+        self.gaps: list[int] = []
+        self.by_gap: dict[int, dict[Pattern, None]] = defaultdict(dict)
+        self.held: dict[int, list[int]] = defaultdict(list)  # of a length: the gaps of patterns that hold it
+        self.holders: dict[tuple[int, int], dict[Pattern, None]] = defaultdict(dict)
+        self.reach = np.zeros(capacity + 1, np.int64)  # of a length: the largest piece that can take its place
+        self.heap: list[tuple[int, Pattern]] = []
+        for pattern, n in sorted(bins.items()):
+            self.add(pattern, n)
+
+    def add(self, pattern: Pattern, n: int) -> None:
+        if not pattern or not n:
+            return
+        known = pattern in self.count
+        now = self.count[pattern] = self.count.get(pattern, 0) + n
+        gap = self.capacity - sum(pattern)
+        if not gap or known and now:
+            return
+        if not known:
+            if not self.by_gap[gap]:
+                insort(self.gaps, gap)
+            self.by_gap[gap][pattern] = None
+            for length in dict.fromkeys(pattern):
+                if not self.holders[length, gap]:
+                    insort(self.held[length], gap)
+                    self.reach[length] = length + self.held[length][-1]
+                self.holders[length, gap][pattern] = None
+            heappush(self.heap, (-gap, pattern))
+            return
+        del self.count[pattern], self.by_gap[gap][pattern]
+        if not self.by_gap[gap]:
+            self.gaps.pop(bisect_left(self.gaps, gap))
+        for length in dict.fromkeys(pattern):
+            del self.holders[length, gap][pattern]
+            if not self.holders[length, gap]:
+                del self.holders[length, gap]
+                gaps = self.held[length]
+                gaps.pop(bisect_left(gaps, gap))
+                self.reach[length] = length + gaps[-1] if gaps else 0
+
+    def first(self, patterns, donor: Pattern):
+        """A receiver: another pattern than the donor's, or a second bin of it."""
+        return next((p for p in patterns if p != donor or self.count[p] > 1), None)
+
+    def with_room(self, size: int, least_fill: int, donor: Pattern):
+        """The fullest bin that a piece of ``size`` fits into."""
+        for at in range(bisect_left(self.gaps, size), len(self.gaps)):
+            if self.capacity - self.gaps[at] + size <= least_fill:
+                return None
+            if (found := self.first(self.by_gap[self.gaps[at]], donor)) is not None:
+                return found
         return None
 
-    def changed(bin_: Pattern, less: Pattern, more: Pattern) -> Pattern:
-        items = list(bin_)
-        for x in less:
-            items.remove(x)
-        return tuple(sorted([*items, *more], reverse=True))
+    def in_exchange(self, size: int, least_fill: int, donor: Pattern):
+        """A bin and the smallest piece in it whose place pieces of ``size`` together can take."""
+        for length in np.flatnonzero(self.reach[:size] >= size).tolist():
+            gaps, gain = self.held[length], size - length
+            for at in range(bisect_left(gaps, gain), len(gaps)):
+                if self.capacity - gaps[at] + gain <= least_fill:
+                    break
+                if (found := self.first(self.holders[length, gaps[at]], donor)) is not None:
+                    return found, length
+        return None
 
-    return changed(donor, *found), changed(receiver, found[1], found[0]), best
 
+def _pairs(pattern: Pattern) -> list[Pattern]:
+    """Distinct pairs of pieces, the largest first; a bin holds few distinct lengths (63 of 2,048 at most)."""
+    kinds = list(dict.fromkeys(pattern))
+    twice = [(a, a) for a in kinds if pattern.count(a) > 1]
+    return sorted([(a, b) for i, a in enumerate(kinds) for b in kinds[i + 1 :]] + twice, key=lambda p: (-sum(p), p))
 
-def swap_search(bins: dict[Pattern, int], capacity: int, steps: int = SWAP_STEPS) -> dict[Pattern, int]:
+
+def _without(pattern: Pattern, out: Pattern, into: Pattern) -> Pattern:
+    items = list(pattern)
+    for x in out:
+        items.remove(x)
+    return tuple(sorted([*items, *into], reverse=True))
+
+
+def _exchange(bins: _Bins, donor: Pattern, pairs_of) -> tuple[Pattern, Pattern, Pattern] | None:
+    """``receiver, out, back``: a move, or a one-for-one or two-for-one exchange, that raises the squared fill.
+
+    With ``gain`` more tokens in the receiver the squared fill rises by
+    ``2 * gain * (fill(receiver) - fill(donor) + gain)``.
+    """
+    fill, kinds = sum(donor), list(dict.fromkeys(donor))
+    for x in kinds:
+        if (found := bins.with_room(x, fill, donor)) is not None:
+            return found, (x,), ()
+    for x in kinds:
+        if (hit := bins.in_exchange(x, fill, donor)) is not None:
+            return hit[0], (x,), (hit[1],)
+    for pair in pairs_of(donor):
+        if (hit := bins.in_exchange(sum(pair), fill, donor)) is not None:
+            return hit[0], pair, (hit[1],)
+    for x in kinds:
+        for gap in bins.gaps:
+            for receiver in bins.by_gap[gap]:
+                if receiver == donor and bins.count[donor] < 2:
+                    continue
+                for pair in pairs_of(receiver):
+                    gain = x - sum(pair)
+                    if gain > gap:
+                        break
+                    if gain > 0 and bins.capacity - gap + gain > fill:
+                        return receiver, (x,), pair
+    return None
+
+
+def swap_search(bins: dict[Pattern, int], capacity: int) -> dict[Pattern, int]:
     """Exchange pieces between underfull bins while that raises the total squared fill; emptied bins go.
 
-    It ends when ``lower_bound`` shows that no fewer bins can do, no exchange helps, or ``steps`` are used.
+    The donor is always the emptiest bin that still has an exchange; each step serves as many bins as two
+    patterns have in common.  It ends when ``lower_bound`` shows that no fewer bins can do, or when no donor has
+    any exchange left: there is no limit of steps, receivers or pieces.  As each step raises the squared
+    fill, it does end.
     """
-    bins = dict(bins)
+    found, known = _Bins(bins, capacity), {}
+
+    def pairs_of(pattern: Pattern) -> list[Pattern]:
+        if pattern not in known:
+            known[pattern] = _pairs(pattern)
+        return known[pattern]
+
     counts: dict[int, int] = defaultdict(int)
     for pattern, n in bins.items():
         for length in pattern:
             counts[length] += n
     least, used = lower_bound(counts, capacity), sum(bins.values())
     stuck: set[Pattern] = set()
-    for _ in range(steps):
-        if used <= least:
-            break
-        loose = sorted((p for p in bins if sum(p) < capacity), key=lambda p: (sum(p), p))
-        donor = next((p for p in loose if p not in stuck), None)
-        if donor is None or len(loose) < 2 and bins[donor] < 2:
-            break
-        for receiver in loose[::-1][:SWAP_RECEIVERS]:
-            if receiver == donor and bins[donor] < 2 or len(donor) > 64 or len(receiver) > 64:
-                continue
-            if sum(receiver) < sum(donor):
-                continue
-            if (move := _exchange(donor, receiver, capacity)) is None:
-                continue
-            times = bins[donor] // 2 if receiver == donor else min(bins[donor], bins[receiver])
-            for pattern, change in ((donor, -times), (receiver, -times), (move[0], times), (move[1], times)):
-                bins[pattern] = bins.get(pattern, 0) + change
-            for pattern in {donor, receiver, *move[:2]}:
-                if not bins.get(pattern, 1):
-                    del bins[pattern]
-            used -= bins.pop((), 0)
-            stuck.discard(move[0])
-            break
-        else:
+    moved = True
+    while used > least:
+        while found.heap and (found.heap[0][1] in stuck or found.heap[0][1] not in found.count):
+            heappop(found.heap)
+        if not found.heap:
+            if not moved:
+                break
+            stuck, moved = set(), False  # what was stuck may have an exchange again
+            found.heap = [(sum(p) - capacity, p) for p in found.count if sum(p) < capacity]
+            heapify(found.heap)
+            continue
+        donor = found.heap[0][1]
+        hit = _exchange(found, donor, pairs_of)
+        if hit is None:
             stuck.add(donor)
-    return bins
+            continue
+        receiver, out, back = hit
+        times = found.count[donor] // 2 if receiver == donor else min(found.count[donor], found.count[receiver])
+        less, more = _without(donor, out, back), _without(receiver, back, out)
+        for pattern, change in ((donor, -times), (receiver, -times), (less, times), (more, times)):
+            found.add(pattern, change)
+        used, moved = used - (0 if less else times), True
+    return found.count
+
+
+def fewest_bins(counts: dict[int, int], capacity: int, coarse: int = COARSE) -> dict[Pattern, int]:
+    """Local search from a cheap packing, coarse to fine; where bins above the bound are left, from best fit, too.
+
+    Of very many pieces the search first packs some ``coarse`` of them, each standing for an equal number,
+    then what the division left over, and so on; exchanges among all bins end it.
+    """
+    left, bins = {length: n for length, n in counts.items() if n}, defaultdict(int)
+    while (total := sum(left.values())) > coarse:
+        each = -(-total // coarse)
+        for pattern, n in swap_search(next_fit({length: n // each for length, n in left.items()}, capacity), capacity).items():
+            bins[pattern] += n * each
+        left = {length: n % each for length, n in left.items() if n % each}
+    for pattern, n in next_fit(left, capacity).items():
+        bins[pattern] += n
+    best = swap_search(dict(bins), capacity)
+    if sum(best.values()) > lower_bound(counts, capacity):
+        other = swap_search(best_fit(counts, capacity), capacity)
+        best = min(best, other, key=lambda b: sum(b.values()))
+    return best
 
 
 def placements(bins: dict[Pattern, int]) -> np.ndarray:
@@ -200,14 +347,15 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_c
     return rows.mapInArrow(cut, ", ".join(f"{n} long" for n in _PIECES.names))
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, steps: int = SWAP_STEPS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
     """One row a piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     Null text is the empty text: one piece of the end id.  Rows that repeat an id are packed each for
     itself; a null id stays null.  An empty table gives no rows.  Other columns are not read.
 
     The histogram of lengths (at most ``capacity`` rows) is all that comes to the driver, and the table of
-    placements, whose size is bounded by lengths and patterns, all that goes out to the tasks.  A length
+    placements all that goes out to the tasks: one row a pattern and length, of which there are some ten
+    thousand at any size of the corpus (``PLACEMENTS`` is checked).  A length
     that many documents share is no hot key: ranks are the task's own count plus its base, a prefix sum
     over tasks.
     """
@@ -215,14 +363,18 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str
     pieces = staged(token_pieces(docs, tokenizer, capacity, id_col, text_col, end_id), "pack-pieces")
     tallies = pieces.groupBy("length", "shard").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r.length: r.n for r in tallies.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    table = placements(swap_search(best_fit(histogram, capacity), capacity, steps))
+    table = placements(fewest_bins(histogram, capacity))
+    if len(table) > PLACEMENTS:
+        raise ValueError(f"{len(table)} placements are too many to send to every task")
+    sent = docs.sparkSession.sparkContext.broadcast(table)
     before = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = tallies.select(F.col("length").alias("_l"), F.col("shard").alias("_s"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = pieces.join(bases, (F.col("length") == F.col("_l")) & (F.col("shard") == F.col("_s")))
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("base")).alias("place"))
-    keys = table[:, 0] * (1 << 44) + table[:, 1]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = sent.value
+        keys = table[:, 0] * (1 << 44) + table[:, 1]
         for batch in batches:
             length, rank = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 5))
             row = table[np.searchsorted(keys, length * (1 << 44) + rank, "right") - 1]

@@ -78,28 +78,63 @@ def test_packing_nothing(nothing):
     assert packing.pack(nothing, WORD).count() == 0
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_swaps_never_cost_bins_and_keep_all_pieces(seed):
+def held(bins, capacity):
+    out = defaultdict(int)
+    for pattern, n in bins.items():
+        assert 0 < sum(pattern) <= capacity and n > 0
+        for x in pattern:
+            out[x] += n
+    return dict(out)
+
+
+def squared(bins):
+    return sum(sum(p) ** 2 * n for p, n in bins.items())
+
+
+def lengths_of(seed):
     rng = np.random.default_rng(seed)
     lengths = rng.integers(1, 101, 400) if seed % 2 else rng.integers(20, 60, 300)
-    counts = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)), strict=True))
-    first = packing.best_fit(counts, 100)
+    return dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)), strict=True))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_exchanges_save_bins_and_keep_all_pieces(seed):
+    counts = lengths_of(seed)
+    first = packing.next_fit(counts, 100)
     then = packing.swap_search(first, 100)
-    for bins in (first, then):
-        held = defaultdict(int)
-        for pattern, n in bins.items():
-            assert sum(pattern) <= 100 and n > 0
-            for x in pattern:
-                held[x] += n
-        assert dict(held) == counts
-    assert packing.lower_bound(counts, 100) <= sum(then.values()) <= sum(first.values())
-
-
-def test_swaps_empty_a_bin_that_best_fit_leaves():
-    # Best fit gives {6,3}, {5,4}, ... with one bin too many; exchanges make it up.
-    counts = {6: 2, 5: 2, 4: 3, 3: 2, 2: 1}
-    first = packing.best_fit(counts, 10)
-    then = packing.swap_search(first, 10)
-    assert sum(then.values()) <= sum(first.values())
-    fill = lambda bins: sum(sum(p) ** 2 * n for p, n in bins.items())
-    assert fill(then) >= fill(first)
+    assert held(first, 100) == held(then, 100) == counts
+    assert packing.lower_bound(counts, 100) <= sum(then.values()) < sum(first.values()) and squared(then) > squared(first)
+    best = packing.fewest_bins(counts, 100)
+    assert held(best, 100) == counts and sum(best.values()) <= min(sum(then.values()), sum(packing.best_fit(counts, 100).values()))
+
+
+def test_exchanges_empty_bins_that_best_fit_leaves():
+    counts = lengths_of(0)
+    greedy = sum(packing.best_fit(counts, 100).values())
+    assert sum(packing.swap_search(packing.next_fit(counts, 100), 100).values()) < greedy
+    lengths = np.random.default_rng(0).integers(300, 900, 3000)
+    counts = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)), strict=True))
+    found = packing.fewest_bins(counts, 2048)
+    assert sum(found.values()) == packing.lower_bound(counts, 2048) < sum(packing.best_fit(counts, 2048).values())
+
+
+@pytest.mark.parametrize("bins", [{(60,): 1, (50, 30): 1, (40, 10): 1}, {(5, 4): 1, (6, 3): 1, (2,): 1}, {(7,): 2, (3,): 2}, {(6, 2): 1, (5, 3): 1, (4,): 1}])
+def test_search_ends_where_no_exchange_is_left(bins):
+    capacity = 100 if max(map(max, bins)) > 10 else 10
+    left = packing.swap_search(bins, capacity)
+    if sum(left.values()) == packing.lower_bound(held(bins, capacity), capacity):
+        return
+    one = lambda p: {(x,) for x in p}
+    two = lambda p: set(packing._pairs(p))
+    flat = [p for p, n in left.items() for _ in range(n)]
+    for i, a in enumerate(flat):
+        for b in flat[:i] + flat[i + 1 :]:
+            for out, back in [*((x, ()) for x in one(a)), *((x, y) for x in one(a) | two(a) for y in one(b)), *((x, y) for x in one(a) for y in two(b))]:
+                gain = sum(out) - sum(back)
+                assert not (0 < gain <= capacity - sum(b) and (sum(b) + gain) ** 2 + (sum(a) - gain) ** 2 > sum(a) ** 2 + sum(b) ** 2)
+
+
+def test_very_many_pieces_go_from_coarse_to_fine():
+    counts = {n: 50_000 + n for n in range(1, 101)}
+    found = packing.fewest_bins(counts, 100, coarse=5_000)
+    assert held(found, 100) == counts and sum(found.values()) <= 1.001 * packing.lower_bound(counts, 100)
