@@ -24,6 +24,8 @@ FRAME, HOP = 576, 288
 BANDS = (2, 12, 36, 96, 289)
 #: A peak is paired with so many peaks after it, at most so many frames later.
 FAN_OUT, REACH = 3, 16
+#: Frames transformed at once, so that a very long text needs little more than itself.
+CHUNK = 1024
 
 
 def wav_bytes(payload: bytes, rate: int = RATE) -> bytes:
@@ -44,13 +46,30 @@ def wav_samples(media: bytes) -> bytes:
         return r.readframes(r.getnframes())
 
 
-def stft(samples: np.ndarray) -> np.ndarray:
-    """Magnitudes, one row a frame (at least one: short input is padded with silence)."""
-    x = samples.astype(np.float64) - 128.0
+def stft(samples: np.ndarray, first: int = 0, frames: int | None = None) -> np.ndarray:
+    """Magnitudes of ``frames`` frames from ``first`` on (all there are), one row a frame.
+
+    There is one frame at least: short input is padded with silence.
+    """
+    every = max(0, len(samples) - FRAME) // HOP + 1
+    last = every if frames is None else min(every, first + frames)
+    x = samples[first * HOP : (last - 1) * HOP + FRAME].astype(np.float64) - 128.0
     if len(x) < FRAME:
         x = np.concatenate([x, np.zeros(FRAME - len(x))])
-    frames = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP]
-    return np.abs(np.fft.rfft(frames * np.hanning(FRAME), axis=1))
+    return np.abs(np.fft.rfft(np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP] * np.hanning(FRAME), axis=1))
+
+
+def _strongest(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each frame's strongest bin in each band and its magnitude, some frames at a time."""
+    every = max(0, len(samples) - FRAME) // HOP + 1
+    best, top = np.empty((every, len(BANDS) - 1), np.int64), np.empty((every, len(BANDS) - 1))
+    for at in range(0, every, CHUNK):
+        power = stft(samples, at, CHUNK)
+        for k, (lo, hi) in enumerate(zip(BANDS[:-1], BANDS[1:], strict=True)):
+            part = power[:, lo:hi]
+            own = part.argmax(axis=1)
+            best[at : at + len(part), k], top[at : at + len(part), k] = own + lo, part[np.arange(len(part)), own]
+    return best, top
 
 
 def peak_pairs(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,15 +78,13 @@ def peak_pairs(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     A frame's strongest bin in a band is a peak if it is no weaker than the strongest in the frames beside
     it.  A code holds the bins of both peaks and the frames between them: ``bin1 << 15 | bin2 << 5 | dt``.
     """
-    power = stft(samples)
+    best, every = _strongest(samples)
     at, bins = [], []
-    for lo, hi in zip(BANDS[:-1], BANDS[1:], strict=True):
-        part = power[:, lo:hi]
-        best = part.argmax(axis=1)
-        top = np.concatenate([[-1.0], part[np.arange(len(part)), best], [-1.0]])
+    for k in range(len(BANDS) - 1):
+        top = np.concatenate([[-1.0], every[:, k], [-1.0]])
         peak = np.flatnonzero((top[1:-1] >= top[:-2]) & (top[1:-1] >= top[2:]) & (top[1:-1] > 0))
         at.append(peak)
-        bins.append(best[peak] + lo)
+        bins.append(best[peak, k])
     time, freq = np.concatenate(at), np.concatenate(bins)
     order = np.lexsort((freq, time))
     time, freq = time[order], freq[order]

@@ -42,6 +42,46 @@ def test_peaks_find_a_tone():
     assert len(set(codes.tolist()) & set(again.tolist())) > 0 and later.min() >= 8
 
 
+def plain_pairs(samples):
+    """Peak pairs frame by frame, by a plain transform."""
+    x = [float(v) - 128 for v in samples] + [0.0] * max(0, media.FRAME - len(samples))
+    window = np.hanning(media.FRAME)
+    top = []
+    for f in range((len(x) - media.FRAME) // media.HOP + 1):
+        power = np.abs(np.fft.rfft(np.array(x[f * media.HOP : f * media.HOP + media.FRAME]) * window))
+        top.append([(int(np.argmax(power[lo:hi])) + lo, max(power[lo:hi])) for lo, hi in zip(media.BANDS, media.BANDS[1:])])
+    peaks = []
+    for f, bands in enumerate(top):
+        for k, (freq, high) in enumerate(bands):
+            beside = [top[g][k][1] for g in (f - 1, f + 1) if 0 <= g < len(top)]
+            if high > 0 and all(high >= b for b in beside):
+                peaks.append((f, freq))
+    peaks.sort()
+    return sorted((t, (a << 15) | (b << 5) | (u - t)) for i, (t, a) in enumerate(peaks) for u, b in peaks[i + 1 : i + 1 + media.FAN_OUT] if u - t <= media.REACH)
+
+
+def test_pairs_equal_a_plain_transform_in_any_chunks(monkeypatch):
+    rng = np.random.default_rng(1)
+    for n in (576, 577, 5760, 40_000):
+        samples = rng.integers(0, 256, n).astype(np.uint8)
+        want = plain_pairs(samples)
+        for chunk in (1024, 7, 1):
+            monkeypatch.setattr(media, "CHUNK", chunk)
+            times, codes = media.peak_pairs(samples)
+            assert list(zip(times.tolist(), codes.tolist())) == want
+
+
+def test_a_long_text_needs_little_memory():
+    import tracemalloc
+
+    samples = np.random.default_rng(2).integers(32, 127, 20_000_000).astype(np.uint8)
+    tracemalloc.start()
+    media.peak_pairs(samples)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * len(samples)
+
+
 def brute_scan(text, threshold):
     import re
 
