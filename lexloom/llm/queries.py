@@ -23,8 +23,7 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = token_files.write_token_files(_documents(spark, sf_dir), bpe.public_path("byte_bpe_50k.json"))
-    return token_files.read_token_files(files)
+    return token_files.read_token_files(spark, token_files.write_token_files(_documents(spark, sf_dir), bpe.public_path("byte_bpe_50k.json")))
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -6,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from lexloom.llm import bpe, packing, token_files
+from lexloom.llm import bpe, packing, shared, token_files
 
 BYTE, WORD = bpe.public_path("byte_bpe_50k.json"), bpe.public_path("word_bpe_49k.json")
 
@@ -33,20 +34,25 @@ def test_cache_is_bounded(monkeypatch):
     assert fast.encode(text).tolist() == slow(text) and len(fast.cache) <= 10
 
 
-def test_files_round_trip(messy, pairs):
+def test_files_round_trip(spark, messy, pairs):
     encode, start, want = library(BYTE), 0, []
-    for i, t in sorted(((-1 if i is None else i, t or "") for i, t in pairs)):
+    rows = [*pairs, (-1, "minus one"), (-(2**62), "far below")]
+    for i, t in sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode())):
         ids = [*encode(t), 0]
         want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
-    files = token_files.write_token_files(messy, BYTE, partitions=3)
-    assert files.dtype == "<u2" and files.shards.count() > 1
-    assert sorted(tuple(r) for r in token_files.read_token_files(files).collect()) == sorted(want)
-
-
-def test_no_files_from_nothing(nothing):
-    files = token_files.write_token_files(nothing, BYTE)
-    assert files.shards.count() == 0 and token_files.read_token_files(files).count() == 0
+    more = messy.select("doc_id", "text").union(spark.createDataFrame(rows[-2:], "doc_id long, text string"))
+    path = token_files.write_token_files(more, BYTE, partitions=3, file_bytes=2_000)
+    manifest = json.loads(shared.read_file(f"{path}/manifest.json"))
+    assert manifest["dtype"] == "<u2" and len(manifest["files"]) > 3 and manifest["n_tokens"] == start
+    got = [tuple(r) for r in token_files.read_token_files(spark, path).collect()]
+    assert sorted(got, key=lambda r: r[1]) == want
+
+
+def test_no_files_from_nothing(spark, nothing):
+    path = token_files.write_token_files(nothing, BYTE)
+    assert json.loads(shared.read_file(f"{path}/manifest.json"))["files"] == []
+    assert token_files.read_token_files(spark, path).count() == 0
 
 
 def test_packing_holds_every_piece_once(messy, pairs):
