@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sampling import bounded_sample, held_out
+from .sampling import bounded_by_class, held_out
 from .simhash import slices
 from .shared import text_column
 from .shipping import ship
@@ -58,7 +58,7 @@ class LanguageModel:
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = TRAIN_ROWS) -> LanguageModel:
-    """Fit on rows with a language: shares over all of them, grams over about ``most`` whole texts."""
+    """Fit on rows with a language: shares over all of them, grams over about ``most`` whole texts, as many of each."""
     rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), text_column(text_col).alias("text"), F.col(lang_col).alias("lang"))
     share = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
     langs = sorted(share)
@@ -77,7 +77,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             some = np.flatnonzero(tally[:BUCKETS])
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some), pa.array(tally[some])], names=["lang", "bucket", "n"])
 
-    sample = bounded_sample(rows, "id", most)
+    sample = bounded_by_class(rows, "id", "lang", share, most)
     counts = sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = np.zeros((BUCKETS, len(langs)))
     place = {lang: k for k, lang in enumerate(langs)}

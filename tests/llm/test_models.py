@@ -89,11 +89,123 @@ def test_toxicity_of_odd_texts(spark, messy, nothing):
     assert len({r.score for r in none}) == 1 and not any(r.predicted for r in none)
 
 
-def test_label_model_weighs_families_down():
-    rng = np.random.default_rng(0)
-    y = (rng.random(4000) < 0.3).astype(int)
-    good, twin = np.where(rng.random((2, 4000)) < 0.85, y, 0)
-    votes = np.stack([good, twin, twin, twin, (rng.random(4000) < 0.1)], axis=1).astype(float)
-    model = toxicity.LabelModel.fit(votes, y, trust=0.7)
-    assert model.weight[0] > 2 * model.weight[1] and abs(model.toxic_rate[0] - 0.85) < 0.05
-    assert model.toxic_rate[4] == pytest.approx(model.clean_rate[4], abs=0.03)
+def plain_em(votes, anchor, labels, size):
+    """The label model by dense matrices, in floating point."""
+    dense = lambda rows: np.array([[k in set(v.tolist()) for k in range(size)] for v in rows], float)
+    x, z = dense(votes), dense(anchor)
+    both, weight, prior = np.concatenate([x, z]), np.ones(size), None
+    p = np.concatenate([np.zeros(0), labels.astype(float)])
+    rows = z
+    for turn in range(-1, toxicity.ROUNDS):
+        t, n = p.sum(), len(rows)
+        a = np.clip((rows.T @ p + 0.05) / (t + 1), 1e-6, 1 - 1e-4)
+        b = np.clip((rows.T @ (1 - p) + 0.05) / (n - t + 1), 1e-6, 1 - 1e-4)
+        if turn == -1 or turn in toxicity.CORRELATED:
+            within = rows.T @ (rows * p[:, None]) - t * np.outer(a, a) + rows.T @ (rows * (1 - p)[:, None]) - (n - t) * np.outer(b, b)
+            np.fill_diagonal(within, 0)
+            spread = np.sqrt(t * a * (1 - a) + (n - t) * b * (1 - b)) + 1e-9
+            close = within / np.outer(spread, spread)
+            weight = 1 / (1 + np.where(close > toxicity.CLOSE, close, 0).sum(axis=1))
+        prior = np.clip(t / n, 1e-3, 1 - 1e-3)
+        odds = np.log(prior / (1 - prior)) + x @ (np.log(a / b) * weight)
+        p = np.concatenate([1 / (1 + np.exp(-np.clip(odds, -40, 40))), labels])
+        rows = both
+    return a, b, weight, prior
+
+
+def some_votes(n, seed, rates=(0.85, 0.85, 0.85, 0.6, 0.3), noise=(0.02, 0.02, 0.02, 0.05, 0.03)):
+    """Three voters that are one family, and two alone; the sixth is the silence of all."""
+    rng = np.random.default_rng(seed)
+    y = (rng.random(n) < 0.3).astype(int)
+    said = rng.random((n, 5)) < np.where(y[:, None] == 1, rates, noise)
+    said[:, 1] = said[:, 2] = said[:, 0]
+    return y, [np.array(np.flatnonzero(r).tolist() or [5], "<u2") for r in said]
+
+
+def test_label_model_equals_plain_em_wherever_counts_are_summed(spark):
+    y, votes = some_votes(1500, 0)
+    seen, anchored = votes[300:], votes[:300]
+    rows = spark.createDataFrame([(bytearray(v.tobytes()), 1) for v in seen], "votes binary, n long").repartition(3)
+    model = toxicity.LabelModel.fit(toxicity._counting(rows), anchored, y[:300], 6)
+    a, b, weight, prior = plain_em(seen, anchored, y[:300], 6)
+    assert np.allclose(model.toxic_rate, a, atol=1e-5) and np.allclose(model.clean_rate, b, atol=1e-5)
+    assert np.allclose(model.weight, weight, atol=1e-4) and abs(model.prior - prior) < 1e-5
+    grouped = rows.groupBy("votes").sum("n").withColumnRenamed("sum(n)", "n")
+    again = toxicity.LabelModel.fit(toxicity._counting(grouped), anchored, y[:300], 6)
+    assert (again.toxic_rate == model.toxic_rate).all() and (again.weight == model.weight).all()
+
+
+def test_label_model_learns_from_unlabelled_votes_and_weighs_families_down(spark):
+    y, votes = some_votes(4000, 1)
+    few = range(60)
+    rows = spark.createDataFrame([(bytearray(v.tobytes()), 1) for v in votes], "votes binary, n long")
+    model = toxicity.LabelModel.fit(toxicity._counting(rows), [votes[i] for i in few], y[:60], 6)
+    lift = model.toxic_rate / model.clean_rate
+    assert lift[0] > 10 and lift[3] > 3 and lift[4] > 3 and lift[5] < 0.3
+    assert model.weight[3] > 2 * model.weight[0]
+    told = model.posterior(votes)
+    assert np.mean((told > 0.5) == y) > 0.9
+
+
+def test_the_classifier_follows_the_voters(spark, monkeypatch):
+    docs, labels, rows, truth = corpus(spark, 900)
+    plain = toxicity.train(docs, labels)
+    monkeypatch.setattr(toxicity, "mined_voters", lambda sample: toxicity.Voters({"=scum": 0}))
+    other = toxicity.train(docs, labels)
+    assert plain.weights != other.weights
+
+
+def test_long_runs_are_read_once():
+    import time
+
+    began = time.perf_counter()
+    for text in ("A" * 1_000_000, "AB " * 4 + " " * 1_000_000, "AB" + " " * 1_000_000 + "CD", "*" * 1_000_000, "you are " * 100_000, "A!" * 500_000):
+        for name in toxicity.PATTERNS:
+            toxicity.pattern_found(name, text)
+    assert time.perf_counter() - began < 5
+    assert toxicity.pattern_found("shouting", "xABC DE FG HI JKL") and not toxicity.pattern_found("shouting", "ABC DE FG HI J")
+
+
+def test_one_id_of_very_many_texts_is_bounded(spark):
+    docs = spark.createDataFrame([(7, "idiot " + "".join("abcdefghij"[int(c)] for c in str(i))) for i in range(3000)] + [(i, f"clean {i}") for i in range(10, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1), *[(i, 0) for i in range(10, 40)]], "doc_id long, toxic int")
+    sample, others = toxicity._samples(docs, labels, "doc_id", "text", "toxic", 500)
+    assert 200 < len(sample.words) < 900 and len(others.words) <= toxicity.OTHER_ROWS * 1.2
+
+
+def test_language_equals_a_plain_naive_bayes(spark):
+    import math
+    from collections import Counter
+
+    docs, _, rows, _ = corpus(spark, 200)
+
+    def bucket(gram):
+        mixed = 0
+        for k, c in enumerate(gram):
+            mixed = ord(c) if k == 0 else (mixed * 0x9E3779B1 + ord(c)) % 2**32
+        return ((mixed ^ (mixed >> 15)) * (0x85EBCA6B + 2 * (len(gram) - 1)) % 2**32) >> 16
+
+    def grams(text):
+        t = text.lower()
+        return [bucket(t[i : i + n]) for n in (1, 2, 3) for i in range(len(t) - n + 1)]
+
+    seen, shares = {}, Counter()
+    for i, t, lang in rows:
+        if lang and not out_of_fit(i):
+            seen.setdefault(lang, Counter()).update(grams(t))
+            shares[lang] += 1
+    size = {k: sum(c.values()) + language.BUCKETS * language.SMOOTHING for k, c in seen.items()}
+    got = {r.doc_id: r for r in language.identify(docs).collect()}
+    for i, t, _ in rows:
+        own = grams(t)
+        odds = {k: math.log(shares[k] / sum(shares.values())) + sum(math.log((c[g] + language.SMOOTHING) / size[k]) for g in own) for k, c in seen.items()}
+        best = max(sorted(odds), key=odds.get)
+        assert got[i].lang_pred == best and abs(got[i].score - 1 / sum(math.exp(o - odds[best]) for o in odds.values())) < 1e-3
+
+
+def test_a_rare_language_is_learned_from_all_its_rows(spark):
+    from lexloom.llm.sampling import bounded_by_class
+
+    rows = spark.range(5000).selectExpr("id", "if(id < 40, 'rare', 'common') as lang")
+    got = {r.lang: r["count"] for r in bounded_by_class(rows, "id", "lang", {"rare": 40, "common": 4960}, 500).groupBy("lang").count().collect()}
+    assert got["rare"] == 40 and 350 < got["common"] < 560
