@@ -22,6 +22,7 @@ TEMPLATES: dict[str, list[str]] = {
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
@@ -29,7 +30,15 @@ TEMPLATES: dict[str, list[str]] = {
     ],
     "GPL-2.0": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
     "LGPL-3.0": ["This library is licensed under the GNU Lesser General Public License, version 3."],
-    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
+    # The opening sentence, which both have; the conditions as a whole tell them apart, and the last of them does.
+    "BSD-unspecified": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
+    "BSD-2-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ],
+    "BSD-3-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
@@ -69,6 +78,15 @@ def signal_bigrams(rows: list[tuple[str, list[str]]], threshold: float) -> list[
     return sorted(out)
 
 
+def signal_pattern(signals: list[str]) -> str:
+    """Finds a signal bigram in a text as it stands: two words, and anything that separates words between."""
+    seconds: dict[str, list[str]] = {}
+    for gram in signals:
+        first, second = gram.split(" ")
+        seconds.setdefault(first, []).append(second)
+    return "(?i)(?<![a-z0-9])(?:" + "|".join(f"{a}[^a-z0-9]++(?:{'|'.join(b)})" for a, b in seconds.items()) + ")(?![a-z0-9])"
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, templates: dict[str, list[str]] = TEMPLATES, windows: bool = False) -> DataFrame:
     """One row a document: id, ``license`` (null if none), ``dice`` of its best match (0.0 if none), ``n_matches``.
 
@@ -81,7 +99,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     lines that do, the windows of a template's admissible size that begin and end with one of its bigrams.  Of
     windows that overlap only the best counts, as a further unit.
 
-    Only units whose number of bigrams lies between the bounds of some template, and which hold one of the
+    A text that holds no signal bigram (``signal_bigrams``) is done at once.  Only units whose number of bigrams lies between the bounds of some template, and which hold one of the
     signal bigrams, are ever compared, and then only with templates whose own bounds admit them.  Everything
     happens within a row: nothing is shuffled.  Null and empty texts have no units.  Rows that repeat an id
     stand for themselves.  An empty table gives none; other columns are not read.
@@ -90,6 +108,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     low, high = threshold / (2 - threshold) - 1e-9, (2 - threshold) / threshold + 1e-9
     least, most = min(len(g) for _, g in rows) * low, max(len(g) for _, g in rows) * high
     known = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(len(g)).alias("m"), F.array(*map(F.lit, g)).alias("grams")) for name, g in rows])
+    signal = signal_pattern(signal_bigrams(rows, threshold))
     signals = F.array(*map(F.lit, signal_bigrams(rows, threshold)))
 
     text = F.regexp_replace(ascii_lower(F.col(text_col)), r"[^a-z0-9\n]+", " ")
@@ -146,7 +165,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
         return let(F.split(run, " "), of_words)
 
     with_grams = F.transform(units, lambda u: F.struct(u.alias("unit"), grams_of(u).alias("grams")))
-    signalled = F.coalesce(F.filter(with_grams, lambda x: F.arrays_overlap(x["grams"], signals)), F.array())
+    signalled = F.filter(with_grams, lambda x: F.arrays_overlap(x["grams"], signals))
+    signalled = F.when(F.col(text_col).rlike(signal), signalled).otherwise(F.array().cast("array<struct<unit:string,grams:array<string>>>"))
     fitting = F.filter(F.col("_signalled"), lambda x: F.size(x["grams"]).between(F.lit(least), F.lit(most)))
     whole = F.filter(F.transform(fitting, lambda x: F.struct(best_of(x["grams"]).alias("best"), x["unit"].alias("unit"))), lambda d: d["best"].isNotNull())
     whole = F.transform(whole, lambda d: F.struct(d["best"]["dice"].alias("dice"), d["best"]["name"].alias("name"), d["unit"].alias("unit")))
@@ -155,7 +175,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     # A paragraph that matches goes; a line that does becomes an empty one, which ends a run.
     others = F.filter(F.split(text, r"\n *\n"), lambda p: ~is_whole(p))
     runs = F.flatten(F.transform(others, lambda p: F.split(F.array_join(F.transform(F.split(p, "\n"), lambda x: F.when(is_whole(x), F.lit("")).otherwise(x)), "\n"), r"\n *\n")))
-    runs = F.filter(F.transform(runs, tidy), lambda r: likely(r))
+    runs = F.filter(F.transform(runs, tidy), lambda r: likely(r) & r.rlike(signal))
     in_runs = F.when(F.size("_signalled") > 0, F.flatten(F.transform(F.array_distinct(runs), windows_of))).otherwise(F.slice(F.col("_whole"), F.lit(1), F.lit(0)))
 
     told = docs.select(F.col(id_col), F.col(text_col), signalled.alias("_signalled")).withColumn("_whole", whole)
