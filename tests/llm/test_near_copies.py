@@ -34,3 +34,21 @@ def test_long_sets_are_hashed_block_by_block(monkeypatch):
     whole = near_copies.min_hashes(sets)
     monkeypatch.setattr(near_copies, "BLOCK", 64)
     assert (near_copies.min_hashes(sets) == whole).all()
+
+
+def test_columns_named_like_internal_ones(spark):
+    names = ["_lx_node", "_gone_id", "_gone_node", "_own_id", "_own_node", "_row", "_id", "_node", "node", "root", "cell", "held"]
+    text = " ".join(str(n) for n in range(100))
+    df = spark.createDataFrame([(1, text, *range(12)), (2, text + " more", *range(12)), (3, "other", *range(12)), (None, None, *range(12))], ", ".join(["doc_id long", "text string", *(f"{n} int" for n in names)]))
+    got = near_copies.drop_near_copies(df).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == sorted([(1, text, *range(12)), (3, "other", *range(12)), (None, None, *range(12))], key=repr)
+
+
+def test_a_large_group_and_a_very_long_text(spark):
+    rng = random.Random(9)
+    base = [str(rng.random()) for _ in range(60)]
+    rows = [(i, " ".join([*base[:-1], str(i % 150)])) for i in range(600)]  # one group, some texts many times
+    long = [str(rng.randint(0, 10**6)) for _ in range(60_000)]
+    rows += [(1000, " ".join(long)), (1001, " ".join([*long[:-100], "changed"])), (1002, " ".join(long[:30_000]))]
+    got = {r.doc_id for r in near_copies.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert got == {0, 1000, 1002}
