@@ -16,6 +16,8 @@ from .shipping import ship
 SEED = 42
 #: Texts hashed at once, in bytes: a worker holds some ten times as much.
 SLICE_BYTES = 2_000_000
+#: Up to so many distinct fingerprints segments have 2 bits, beyond it 1.
+FEW = 1 << 25
 
 
 def shingle_hashes(text: str, words: int) -> list[int]:
@@ -96,22 +98,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(hashed, "id long, fp long")
 
 
-def popcount_cells(fp: np.ndarray) -> np.ndarray:
-    """Cells of the grid that a fingerprint lies in, for distances up to 3: 32 columns of 64-bit keys.
+def popcount_cells(fp: np.ndarray, width: int = 2) -> np.ndarray:
+    """Cells of the grid that a fingerprint lies in, for distances up to 3: 64 / ``width`` columns of 64-bit keys.
 
-    The embedding counts the set bits of each 2-bit segment: 32 counts from 0 to 2.  Flipping a bit
+    The embedding counts the set bits of each segment of ``width`` bits (2 or 1).  Flipping a bit
     moves one count by one, so the Manhattan distance of two embeddings is a lower bound of the bits in
-    which fingerprints differ.  At a distance of 3 or less, one half of the segments (16 of them) holds
-    at most 1 of it: in that half all counts but one agree.  A cell is named by the half, the count left
-    open and the other fifteen counts, so any two fingerprints within the distance share a cell.
+    which fingerprints differ.  At a distance of 3 or less, one half of the segments holds at most 1 of
+    it: in that half all counts but one agree.  A cell is named by the half, the count left open and the
+    other counts, so any two fingerprints within the distance share a cell.  With 2 bits a fingerprint lies
+    in 32 cells, named by 15 counts; with 1 bit in 64, named by 31, so that far fewer others share one.
     """
     ones = np.uint64(0x5555555555555555)
-    counts = (fp & ones) + ((fp >> np.uint64(1)) & ones)  # a 2-bit field holds each segment's count
-    out = np.empty((len(fp), 32), np.uint64)
+    counts = (fp & ones) + ((fp >> np.uint64(1)) & ones) if width == 2 else fp  # a field holds each segment's count
+    each = 32 // width
+    out = np.empty((len(fp), 2 * each), np.uint64)
     for half in range(2):
         part = (counts >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)
-        for open_ in range(16):
-            out[:, half * 16 + open_] = (part | np.uint64(3 << (2 * open_))) << np.uint64(8) | np.uint64(half * 16 + open_)
+        for open_ in range(each):
+            out[:, half * each + open_] = (part | np.uint64(((1 << width) - 1) << (width * open_))) << np.uint64(8) | np.uint64(half * each + open_)
     return out
 
 
@@ -140,18 +144,25 @@ def linked_in_cell(fp: np.ndarray, distance: int) -> np.ndarray:
     return np.array(edges, np.int64).reshape(-1, 2)
 
 
-def links(prints: DataFrame, distance: int = 3) -> DataFrame:
-    """``a, b``: pairs of distinct fingerprints that connect all those within ``distance`` (at most 3) bits."""
+def links(prints: DataFrame, distance: int = 3, width: int | None = None) -> DataFrame:
+    """``a, b``: pairs of distinct fingerprints that connect all those within ``distance`` (at most 3) bits.
+
+    ``width``, the bits of a segment, follows from the number of distinct fingerprints unless it is given:
+    pairs that share a cell grow with its square, and with 1 bit a cell is 16,000 times rarer.
+    """
     if not 0 <= distance <= 3:
         raise ValueError("the grid is laid for distances up to 3")
+    distinct = prints.select("fp").distinct()
+    if width is None:
+        width = 2 if prints.agg(F.approx_count_distinct("fp")).first()[0] <= FEW else 1
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False)
             for at in range(0, len(fp), 65536):
                 some = fp[at : at + 65536]
-                cells = popcount_cells(some.view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(cells.ravel().view(np.int64)), pa.array(np.repeat(some, 32))], names=["cell", "fp"])
+                cells = popcount_cells(some.view(np.uint64), width)
+                yield pa.RecordBatch.from_arrays([pa.array(cells.ravel().view(np.int64)), pa.array(np.repeat(some, cells.shape[1]))], names=["cell", "fp"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -167,7 +178,6 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
                 yield _pairs(cell[:whole], fp[:whole], distance)
             cell, fp = cell_left, fp_left
 
-    distinct = prints.select("fp").distinct()
     cells = distinct.mapInArrow(spread, "cell long, fp long")
     grouped = cells.repartition("cell").sortWithinPartitions("cell", "fp")
     return grouped.mapInArrow(compare, "a long, b long").distinct()

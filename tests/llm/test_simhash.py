@@ -135,3 +135,28 @@ def test_tally_counts_bits():
 def test_other_distances_are_refused(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.createDataFrame([(1,)], "fp long"), 4)
+
+
+def test_narrow_segments_give_the_same_links(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    more = [int(x) ^ sum(1 << int(b) for b in rng.choice(64, k, replace=False)) for x in base for k in (1, 2, 3, 4)]
+    prints = np.unique(np.array([*map(int, base), *more], np.uint64))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(prints.view(np.int64).tolist())], "id long, fp long")
+    root = {v: v for v in prints.tolist()}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(prints.tolist()):
+        for b in prints.tolist()[:i]:
+            if (a ^ b).bit_count() <= 3:
+                root[find(a)] = find(b)
+    want = {frozenset(x for x in root if find(x) == r) for r in {find(x) for x in root}}
+    for width in (1, 2):
+        got = {}
+        for r in components(simhash.links(df, width=width)).collect():
+            got.setdefault(r.root, set()).add(r.node % 2**64)
+        assert {frozenset(g) for g in got.values()} == {g for g in want if len(g) > 1}
