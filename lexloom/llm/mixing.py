@@ -72,7 +72,7 @@ def _placed(rows: DataFrame, sizes: DataFrame, targets: DataFrame, *carried: str
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str, *more) -> DataFrame:
-    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("/"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))))
     return docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_size(text_col).alias("_size"), key.alias("_key"), *more)
 
 
@@ -85,8 +85,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     whose budget exceeds its size repeats whole epochs first; the last epoch is cut at the exact word,
     so the taken words of a source add up to its rounded target.  A hot source has just more ranges.
 
-    Null text has size 0, null sources form one source, documents without an id share a key and are
-    ordered by size.  Rows that repeat an id lie side by side in the order; each is a row of its own.
+    Null text has size 0, null sources form one source, documents without an id have their key from their
+    text.  Rows that repeat an id lie side by side in the order; each is a row of its own.
     An empty table gives none; where all sizes are 0 every target is 0.
     """
     sizes = staged(_keyed(docs, id_col, text_col, source_col, seed), "mix-sizes")

@@ -27,7 +27,9 @@ def brute_targets(sizes):
 
 
 def test_mix_equals_brute_force(messy):
-    rows = [(r.doc_id, len(WORD.findall(r.text or "")), r.source) for r in messy.collect()]
+    whole = messy.collect()
+    rows = [(r.doc_id, len(WORD.findall(r.text or "")), r.source) for r in whole]
+    by_text = {(r.doc_id, len(WORD.findall(r.text or "")), r.source): f"/{hashlib.md5((r.text or '').encode()).hexdigest()}" for r in whole if r.doc_id is None}
     sizes = Counter()
     for _, n, s in rows:
         sizes[s] += n
@@ -37,7 +39,7 @@ def test_mix_equals_brute_force(messy):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.size, r.source_size) for r in got) == sorted((i is None, i or 0, n, sizes[s]) for i, n, s in rows)
     assert {(r.source_size, round(r.target, 6)) for r in got} == {(sizes[s], round(t, 6)) for s, t in targets.items()}
     for s, t in targets.items():
-        mine = sorted((hashlib.md5(f"mix:{'' if i is None else i}".encode()).hexdigest(), -1 if i is None else i, n) for i, n, x in rows if x == s)
+        mine = sorted((hashlib.md5(f"mix:{by_text[i, n, x] if i is None else i}".encode()).hexdigest(), -1 if i is None else i, n) for i, n, x in rows if x == s)
         budget, whole, before, want = int(t + 0.5), 0, 0, []
         whole = budget // sizes[s] if sizes[s] else 0
         for _, i, n in mine:
