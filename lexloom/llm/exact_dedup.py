@@ -18,7 +18,7 @@ SPLITTER_CHARS = 32
 #: A text is hot if more than one in so many rows hold it; so there are fewer hot texts than this.
 HOT_SHARE = 1024
 #: No text of fewer rows is hot.
-HOT_ROWS = 4096
+HOT_ROWS = 256
 #: Parts into which the rows of a hot text are dealt.
 PARTS = 1024
 
