@@ -24,7 +24,7 @@ from .shared import staged, text_column
 from .shipping import ship
 
 #: Labelled rows that the classifier is fitted on, about, other rows beside them, and bytes of distinct words of each, at most.
-TRAIN_ROWS, OTHER_ROWS, TRAIN_BYTES = 6_000, 3_000, 48_000_000
+TRAIN_ROWS, OTHER_ROWS, TRAIN_BYTES = 6_000, 2_000, 48_000_000
 #: Weight of a row without a label: voters overlook some of what labels know.
 OTHER_WEIGHT = 0.1
 #: A mined voter's form occurs in at least so many labelled texts.
@@ -190,26 +190,45 @@ class ToxicityModel:
 
 
 def _features(texts: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Names of all features, and (text, feature, count of distinct words) wherever a text has a common one."""
+    """Names of the features that enough texts have, and (text, feature, count of distinct words) of each text.
+
+    Most forms are rare, so forms are first counted by 64-bit hashes; only what is common gets a name.
+    """
+    from xxhash import xxh64_intdigest
+
     vocabulary: dict[str, int] = {}
-    seen = [np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in words), np.int64) for words in texts]
-    names: dict[str, int] = {}
-    each = [[names.setdefault(f, len(names)) for f in word_features(w)] for w in vocabulary]
-    sizes = np.array([len(e) for e in each], np.int64)
-    flat, first = np.array([f for e in each for f in e], np.int64), np.cumsum(sizes) - sizes
-    spread, parts = np.zeros(len(names), np.int64), []
-    for a in range(0, len(texts), 250):  # some texts at a time, so that the repeated features stay small
-        own = seen[a : a + 250]
-        words, of = np.concatenate(own), np.repeat(np.arange(a, a + len(own)), [len(x) for x in own])
-        n = sizes[words]
-        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[words], n)
-        key, count = np.unique(np.repeat(of, n) * len(names) + flat[place], return_counts=True)
-        col = (key % max(1, len(names))).astype(np.int32)
-        spread += np.bincount(col, minlength=len(names))
-        parts.append(((key // max(1, len(names))).astype(np.int32), col, count.astype(np.float32)))
-    row, col, count = (np.concatenate(c) for c in zip(*parts, strict=True))
-    common = spread[col] >= LEAST_TEXTS
-    return list(names), row[common], col[common], count[common]
+    seen = [np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in words), np.int32) for words in texts]
+    sizes = np.fromiter((len(word_features(w)) for w in vocabulary), np.int64, len(vocabulary))
+    hashes = np.fromiter((xxh64_intdigest(f) for w in vocabulary for f in word_features(w)), np.uint64, int(sizes.sum()))
+    kinds, flat = np.unique(hashes, return_inverse=True)
+    flat, first, n_kinds = flat.astype(np.int32), np.cumsum(sizes) - sizes, len(kinds)
+    del hashes, kinds
+
+    def counted():
+        for a in range(0, len(texts), 250):  # some texts at a time, so that the repeated features stay small
+            own = seen[a : a + 250]
+            words, of = np.concatenate([np.zeros(0, np.int32), *own]), np.repeat(np.arange(a, a + len(own)), [len(x) for x in own])
+            n = sizes[words]
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[words], n)
+            key, count = np.unique(np.repeat(of, n) * max(1, n_kinds) + flat[place], return_counts=True)
+            yield (key // max(1, n_kinds)).astype(np.int32), (key % max(1, n_kinds)).astype(np.int32), count.astype(np.float32)
+
+    spread = np.zeros(n_kinds, np.int64)
+    for _, col, _ in counted():
+        spread += np.bincount(col, minlength=n_kinds)
+    common = spread >= LEAST_TEXTS
+    place = np.cumsum(common) - 1
+    names: list[str] = [""] * int(common.sum())
+    at = 0
+    for w in vocabulary:
+        for f in word_features(w):
+            if common[flat[at]]:
+                names[place[flat[at]]] = f
+            at += 1
+    parts = [(row[keep], place[col[keep]].astype(np.int32), count[keep]) for row, col, count in counted() for keep in [common[col]]]
+    if not parts:
+        return names, np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32)
+    return names, *(np.concatenate(c) for c in zip(*parts, strict=True))
 
 
 @dataclass
@@ -227,17 +246,18 @@ class Sample:
         return min(self.labels.sum(), (1 - self.labels).sum()) >= LEAST_TEXTS
 
 
-def mined_voters(sample: Sample) -> Voters:
+def mined_voters(names: list[str], row: np.ndarray, col: np.ndarray, labels: np.ndarray) -> Voters:
     """The lexicon and every form whose lift in toxic texts holds up against chance among so many forms.
 
     That is: log-odds above four standard errors, and at two still such that its vote alone is right more often
     than not.  Of forms of which one begins another the one that says
-    most of toxic texts votes for all; a word of the lexicon does so in any case.
+    most of toxic texts votes for all; a word of the lexicon does so in any case.  The first texts of the
+    features are the labelled ones.
     """
-    names, row, col, _ = _features(sample.words)
-    in_toxic = np.bincount(col, sample.labels[row], minlength=len(names))
-    in_clean = np.bincount(col, 1 - sample.labels[row], minlength=len(names))
-    toxic, clean = int(sample.labels.sum()), int(len(sample.labels) - sample.labels.sum())
+    col, row = col[row < len(labels)], row[row < len(labels)]
+    in_toxic = np.bincount(col, labels[row], minlength=len(names))
+    in_clean = np.bincount(col, 1 - labels[row], minlength=len(names))
+    toxic, clean = int(labels.sum()), int(len(labels) - labels.sum())
     lift = np.log((in_toxic + 0.5) / (toxic + 1)) - np.log((in_clean + 0.5) / (clean + 1))
     error = np.sqrt(1 / (in_toxic + 0.5) + 1 / (in_clean + 0.5))
     sure = np.minimum(lift - 4 * error, lift - 2 * error - np.log(clean / toxic))
@@ -254,25 +274,21 @@ def mined_voters(sample: Sample) -> Voters:
     return Voters({f: i for i, f in enumerate(forms)})
 
 
-def trained(sample: Sample, aim: np.ndarray, weight: np.ndarray, steps: int = 200) -> ToxicityModel:
+def trained(names: list[str], row: np.ndarray, col: np.ndarray, val: np.ndarray, flags: np.ndarray, aim: np.ndarray, weight: np.ndarray, steps: int = 200) -> ToxicityModel:
     """A sparse linear classifier of the posteriors ``aim``, on every form that is common enough."""
-    names, row, col, val = _features(sample.words)
-    common = np.unique(col)
-    index = np.full(len(names), -1)
-    index[common] = np.arange(len(common))
-    col, n, beyond = index[col], len(sample.words), sample.flags.astype(float)
-    w, v, b = np.zeros(len(common)), np.zeros(len(PATTERNS)), float(np.log((weight @ aim) / (weight @ (1 - aim))))
+    n, beyond = len(aim), flags.astype(float)
+    w, v, b = np.zeros(len(names)), np.zeros(len(PATTERNS)), float(np.log((weight @ aim) / (weight @ (1 - aim))))
     # Full-batch proximal steps of a diagonal second-order method: few features end up with any weight.
-    scale = np.bincount(col, weight[row] * val**2, minlength=len(common)) * 0.25 + 5
+    scale = np.bincount(col, weight[row] * val**2, minlength=len(names)) * 0.25 + 5
     for _ in range(steps):
         odds = b + np.bincount(row, w[col] * val, minlength=n) + beyond @ v
         off = weight * (1 / (1 + np.exp(-np.clip(odds, -40, 40))) - aim)
-        w = w - 0.3 * np.bincount(col, off[row] * val, minlength=len(common)) / scale
+        w = w - 0.3 * np.bincount(col, off[row] * val, minlength=len(names)) / scale
         w = np.sign(w) * np.maximum(0, np.abs(w) - 0.3 * 0.5 / scale)
         v = np.maximum(0, v - 0.3 * (beyond.T @ off + v) / (0.25 * weight @ beyond + 20))  # a pattern never excuses
         b -= 0.3 * off.sum() / (0.25 * weight.sum())
     keep = np.flatnonzero(w)
-    return ToxicityModel(float(b), {names[common[i]]: float(w[i]) for i in keep}, dict(zip(PATTERNS, v.tolist(), strict=True)))
+    return ToxicityModel(float(b), {names[i]: float(w[i]) for i in keep}, dict(zip(PATTERNS, v.tolist(), strict=True)))
 
 
 def _calibrated(model: ToxicityModel, sample: Sample) -> ToxicityModel:
@@ -309,21 +325,23 @@ def _calibrated(model: ToxicityModel, sample: Sample) -> ToxicityModel:
 def _words_of(rows: DataFrame, most: int, most_bytes: int) -> Sample:
     """A bounded sample of ``id, y, text`` as distinct words, found where the texts are."""
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() for t in batch.column(2)]
             told = pa.array([" ".join(sorted(distinct_words(t))) for t in texts], pa.string())
             flags = pa.array(["".join("01"[pattern_found(name, t)] for name in PATTERNS) for t in texts], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), told, flags], names=["id", "y", "words", "flags"])
 
-    told = staged(rows.mapInArrow(words, "id string, y int, words string, flags string").distinct(), "toxicity-sample")
+    told = staged(rows.mapInArrow(read, "id string, y int, words string, flags string").distinct(), "toxicity-sample")
     size = told.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("words") + 8), F.lit(0)).alias("bytes")).first()
     share = min(1.0, most / max(1, size.n), most_bytes / max(1, size.bytes))  # an id can have many texts, a text many words
     if share < 1:
         told = told.where(F.pmod(F.xxhash64("words", "id"), F.lit(2**40)) < int(share * 2**40))
     got = told.toArrow().sort_by([("id", "ascending"), ("words", "ascending"), ("flags", "ascending"), ("y", "ascending")])
     flags = np.array([[c == "1" for c in f] for f in got["flags"].to_pylist()], bool).reshape(-1, len(PATTERNS))
-    return Sample([w.split() for w in got["words"].to_pylist()], flags, np.array(got["y"].to_pylist(), np.int64))
+    held: dict[str, str] = {}  # one string a word, however many texts hold it
+    words = [[held.setdefault(w, w) for w in text.as_py().split()] for text in got["words"]]
+    return Sample(words, flags, np.array(got["y"].to_pylist(), np.int64))
 
 
 def _samples(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int) -> tuple[Sample, Sample]:
@@ -400,14 +418,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return ToxicityModel(bias=float(np.log(share / (1 - share))))
     apart = np.arange(len(sample.labels)) % 4 == 3
     fitted, judged = (sample.part(~apart), sample.part(apart)) if sample.part(~apart).decided() and sample.part(apart).decided() else (sample, sample)
-    voters = mined_voters(fitted)
+    names, row, col, val = _features(fitted.words + others.words)
+    voters = mined_voters(names, row, col, fitted.labels)
     of = lambda s: [voters.votes(w, f) for w, f in zip(s.words, s.flags.tolist(), strict=True)]
     votes = of(fitted)
     model = LabelModel.fit(_counting(staged(vote_counts(docs, voters, id_col, text_col), "toxicity-votes")), votes, fitted.labels, voters.size)
     aim = np.concatenate([with_labels(model.log_odds(votes), fitted.labels), model.posterior(of(others))])
-    every = Sample(fitted.words + others.words, np.concatenate([fitted.flags, others.flags]), np.concatenate([fitted.labels, others.labels]))
     weight = np.concatenate([np.ones(len(fitted.words)), np.full(len(others.words), OTHER_WEIGHT)])
-    return _calibrated(trained(every, aim, weight), judged)
+    return _calibrated(trained(names, row, col, val, np.concatenate([fitted.flags, others.flags]), aim, weight), judged)
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = TRAIN_ROWS) -> DataFrame:

@@ -150,7 +150,7 @@ def test_label_model_learns_from_unlabelled_votes_and_weighs_families_down(spark
 def test_the_classifier_follows_the_voters(spark, monkeypatch):
     docs, labels, rows, truth = corpus(spark, 900)
     plain = toxicity.train(docs, labels)
-    monkeypatch.setattr(toxicity, "mined_voters", lambda sample: toxicity.Voters({"=scum": 0}))
+    monkeypatch.setattr(toxicity, "mined_voters", lambda *features: toxicity.Voters({"=scum": 0}))
     other = toxicity.train(docs, labels)
     assert plain.weights != other.weights
 
