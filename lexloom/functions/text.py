@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 SPACE = r"(?U)\s+"
 ARABIC = r"[؀-ۿ]"
-# Words that stand for "nothing", and parts of speech with their short forms.
-NULL_WORDS = ["none", "n/a", "na", "null", "nil", "-", "unknown"]
+# Texts that stand for "nothing", and parts of speech with their short forms.
+NULL_WORDS = ["none", "null", "n/a", "لا يوجد", "لا توجد", "لا شيء", "غير متوفر", "لا توجد وسيلة"]
 POS_SHORT = {"noun": "n", "verb": "v", "adjective": "adj", "adverb": "adv", "preposition": "prep", "conjunction": "conj", "pronoun": "pron", "determiner": "det", "number": "num", "exclamation": "excl", "modal verb": "modal"}
 POS_SET = ["noun", "verb", "adj", "adv", "prep", "conj", "pron", "det", "num", "excl", "modal"]
 
@@ -18,6 +18,16 @@ def squash(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, SPACE, " "))
 
 
+def strip(x: Column) -> Column:
+    """Without white space (of any script) at the ends."""
+    return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+
+
+def norm(x: Column) -> Column:
+    """Lower-cased, runs of white space one space, none at the ends; null stays null."""
+    return squash(F.lower(x))
+
+
 def nfc(x: Column) -> Column:
     """Canonical composition.  ASCII text, which is composed already, never reaches Python."""
 
@@ -101,21 +111,30 @@ def lemma_closure(lemma: Column, pos: Column) -> Column:
     return F.array_distinct(F.filter(F.array(*forms), lambda f: f.isNotNull()))
 
 
+def phrase_variants(phrase: Column, forms_of) -> Column:
+    """A phrase with one of its words at a time replaced by each of that word's forms."""
+    words = F.split(squash(F.lower(phrase)), " ")
+    put = lambda i, form: F.array_join(F.transform(words, lambda w, j: F.when(j == i, form).otherwise(w)), " ")
+    return F.array_distinct(F.flatten(F.transform(words, lambda w, i: F.transform(forms_of(w), lambda f: put(i, f)))))
+
+
 def target_present(text: Column, lemma: Column, pos: Column) -> Column:
-    """Some form of the word is a token of the text; a phrase must occur as it stands."""
-    phrase = F.trim(lemma).contains(" ")
-    return F.when(phrase, F.contains(norm_phrase(text), norm_phrase(lemma))).otherwise(F.arrays_overlap(tokens(text), lemma_closure(lemma, pos)))
+    """Some form of the word is a token of the text; of a phrase, it or it with one word inflected is part of it."""
+    word, said = norm_phrase(lemma), norm_phrase(text)
+    variants = phrase_variants(word, lambda w: lemma_closure(w, pos))
+    found = F.when(word.contains(" "), F.exists(variants, lambda v: F.contains(said, v))).otherwise(F.arrays_overlap(tokens(text), lemma_closure(word, pos)))
+    return F.coalesce((word != "") & found, F.lit(False))
 
 
 def strip_artifacts(x: Column) -> Column:
     """Without links, bracketed citations and daggers."""
-    bare = F.regexp_replace(F.regexp_replace(x, r"https?://[^\s<>\"]+|www\.[^\s<>\"]+", ""), r"【[^】]*】", "")
+    bare = F.regexp_replace(F.regexp_replace(x, r"(?U)https?://\S+", ""), r"【[^】]*】", "")
     return squash(F.regexp_replace(bare, "[†‡]", ""))
 
 
 def learner_text_defects(x: Column) -> Column:
     """Codes of what does not belong into a learner's text, in a fixed order."""
-    tests = {"URL": r"https?://|www\.", "CITATION": r"【[^】]*】", "DAGGER": "[†‡]", "REFERENCE": r"\[[0-9]+\]"}
+    tests = {"URL": r"https?://\S", "CITATION": r"【[^】]*】", "DAGGER": "[†‡]", "REFERENCE": r"\[[0-9]+\]"}
     return F.filter(F.array(*[F.when(x.rlike(p), F.lit(code)) for code, p in tests.items()]), lambda c: c.isNotNull())
 
 
@@ -132,7 +151,7 @@ def first_occurrences(items: Column, most: int) -> Column:
 
 
 def is_null_like(x: Column) -> Column:
-    return x.isNull() | (F.trim(x) == "") | F.lower(F.trim(x)).isin(NULL_WORDS)
+    return x.isNull() | (strip(x) == "") | F.lower(strip(x)).isin(NULL_WORDS)
 
 
 def syllables(word: Column) -> Column:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import ARABIC, first_occurrences, is_null_like, squash, tokens
+from .text import ARABIC, NULL_WORDS, contains_target, first_occurrences, is_circular, norm
 
-# Phrases that argue nothing, and the fewest characters of an argument.
-EMPTY_ARGUMENTS = r"(?i)\b(not needed|no reason|n/a|none|because|better|improved|unnecessary|as requested|see above|obvious|default|ok|same)\b"
-LEAST_ARGUMENT = 10
+# Phrases that name a preference and no defect, and the fewest characters of a reason.
+VAGUE = ["prefer null", "not ideal", "cannot improve", "can't improve", "can not improve", "could not improve", "no better", "not perfect", "cleaner", "minimalism", "uncertain", "rather omit", "prefer to omit", "no strong"]
+LEAST_REASON = 10
 
 
 def maybe_int(x: Column) -> Column:
@@ -50,27 +50,50 @@ def by_script(items: Column, most: int = 6) -> Column:
     return F.struct(first_occurrences(F.filter(items, lambda x: ~x.rlike(ARABIC)), most).alias("en"), first_occurrences(F.filter(items, lambda x: x.rlike(ARABIC)), most).alias("ar"))
 
 
-def phrase_variants(phrase: Column, forms_of) -> Column:
-    """A phrase with one of its words at a time replaced by each of that word's forms."""
-    words = F.split(squash(F.lower(phrase)), " ")
-    put = lambda i, form: F.array_join(F.transform(words, lambda w, j: F.when(j == i, form).otherwise(w)), " ")
-    return F.array_distinct(F.flatten(F.transform(words, lambda w, i: F.transform(forms_of(w), lambda f: put(i, f)))))
+def has_content(kind: str, value: Column) -> Column:
+    """Whether an earlier value says anything: a text that is not blank, a list with an item that is not."""
+    if kind in ("definition", "explanation", "mnemonic"):
+        return F.coalesce(norm(value) != "", F.lit(False))
+    if kind == "examples":
+        return F.coalesce(F.exists(value, lambda x: x != ""), F.lit(False))
+    return F.coalesce(F.exists(value, lambda x: F.trim(x) != ""), F.lit(False))
 
 
 def field_validity(kind: str, value: Column, word: Column) -> Column:
-    """``valid, why`` of a field: the first thing that is wrong with it."""
+    """``valid, why`` of a field: the first thing that is wrong with it ('' if nothing is).
+
+    ``value`` is a text for ``definition``, ``explanation`` and ``mnemonic``, else an array of texts; null counts
+    as empty.
+    """
+    said = norm(value) if kind in ("definition", "explanation", "mnemonic") else None
+    items = F.filter(F.coalesce(value, F.array().cast("array<string>")), lambda x: (x != "") if kind == "examples" else F.coalesce(F.trim(x) != "", F.lit(False))) if said is None else None
+    generic = lambda x: norm(x).isin(NULL_WORDS)
+    blank = F.coalesce(said == "", F.lit(True)) if said is not None else None
     tests = {
-        "definition": {"empty": is_null_like(value), "too short": F.char_length(F.trim(value)) < 5, "is the word": F.lower(F.trim(value)) == F.lower(F.trim(word))},
-        "explanation": {"empty": is_null_like(value), "no arabic script": ~value.rlike(ARABIC)},
-        "phonetic": {"empty": is_null_like(value), "slashes": value.contains("/")},
-        "examples": {"empty": is_null_like(value), "word is absent": ~F.array_contains(tokens(value), F.lower(F.trim(word)))},
-        "relations": {"empty": is_empty(value), "no list of strings": string_list(value).isNull()},
-        "mnemonic": {"empty": is_null_like(value), "brackets": value.rlike(r"[\[\]{}]")},
-    }[kind]
-    why = F.coalesce(*[F.when(F.coalesce(c, F.lit(True)), F.lit(n)) for n, c in tests.items()])
-    return F.struct(why.isNull().alias("valid"), why.alias("why"))
-
-
-def argument_suffices(x: Column) -> Column:
-    """A reason of some length that is none of the usual empty ones."""
-    return F.coalesce((F.char_length(F.trim(x)) >= LEAST_ARGUMENT) & ~F.trim(x).rlike(EMPTY_ARGUMENTS), F.lit(False))
+        "definition": lambda: {"empty": blank, "circular": is_circular(said, word)},
+        "explanation": lambda: {"empty": blank, "generic_null": said.isin(NULL_WORDS), "bracket_placeholder": said.startswith("[") | said.startswith("(")},
+        "examples": lambda: {"count!=3": F.size(items) != 3, "empty_example": F.exists(items, lambda x: F.trim(x) == ""), "target_missing": F.exists(items, lambda x: ~contains_target(x, word))},
+        "translations": lambda: {"empty": F.size(items) == 0, "generic_null": F.forall(items, generic)},
+        "relations": lambda: {"empty": F.size(items) == 0},
+        "mnemonic": lambda: {"null": value.isNull(), "empty": blank, "generic_null": said.isin(NULL_WORDS)},
+    }[kind]()
+    why = F.coalesce(*[F.when(c, F.lit(n)) for n, c in tests.items()], F.lit(""))
+    return F.struct((why == "").alias("valid"), why.alias("why"))
+
+
+def reason_suffices(x: Column) -> Column:
+    """``suffices, why``: a reason of some length that names more than a vague preference."""
+    said = F.coalesce(norm(x), F.lit(""))
+    vague = F.array(*[F.contains(said, F.lit(p)) for p in VAGUE])
+    why = F.when(said == "", "none declared").when(F.char_length(said) < LEAST_REASON, "too short").when(F.exists(vague, lambda v: v), "vague").otherwise("")
+    return F.struct((why == "").alias("suffices"), why.alias("why"))
+
+
+def kept_lines(x: Column) -> Column:
+    """Runs of blanks and tabs become one blank, line breaks stay, none of either at the ends."""
+    return F.regexp_replace(F.regexp_replace(x, "[ \t]+", " "), r"(?U)^\s+|\s+$", "")
+
+
+def storage_key(key: Column) -> Column:
+    """``word/pos`` as it is written in names of files."""
+    return F.replace(key, F.lit("/"), F.lit("__"))

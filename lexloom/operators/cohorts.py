@@ -28,15 +28,53 @@ def cohort_pick(rows: DataFrame, key: str, cohorts: list[tuple[str, object, int]
     return chosen
 
 
-def quota_draw(rows: DataFrame, key: str, cell: str, quotas: dict[str, int], flags: dict[str, int], seed: str) -> DataFrame:
-    """``key``: each cell's quota, rows with the most wanted flags first, ties by draw key.
+def quota_draw(rows: DataFrame, key: str, cells: dict[str, dict[str, int]], floors: dict[str, int], total: int, seed: str, first: object = None) -> DataFrame:
+    """``key, turn``: a greedy draw of ``total`` rows towards quotas in two columns, preferring flags below their floors.
 
-    A flag (a boolean column) is wanted by its weight; a greedy draw whose running state is a rank.
+    Rows of ``first`` (a condition) are taken to begin with, as turn 0.  Then each turn looks at the value with
+    the largest deficit in either column (ties by name) and takes a row of both; if there is none, one of the
+    first column's, then of the second's, then any.  Among these the row with the most flags counts whose
+    number so far is below its floor, then the draw key.  The draw ends when a column has no deficit left.
+
+    The draw is sequential, but over kinds of rows: of each combination of values and flags, ``total`` rows by
+    draw key are all that can ever be taken, and all that comes to the driver.
     """
-    score = sum((F.when(F.col(f), w).otherwise(0) for f, w in flags.items()), F.lit(0))
-    own = Window.partitionBy(cell).orderBy(score.desc(), draw_key(seed, F.col(key)), key)
-    most = F.try_element_at(F.create_map(*[F.lit(v) for kv in quotas.items() for v in kv]), F.col(cell))
-    return rows.withColumn("_n", F.row_number().over(own)).where(F.col("_n") <= max(quotas.values())).where(F.col("_n") <= most).select(key, cell)
+    a, b = cells
+    flags = list(floors)
+    named = rows.select(F.col(key).alias("_key"), F.col(a).alias("_a"), F.col(b).alias("_b"), *[F.coalesce(F.col(f), F.lit(False)).alias(f"_f{i}") for i, f in enumerate(flags)], draw_key(seed, F.col(key)).alias("_draw"), F.coalesce(first if first is not None else F.lit(False), F.lit(False)).alias("_first"))
+    kind = ["_a", "_b", *[f"_f{i}" for i in range(len(flags))]]
+    given = named.where("_first")
+    taken = {tuple(r[:-1]): r[-1] for r in given.groupBy(*kind).count().collect()}
+    need = [dict(cells[a]), dict(cells[b])]
+    covered = [0] * len(flags)
+    for (x, y, *has), n in taken.items():
+        for own, value in zip(need, (x, y), strict=True):
+            own[value] = own.get(value, 0) - n
+        covered = [c + n * h for c, h in zip(covered, has, strict=True)]
+    own = Window.partitionBy(*kind).orderBy("_draw", "_key")
+    pool = named.where(~F.col("_first")).withColumn("_n", F.row_number().over(own)).where(F.col("_n") <= total).collect()  # ``total`` rows a kind
+    queues: dict[tuple, list] = {}
+    for r in sorted(pool, key=lambda r: r["_n"]):
+        queues.setdefault(tuple(r[k] for k in kind), []).append((r["_draw"], r["_key"]))
+    chosen, left = [], total - sum(taken.values())
+    while left > 0:
+        wants = [sorted(((-v, k) for k, v in n.items() if v > 0), key=lambda p: (p[0], str(p[1]))) for n in need]
+        if not all(wants):
+            break
+        x, y = wants[0][0][1], wants[1][0][1]
+        open_ = [k for k, q in queues.items() if q]
+        some = [k for k in open_ if k[0] == x and k[1] == y] or [k for k in open_ if k[0] == x] or [k for k in open_ if k[1] == y] or open_
+        if not some:
+            break
+        worth = lambda k: sum(h and c < floors[f] for h, c, f in zip(k[2:], covered, flags, strict=True))
+        best = min(some, key=lambda k: (-worth(k), *queues[k][0]))
+        chosen.append((queues[best].pop(0)[1], len(chosen) + 1))
+        left -= 1
+        for n, value in zip(need, best[:2], strict=True):
+            n[value] = n.get(value, 0) - 1
+        covered = [c + h for c, h in zip(covered, best[2:], strict=True)]
+    drawn = rows.sparkSession.createDataFrame(chosen, f"_key {named.schema['_key'].dataType.simpleString()}, turn int")
+    return given.select("_key", F.lit(0).alias("turn")).unionByName(drawn).withColumnRenamed("_key", key)
 
 
 def same_word_elsewhere(rows: DataFrame, word: str, pos: str) -> DataFrame:

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Keys that may not travel, verdicts of a ballot, classes of severe errors.
-TRANSPORT_KEYS = ["seed", "source", "provenance", "arm", "model", "run_id", "experiment_id", "legacy", "candidate"]
-VERDICTS = ["A", "B", "tie", "cannot-judge", "unjudged"]
-LEAKS = r"(?iU)\b(candidate|legacy|experiment|baseline|golden|seed(?:ed)?|model|run[-_ ]?id)\b"
+from ..functions.text import strip_fences
+
+# Keys of transport wiring that may not travel, shapes of run identifiers that tell where a text comes
+# from (never bare words, which may be content), the fields and verdicts of a ballot, and its severe errors.
+TRANSPORT_KEYS = ["channel", "phase", "provenance", "job_id", "input_gcs", "output_gcs", "candidate_id", "created_at", "imported_at"]
+LEAKS = [r"PILOT-V1-CAND-\d+", r"RUN-[A-Z0-9]+(?:-[A-Z0-9]+)*", r"EXP-\d{4}", r"gemini[\w.\-]*", r"\b2\.2\.3\b", r"\b[0-9a-f]{32,}\b", "pilot_manifest", "input_snapshot", "output_hash"]
+FIELDS = ["definition", "arabic_explanation", "sense_separation", "examples", "translations", "relations", "mnemonic"]
+VERDICTS = ["A-better", "B-better", "tie", "cannot-judge", "unjudged"]
+CRITICAL = ["wrong_meaning", "misleading_arabic", "invalid_relation_synonym", "example_semantic_error", "target_word_violation", "fabricated_etymology_mnemonic", "cefr_learner_mismatch"]
 
 
 def checks(tests: dict[str, Column]) -> Column:
@@ -49,15 +54,48 @@ def banned_fields(df: DataFrame, banned: list[str] = TRANSPORT_KEYS) -> list[str
 
 
 def leaks(text: Column) -> Column:
-    """The words in a blind text that tell where it comes from, lower-cased, each once, in order."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(LEAKS), F.lit(1)), F.lower))
+    """What in a blind text has the shape of a run identifier, each once, in the order of the shapes."""
+    return F.array_distinct(F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(f"(?i)({shape})"), F.lit(1)) for shape in LEAKS])))
+
+
+def ballot_defects(fields: Column, sides: Column) -> Column:
+    """Defects of a ballot: ``fields`` (field to verdict) and ``sides`` (severe error to side) as maps.
+
+    Both must cover exactly what a ballot has; a side is A, B or null.
+    """
+    covers = lambda m, names: F.coalesce(F.array_sort(F.map_keys(m)) == F.array(*map(F.lit, sorted(names))), F.lit(False))
+    bad_verdicts = F.transform(F.filter(F.array(*map(F.lit, FIELDS)), lambda f: ~F.coalesce(F.try_element_at(fields, f).isin(VERDICTS), F.lit(False))), lambda f: F.concat(F.lit("verdict:"), f))
+    bad_sides = F.transform(F.filter(F.array(*map(F.lit, CRITICAL)), lambda c: ~F.coalesce(F.try_element_at(sides, c).isin("A", "B"), F.lit(True))), lambda c: F.concat(F.lit("side:"), c))
+    none = F.array().cast("array<string>")
+    return F.concat(F.when(covers(fields, FIELDS), bad_verdicts).otherwise(F.array(F.lit("fields"))), F.when(covers(sides, CRITICAL), F.coalesce(bad_sides, none)).otherwise(F.array(F.lit("critical_errors"))))
 
 
-def ballot_defects(verdicts: Column, critical: Column, fields: list[str]) -> Column:
-    """Defects of a ballot: a field without verdict, a verdict or side that does not exist."""
-    out = [F.when(~F.map_contains_key(verdicts, f), f"missing {f}").when(~F.try_element_at(verdicts, F.lit(f)).isin(VERDICTS), f"bad verdict {f}") for f in fields]
-    side = F.when(F.exists(F.map_values(critical), lambda s: ~s.isin("A", "B")), "bad side")
-    return F.filter(F.array(*out, side), lambda x: x.isNotNull())
+def blank_ballot() -> Column:
+    """A ballot on which nothing is judged: every field ``unjudged``, no side."""
+    pairs = lambda names, value: F.create_map(*[x for n in names for x in (F.lit(n), value)])
+    return F.struct(pairs(FIELDS, F.lit("unjudged")).alias("fields"), pairs(CRITICAL, F.lit(None).cast("string")).alias("sides"))
+
+
+def parsed_ballot(text: Column) -> Column:
+    """``fields, sides, problem`` of a model's answer: one fence and one wrapper are tolerated, nothing else.
+
+    ``problem`` is the first of: not JSON, not an object, no fields, a defect of the contract, an unjudged field.
+    """
+    body = strip_fences(text)
+    plain = "struct<fields:map<string,string>,critical_errors:map<string,struct<side:string>>>"
+    one, wrapped = F.from_json(body, plain), F.from_json(body, f"struct<ballot:{plain}>")
+    kind = F.schema_of_variant(F.try_parse_json(body))
+    inner = F.when(one["fields"].isNull(), wrapped["ballot"]).otherwise(one)
+    fields = inner["fields"]
+    sides = F.transform_values(inner["critical_errors"], lambda k, v: v["side"])
+    problem = (
+        F.when(kind.isNull(), "malformed JSON")
+        .when(~kind.startswith("OBJECT"), "not an object")
+        .when(fields.isNull(), "no fields")
+        .when(F.size(ballot_defects(fields, sides)) > 0, F.concat(F.lit("defects: "), F.array_join(ballot_defects(fields, sides), ",")))
+        .when(F.exists(F.map_values(fields), lambda v: v == "unjudged"), "unjudged field")
+    )
+    return F.struct(fields.alias("fields"), sides.alias("sides"), problem.alias("problem"))
 
 
 def promotion(field: Column, verdict: Column, value: Column) -> Column:

@@ -23,10 +23,11 @@ def cells(table: DataFrame, key: str, fields: list[str] | None) -> DataFrame:
 
 
 def apply_cells(table: DataFrame, changes: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """The table with changed cells; a changed cell's text is cast to its column's type.  Copy on write."""
-    wide = changes.groupBy(F.col(key).alias("_k")).pivot("field", fields).agg(F.first("after"))
+    """The table with changed cells; a changed cell's text is cast to its column's type, null makes it null.  Copy on write."""
+    held = changes.select(F.col(key).alias("_k"), "field", F.struct("after").alias("_to"))
+    wide = held.groupBy("_k").pivot("field", fields).agg(F.first("_to"))
     wide = wide.withColumnsRenamed({f: f"_new_{f}" for f in fields})
-    new = {f: F.coalesce(F.col(f"_new_{f}").cast(table.schema[f].dataType), F.col(f)).alias(f) for f in fields}
+    new = {f: F.when(F.col(f"_new_{f}").isNotNull(), F.col(f"_new_{f}.after").cast(table.schema[f].dataType)).otherwise(F.col(f)).alias(f) for f in fields}
     return table.join(wide, table[key] == wide["_k"], "left").select(*[new.get(c, F.col(c)) for c in table.columns])
 
 
@@ -42,12 +43,15 @@ def differences(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
 
 
 def logical_hash(table: DataFrame) -> DataFrame:
-    """One row that any order and partitioning of the same rows gives: their number and the sum of their hashes.
+    """One row that any order and partitioning of the same rows gives: their number and a hash of all of them.
 
-    A row's hash is the first 8 hex digits of the MD5 of its values, null as ``\\N``.
+    A row's hash is the SHA-256 of its canonical JSON (columns by name, nulls kept); two 60-bit parts of it are
+    summed exactly, so that rows that repeat count, and the sums are hashed with the number of rows.
     """
-    row = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in sorted(table.columns)]))
-    return table.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.conv(F.substring(row, 1, 8), 16, 10).cast("long")).alias("hash_sum"))
+    row = F.sha2(F.to_json(F.struct(*[F.col(c) for c in sorted(table.columns)]), {"ignoreNullFields": "false"}), 256)
+    part = lambda at: F.sum(F.conv(F.substring(row, at, 15), 16, 10).cast("decimal(38,0)")).cast("string")
+    told = table.agg(F.count(F.lit(1)).alias("n_rows"), part(1).alias("_a"), part(16).alias("_b"))
+    return told.select("n_rows", F.sha2(F.concat_ws(":", F.col("n_rows").cast("string"), F.coalesce("_a", F.lit("0")), F.coalesce("_b", F.lit("0"))), 256).alias("sha256"))
 
 
 def rolled_back(after: DataFrame, audit: DataFrame, key: str, fields: list[str]) -> DataFrame:

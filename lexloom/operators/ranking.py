@@ -22,12 +22,13 @@ def lookup(table: dict, key: Column, default) -> Column:
 def word_frequency(words: DataFrame, scope: str, word: str) -> DataFrame:
     """``scope, word, n, zipf``: occurrences and log10 of them per thousand million.
 
-    The text is read once: counts, of which totals are made, are checkpointed.
+    The text is read once: counts, of which totals are made, are checkpointed.  Scopes are languages or versions,
+    of which there are few; a null scope is one of them.
     """
     counts = cut(words.groupBy(scope, word).agg(F.count(F.lit(1)).alias("n")))
     totals = counts.groupBy(F.col(scope).alias("_s")).agg(F.sum("n").alias("_all"))
     zipf = F.round(F.log10(F.col("n") / F.col("_all") * 1e9), 6)
-    return counts.join(totals, F.col(scope) == F.col("_s")).select(scope, word, "n", zipf.alias("zipf"))
+    return counts.join(totals, F.col(scope).eqNullSafe(F.col("_s"))).select(scope, word, "n", zipf.alias("zipf"))
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], line: str, *ties: str) -> DataFrame:
@@ -39,11 +40,25 @@ def latest_per_key(rows: DataFrame, keys: list[str], line: str, *ties: str) -> D
 def dense_rank_in_scope(rows: DataFrame, scope: str, value: str, into: str = "rank") -> DataFrame:
     """Dense rank of a value in its scope, highest first.
 
-    Ranked are the distinct values, which map-side aggregation leaves few of; rows take theirs by a join.
+    Ranked are the distinct values, which map-side aggregation leaves few of; rows take theirs by a join, dealt
+    by salt, because one value can have most of the rows.
     """
+    salts = 16
     values = rows.select(F.col(scope).alias("_s"), F.col(value).alias("_v")).distinct()
     ranks = values.withColumn(into, F.dense_rank().over(Window.partitionBy("_s").orderBy(F.col("_v").desc())))
-    return rows.join(ranks, F.col(scope).eqNullSafe(F.col("_s")) & F.col(value).eqNullSafe(F.col("_v"))).drop("_s", "_v")
+    ranks = ranks.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn("_n", F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int"))
+    return salted.join(ranks, F.col(scope).eqNullSafe(F.col("_s")) & F.col(value).eqNullSafe(F.col("_v")) & (F.col("_n") == F.col("_k"))).drop("_s", "_v", "_k", "_n")
+
+
+def ranked_observations(rows: DataFrame, keys: list[str], scope: list[str], value: str, order: str) -> DataFrame:
+    """Dense ranks of the last observation of each key in one scope; observations of several scopes are refused."""
+    last = latest_per_key(rows, keys, order)
+    named = last.withColumn("_scope", F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in scope]))
+    scopes = named.select("_scope").distinct().limit(2).count()
+    if scopes > 1:
+        raise ValueError("observations of several scopes are not ranked together")
+    return dense_rank_in_scope(named, "_scope", value).drop("_scope")
 
 
 def global_position(rows: DataFrame, order: list[Column], into: str) -> DataFrame:
@@ -52,14 +67,14 @@ def global_position(rows: DataFrame, order: list[Column], into: str) -> DataFram
     Sampled splitters range-partition the rows; each partition numbers its own, and adds the counts of
     those before it.
     """
-    keys = {f"_o{i}": c for i, c in enumerate(order)}
+    keys = {f"_gp_o{i}": c for i, c in enumerate(order)}
     laid = rows.withColumns(keys).repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
-    laid = cut(laid.withColumn("_m", F.monotonically_increasing_id()).drop(*keys)).withColumn("_p", F.shiftright("_m", 33))
-    sizes = laid.groupBy(F.col("_p").alias("_q")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    sizes = sizes.select("_q", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    place = F.col("_before") + F.col("_m") - F.shiftleft(F.col("_p"), 33) + 1
-    return laid.join(sizes, F.col("_p") == F.col("_q")).withColumn(into, place).drop("_m", "_p", "_q", "_n", "_before")
+    laid = cut(laid.withColumn("_gp_m", F.monotonically_increasing_id()).drop(*keys)).withColumn("_gp_p", F.shiftright("_gp_m", 33))
+    sizes = laid.groupBy(F.col("_gp_p").alias("_gp_q")).agg(F.count(F.lit(1)).alias("_gp_n"))
+    before = Window.orderBy("_gp_q").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    sizes = sizes.select("_gp_q", F.coalesce(F.sum("_gp_n").over(before), F.lit(0)).alias("_gp_before"))
+    place = F.col("_gp_before") + F.col("_gp_m") - F.shiftleft(F.col("_gp_p"), 33) + 1
+    return laid.join(sizes, F.col("_gp_p") == F.col("_gp_q")).withColumn(into, place).drop("_gp_m", "_gp_p", "_gp_q", "_gp_before")
 
 
 def rerank_globally(rows: DataFrame, zipf: str, pos: str, rank: str, into: str = "new_rank") -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import global_position
+
 
 def missing_fields(groups: dict[str, list[str]]) -> Column:
     """``group.field`` of every required field of a nested record that is null, in order."""
@@ -46,16 +48,30 @@ def phases(log: DataFrame, key: str, phase: str, wanted: list[str]) -> DataFrame
 def next_ids(rows: DataFrame, table: DataFrame, key: str, order: str, prefix: str) -> DataFrame:
     """New rows with ids that go on after the largest of the table: ``prefix-0007`` and so on.
 
-    The numbering is by key range: few rows enter a table at a time.
+    Numbers come from a range partitioning by ``order``, which must be unique.
     """
     last = table.agg(F.coalesce(F.max(F.regexp_extract(key, r"(\d+)$", 1).cast("long")), F.lit(0)).alias("_last"))
-    n = F.row_number().over(Window.orderBy(order))
-    return rows.withColumn("_n", n).join(F.broadcast(last)).withColumn(key, F.format_string(f"{prefix}-%04d", F.col("_last") + F.col("_n"))).drop("_n", "_last")
+    placed = global_position(rows, [F.col(order)], "_n")
+    return placed.join(F.broadcast(last)).withColumn(key, F.format_string(f"{prefix}-%04d", F.col("_last") + F.col("_n"))).drop("_n", "_last")  # one row
+
 
+def selection_hash(rows: DataFrame, key: str, chunk: int = 4096) -> DataFrame:
+    """One row: how many keys were selected and a SHA-256 of them in order.
 
-def selection_hash(rows: DataFrame, key: str) -> DataFrame:
-    """One row: how many keys were selected and the SHA-256 of them, sorted, one a line."""
-    return rows.agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_list(F.col(key).cast("string"))), "\n"), 256).alias("sha256"))
+    Keys are numbered over all partitions; each run of ``chunk`` of them is hashed, one a line, then runs of
+    these hashes, until one is left: no task ever holds more than a run.
+    """
+    lines = global_position(rows.select(F.col(key).cast("string").alias("_line")), [F.col("_line")], "_at")
+    n = total = lines.count()
+    if not total:
+        return rows.agg(F.count(F.lit(1)).alias("n"), F.sha2(F.lit(""), 256).alias("sha256"))
+    while True:
+        told = lines.withColumn("_run", F.floor((F.col("_at") - 1) / chunk)).groupBy("_run")
+        joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_at", "_line"))), lambda x: x["_line"]), "\n")
+        lines = told.agg(F.sha2(joined, 256).alias("_line")).select((F.col("_run") + 1).alias("_at"), "_line")
+        if n <= chunk:
+            return lines.select(F.lit(total).cast("long").alias("n"), F.col("_line").alias("sha256"))
+        n = -(-n // chunk)
 
 
 def arms(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> DataFrame:

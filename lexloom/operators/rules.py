@@ -5,65 +5,117 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import ARABIC, cell_hash, is_circular, is_null_like
+from ..functions.text import ARABIC, cell_hash, is_circular, is_null_like, norm_phrase, strip, target_present
 
-QUOTAS = {"examples": 0.35, "synonyms": 0.3, "antonyms": 0.3, "collocations": 0.3, "translations": 0.3, "explanation": 0.2, "definition": 0.2, "mnemonic": 0.2}
+# The share of flagged fields from which on a run is halted, and the field that has none.
+QUOTAS = {"examples": 0.35, "relations_synonyms": 0.3, "relations_antonyms": 0.3, "relations_collocations": 0.3, "translations": 0.3, "explanation_ar": 0.2, "definition_en": 0.2, "mnemonic": 0.2}
+EXEMPT = "sense_separation"
+REPAIRS = ["MNE_EMPTY_STRING", "MNE_GENERIC_NULL"]
+
+
+def _blank(x: Column) -> Column:
+    return x.isNull() | (strip(x) == "")
 
 
 def triage_definition(value: Column, word: Column) -> Column:
-    return F.when(value.isNull() | (F.trim(value) == ""), "DEF_EMPTY").when(is_null_like(value), "DEF_GENERIC_NULL").when(is_circular(value, word), "DEF_CIRCULAR")
+    return F.when(_blank(value), "DEF_EMPTY").when(is_null_like(value), "DEF_GENERIC_NULL").when(is_circular(value, word), "DEF_CIRCULAR")
 
 
 def triage_explanation(value: Column) -> Column:
-    return F.when(value.isNull() | (F.trim(value) == ""), "AR_EMPTY").when(is_null_like(value), "AR_GENERIC_NULL").when(~value.rlike(ARABIC), "AR_NO_ARABIC_SCRIPT")
+    return F.when(_blank(value), "AR_EMPTY").when(is_null_like(value), "AR_GENERIC_NULL").when(~value.rlike(ARABIC), "AR_NO_ARABIC_SCRIPT")
+
+
+def bands(x: Column) -> Column:
+    """The sentences of a JSON list of texts or a JSON object by band, null for one that is no text; null if malformed."""
+    kind = F.schema_of_variant(F.try_parse_json(x))
+    by_band = F.transform(F.map_values(F.from_json(x, "map<string,variant>")), lambda v: F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")))
+    listed = F.from_json(x, "array<string>")
+    texts = F.when((kind == "ARRAY<STRING>") & ~F.exists(listed, lambda t: t.isNull()), listed).when(kind.startswith("OBJECT"), by_band)
+    return F.when(F.size(texts) > 0, texts)
 
 
-def triage_examples(items: Column, has_target) -> Column:
-    """``items``: the sentences, null if they could not be parsed; ``has_target(sentence)``: a form of the word is in it."""
-    low = F.transform(items, lambda s: F.lower(F.trim(s)))
-    unended = F.exists(items, lambda s: ~F.trim(s).rlike("[.!?؟۔]$"))
-    uncased = F.exists(items, lambda s: F.trim(s).rlike("^[a-z]"))
+def triage_examples(items: Column, word: Column, pos: Column) -> Column:
+    """``items``: what ``bands`` gives."""
+    plain = F.transform(items, norm_phrase)
+    unended = F.exists(items, lambda s: ~strip(s).rlike("[.!?؟۔]$"))
+    uncased = F.exists(items, lambda s: strip(s).rlike(r"^\p{Ll}"))
     return (
-        F.when(items.isNull() | (F.size(items) == 0), "EX_MALFORMED_JSON")
-        .when(F.exists(items, lambda s: s.isNull() | (F.trim(s) == "")), "EX_EMPTY_BAND")
-        .when(F.exists(items, lambda s: ~has_target(s)), "EX_NO_LEMMA_TOKEN")
-        .when(F.size(F.array_distinct(low)) < F.size(low), "EX_DUPLICATE_BANDS")
+        F.when(items.isNull(), "EX_MALFORMED_JSON")
+        .when(F.exists(items, _blank), "EX_EMPTY_BAND")
+        .when(F.exists(items, lambda s: ~target_present(s, word, pos)), "EX_NO_LEMMA_TOKEN")
+        .when(F.size(F.array_distinct(plain)) < F.size(plain), "EX_DUPLICATE_BANDS")
         .when(unended & uncased, "EX_SOFT_ESCALATION")
     )
 
 
 def triage_translations(value: Column) -> Column:
-    slots = F.filter(F.transform(F.split(value, "/"), lambda s: F.lower(F.trim(s))), lambda s: s != "")
-    return F.when(value.isNull() | (F.size(slots) == 0), "TR_EMPTY").when(F.size(F.array_distinct(slots)) < F.size(slots), "TR_DUPLICATE_SLOTS")
+    slots = F.filter(F.transform(F.split(value, "/"), lambda s: F.lower(strip(s))), lambda s: s != "")
+    return F.when(_blank(value) | (F.size(slots) == 0), "TR_EMPTY").when(F.size(F.array_distinct(slots)) < F.size(slots), "TR_DUPLICATE_SLOTS")
 
 
 def triage_mnemonic(value: Column) -> Column:
-    return F.when(value.isNull(), F.lit(None)).when(F.trim(value) == "", "MNE_EMPTY_STRING").when(is_null_like(value), "MNE_GENERIC_NULL")
-
+    return F.when(value.isNull(), F.lit(None)).when(strip(value) == "", REPAIRS[0]).when(is_null_like(value), REPAIRS[1])
+
+
+def triage_relation(x: Column, word: Column) -> Column:
+    """``code, items`` of one JSON list of relations; no items where the list is defective, an empty list for null."""
+    kind, items = F.schema_of_variant(F.try_parse_json(x)), F.from_json(x, "array<string>")
+    plain = F.transform(items, norm_phrase)
+    code = (
+        F.when(x.isNull(), F.lit(None))
+        .when(~F.coalesce(kind.startswith("ARRAY"), F.lit(False)), "REL_MALFORMED_JSON")
+        .when(~kind.isin("ARRAY<STRING>", "ARRAY<VOID>") | F.exists(items, lambda i: i.isNull()), "REL_INVALID_ITEM")
+        .when(F.array_contains(plain, norm_phrase(word)), "REL_SELF_REFERENCE")
+        .when(F.size(F.array_distinct(plain)) < F.size(plain), "REL_DUPLICATES")
+    )
+    return F.struct(code.cast("string").alias("code"), F.when(code.isNull(), F.coalesce(plain, F.array().cast("array<string>"))).alias("items"))
 
-def triage_relations(items: Column, word: Column) -> Column:
-    low = F.transform(items, lambda s: F.lower(F.trim(s)))
-    return F.when(items.isNull(), F.lit(None)).when(F.array_contains(low, F.lower(F.trim(word))), "REL_SELF_REFERENCE").when(F.size(F.array_distinct(low)) < F.size(low), "REL_DUPLICATES")
 
+def triage(cards: DataFrame, key: str, word: str, pos: str, cells: bool = False) -> DataFrame:
+    """Nine records a card: ``key, field, status, code, requires_llm, requires_human`` and, if asked for, ``cell``.
 
-def triage(rows: DataFrame, key: str, fields: dict[str, tuple[Column, Column]]) -> DataFrame:
-    """One record a row and field: ``key, field, status, code, cell``; ``fields`` gives each its value and its code (null: keep)."""
-    repair = ["MNE_EMPTY_STRING", "MNE_GENERIC_NULL"]
-    records = []
-    for name, (value, code) in fields.items():
-        status = F.when(code.isNull(), "KEEP").when(code.isin(repair), "DETERMINISTIC_REPAIR").otherwise("LLM_REVIEW")
-        records.append(F.struct(F.lit(name).alias("field"), status.alias("status"), code.cast("string").alias("code"), cell_hash(value).alias("cell")))
-    return rows.select(key, F.inline(F.array(*records)))
+    Cards have ``definition, explanation, examples, translations, mnemonic, synonyms, antonyms, collocations,
+    primary_sense`` as text (lists as JSON).  A list of synonyms and one of antonyms that share an item are both
+    defective, if both are sound by themselves.  Senses always go to a reviewer.
+    """
+    w, c = F.col(word), F.col
+    told = cards.select("*", *[triage_relation(c(f), w).alias(f"_{f}") for f in ("synonyms", "antonyms", "collocations")], bands(c("examples")).alias("_bands"))
+    both = F.arrays_overlap("_synonyms.items", "_antonyms.items")
+    overlap = lambda f: F.coalesce(c(f"_{f}.code"), F.when(c(f).isNotNull() & F.coalesce(both, F.lit(False)), "REL_SYN_ANT_OVERLAP"))
+    fields = {
+        "definition_en": ("definition", triage_definition(c("definition"), w)),
+        "explanation_ar": ("explanation", triage_explanation(c("explanation"))),
+        "examples": ("examples", triage_examples(c("_bands"), w, c(pos))),
+        "translations": ("translations", triage_translations(c("translations"))),
+        "mnemonic": ("mnemonic", triage_mnemonic(c("mnemonic"))),
+        "relations_synonyms": ("synonyms", overlap("synonyms")),
+        "relations_antonyms": ("antonyms", overlap("antonyms")),
+        "relations_collocations": ("collocations", c("_collocations.code")),
+        EXEMPT: ("primary_sense", F.lit(None)),
+    }
+    coded = [F.struct(F.lit(name).alias("field"), code.cast("string").alias("code"), *([cell_hash(c(value)).alias("cell")] if cells else [])) for name, (value, code) in fields.items()]
+
+    def record(r):
+        # The code is bound by the lambda, so it is evaluated once.
+        status = F.when(r["field"] == EXEMPT, "MANUAL_REVIEW").when(r["code"].isNull(), "KEEP").when(r["code"].isin(REPAIRS), "DETERMINISTIC_REPAIR").otherwise("LLM_REVIEW")
+        return F.struct(r["field"].alias("field"), status.alias("status"), r["code"].alias("code"), (status == "LLM_REVIEW").alias("requires_llm"), (status == "MANUAL_REVIEW").alias("requires_human"), *([r["cell"].alias("cell")] if cells else []))
+
+    return told.select(key, F.inline(F.transform(F.array(*coded), record)))
 
 
 def quota_report(records: DataFrame, quotas: dict[str, float] = QUOTAS) -> DataFrame:
-    """By field: total, flagged, rate, quota and whether the rate is above it (equal is not)."""
+    """By field: total, flagged, rate, quota and whether the rate is above it (equal is not); exempt fields are absent."""
     limit = F.try_element_at(F.create_map(*[F.lit(v) for kv in quotas.items() for v in kv]), F.col("field"))
-    told = records.groupBy("field").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("status") != "KEEP").alias("flagged"))
+    told = records.where(F.col("field") != EXEMPT).groupBy("field").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("status") != "KEEP").alias("flagged"))
     rate = F.col("flagged") / F.col("total")
     return told.select("field", "total", "flagged", F.round(rate, 4).alias("rate"), limit.alias("quota"), F.coalesce(rate > limit, F.lit(False)).alias("breached"))
 
 
+def halt_on_breach(report: DataFrame) -> DataFrame:
+    """The report; reading it fails if a field is over its quota."""
+    return report.withColumn("breached", F.when(F.col("breached"), F.raise_error(F.concat(F.lit("quota breached: "), F.col("field")))).otherwise(F.col("breached")))
+
+
 def preservation(old: Column, new: Column, action: Column, old_valid: Column, new_valid: Column, state: Column, reason: Column, superior: Column, defect: Column, evidence: Column) -> Column:
     """What became of a field: the ladder of classes, the first that holds.
 
@@ -91,14 +143,37 @@ def preservation(old: Column, new: Column, action: Column, old_valid: Column, ne
 
 
 def preservation_rates(rows: DataFrame, kind: str, old_valid: str, old_has: str) -> DataFrame:
-    """Rates over the pools of valid and of defective old values; null where a pool is empty."""
+    """Seven rates over the pools of valid and of defective old values; null where a pool is empty.
+
+    Empty old values are in neither pool.
+    """
     valid, defective = F.col(old_has) & F.col(old_valid), F.col(old_has) & ~F.col(old_valid)
+    pool = lambda *kinds: F.count_if(valid & F.col(kind).isin(*kinds))
     told = rows.agg(
         F.count_if(valid).alias("valid_pool"),
         F.count_if(defective).alias("defective_pool"),
-        F.count_if(valid & F.col(kind).isin("preserved", "redundant_replace")).alias("_kept"),
-        F.count_if(valid & F.col(kind).isin("regression", "unjustified_nullification", "unjustified_change")).alias("_hurt"),
+        pool("preserved").alias("_preserved"),
         F.count_if(defective & (F.col(kind) == "repair")).alias("_repaired"),
+        pool("changed", "justified_nullification").alias("_justified"),
+        pool("unjustified_change", "field_decision_conflict").alias("_unjustified"),
+        pool("justified_nullification", "unjustified_nullification").alias("_nulled"),
+        pool("unjustified_nullification").alias("_nulled_unjustly"),
+        pool("regression", "unjustified_nullification").alias("_regressed"),
     )
-    ratio = lambda a, b: F.round(F.try_divide(F.col(a), F.col(b)), 4)
-    return told.select("valid_pool", "defective_pool", ratio("_kept", "valid_pool").alias("preserved_rate"), ratio("_hurt", "valid_pool").alias("regression_rate"), ratio("_repaired", "defective_pool").alias("repair_recall"))
+    ratio = lambda a, b="valid_pool": F.round(F.try_divide(F.col(a), F.col(b)), 6)
+    return told.select(
+        "valid_pool",
+        "defective_pool",
+        ratio("_preserved").alias("preservation_precision"),
+        ratio("_repaired", "defective_pool").alias("repair_recall"),
+        ratio("_justified").alias("justified_change_rate"),
+        ratio("_unjustified").alias("unjustified_change_rate"),
+        ratio("_nulled").alias("nullification_rate"),
+        ratio("_nulled_unjustly").alias("unjustified_nullification_rate"),
+        ratio("_regressed").alias("regression_rate"),
+    )
+
+
+def source_type(kind: Column) -> Column:
+    """Where the value that a field ends up with comes from."""
+    return F.when(kind.isin("preserved", "redundant_replace"), "legacy_preserved").when(kind == "repair", "deterministic_repair").when(kind.isin("justified_nullification", "unjustified_nullification", "remain_null"), "null").otherwise("llm_changed")

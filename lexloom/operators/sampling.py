@@ -35,13 +35,32 @@ def stratified(rows: DataFrame, quotas: DataFrame, cell: str, key: str, seed: st
     """The first ``quota`` rows of each cell in the order of their draw keys.
 
     ``most`` bounds every quota; with it Spark keeps only so many rows of a cell on each side of the shuffle.
+    A quota above it fails.
     """
     own = Window.partitionBy(cell).orderBy(draw_key(seed, F.col(key)), key)
     told = rows.withColumn("_n", F.row_number().over(own)).where(F.col("_n") <= most)
-    q = quotas.select(F.col(cell).alias("_c"), "quota")
+    q = quotas.select(F.col(cell).alias("_c"), F.when(F.col("quota") > most, F.raise_error(F.lit("a quota is above the bound"))).otherwise(F.col("quota")).alias("quota"))
     return told.join(q, F.col(cell) == F.col("_c")).where(F.col("_n") <= F.col("quota")).drop("_n", "_c", "quota")
 
 
+def without(rows: DataFrame, excluded: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not on an exclusion list (null keys stay)."""
+    return rows.join(excluded.select(key).distinct(), key, "left_anti")
+
+
+def overlap(sample: DataFrame, others: dict[str, DataFrame], key: str) -> DataFrame:
+    """The sample with ``in_<name>`` for each other set of keys: whether it holds the row, too."""
+    for name, other in others.items():
+        marked = other.select(F.col(key).alias("_k")).distinct()
+        sample = sample.join(marked, F.col(key) == F.col("_k"), "left").withColumn(f"in_{name}", F.col("_k").isNotNull()).drop("_k")
+    return sample
+
+
+def smoke_pick(rows: DataFrame, cell: str, order: str, most: int = 5) -> DataFrame:
+    """The first row of each of the first ``most`` strata by name."""
+    return one_per_stratum(rows, cell, order).orderBy(F.col(cell).asc_nulls_last()).limit(most)
+
+
 def one_per_stratum(rows: DataFrame, cell: str, order: str) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(cell).orderBy(order))).where("_n = 1").drop("_n")
 

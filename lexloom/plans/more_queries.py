@@ -64,12 +64,15 @@ def promotion_actions(spark, sf):
     return _words(spark, sf).select("id", contracts.promotion(field, verdict, value).alias("action"), contracts.disposition(verdict, F.col("zipf") > 1400, F.col("level") < "B2").alias("disposition"))
 
 
-@query(r"""WITH t AS (SELECT item_id, text || CASE item_id % 3 WHEN 0 THEN ' The Legacy model, not a seed' WHEN 1 THEN ' run_id 7' ELSE '' END AS x FROM benchmark)
-SELECT item_id, CASE item_id % 3 WHEN 0 THEN 'legacy,model,seed' WHEN 1 THEN 'run_id' ELSE '' END AS words FROM t""")
+_LEAK_SQL = ", ".join(f"regexp_extract_all(x, '(?i){shape}')" for shape in contracts.LEAKS)
+
+
+@query(rf"""WITH t AS (SELECT item_id, text || CASE item_id % 5 WHEN 0 THEN ' PILOT-V1-CAND-' || item_id || ' and exp-2026' WHEN 1 THEN ' run-A1-B Gemini-2.5 model, a seed' WHEN 2 THEN ' v2.2.3 ' || md5(item_id::VARCHAR) WHEN 3 THEN ' Pilot_Manifest output_hash' ELSE ' the legacy model and its baseline' END AS x FROM benchmark)
+SELECT item_id, array_to_string(list_sort(list_distinct(flatten([{_LEAK_SQL}]))), ',') AS words FROM t""")
 def blind_leaks(spark, sf):
-    n = F.col("item_id") % 3
-    x = F.concat("text", F.when(n == 0, " The Legacy model, not a seed").when(n == 1, " run_id 7").otherwise(""))
-    return table(spark, sf, "benchmark").select("item_id", F.array_join(contracts.leaks(x), ",").alias("words"))
+    n, i = F.col("item_id") % 5, F.col("item_id").cast("string")
+    more = F.when(n == 0, F.concat(F.lit(" PILOT-V1-CAND-"), i, F.lit(" and exp-2026"))).when(n == 1, " run-A1-B Gemini-2.5 model, a seed").when(n == 2, F.concat(F.lit(" v2.2.3 "), F.md5(i))).when(n == 3, " Pilot_Manifest output_hash").otherwise(" the legacy model and its baseline")
+    return table(spark, sf, "benchmark").select("item_id", F.array_join(F.sort_array(contracts.leaks(F.concat("text", more))), ",").alias("words"))
 
 
 @query(f"""WITH p AS ({_WORDS_SQL}) SELECT id, round(((id % 2 = 0)::INT + (id % 3 = 0)::INT + (id % 5 = 0)::INT + 2) / 5, 6) AS structural,
@@ -99,16 +102,15 @@ def reviewer_cohorts(spark, sf):
     return cohorts.cohort_pick(d, "doc_id", [("german", F.col("lang") == "de", 12), ("long", F.col("n_chars") > 3000, 9), ("rest", F.lit(True), 9)], "co")
 
 
-@query("""WITH r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY CASE WHEN n_chars > 2000 THEN 2 ELSE 0 END + CASE WHEN source = 'src3' THEN 1 ELSE 0 END DESC, md5('qd:' || doc_id), doc_id) AS n FROM documents)
-SELECT doc_id, lang FROM r WHERE n <= CASE lang WHEN 'en' THEN 20 WHEN 'de' THEN 10 WHEN 'fr' THEN 5 END""")
+@query()
 def greedy_quota_draw(spark, sf):
-    d = table(spark, sf, "documents").withColumns({"long": F.col("n_chars") > 2000, "third": F.col("source") == "src3"})
-    return cohorts.quota_draw(d, "doc_id", "lang", {"en": 20, "de": 10, "fr": 5}, {"long": 2, "third": 1}, "qd")
+    d = table(spark, sf, "documents").withColumns({"long": F.col("n_chars") > 2000, "third": F.col("source") == "src3", "lined": F.contains("text", F.lit("\n"))})
+    return cohorts.quota_draw(d, "doc_id", {"lang": {"en": 20, "de": 10, "fr": 5}, "source": {"src1": 12, "src2": 9, "src3": 14}}, {"long": 9, "third": 6, "lined": 12}, 35, "qd", F.length("text") > 15000)
 
 
-@query(f"WITH p AS ({_WORDS_SQL}) SELECT id, word, pos FROM p WHERE word IN (SELECT word FROM p WHERE level = 'A1' GROUP BY word HAVING count(DISTINCT pos) > 1) AND level = 'A1'")
+@query(f"WITH p AS ({_WORDS_SQL}) SELECT id, word, pos FROM p WHERE word IN (SELECT word FROM p GROUP BY word HAVING count(DISTINCT pos) > 1)")
 def same_word_other_pos(spark, sf):
-    return cohorts.same_word_elsewhere(_words(spark, sf).where("level = 'A1'"), "word", "pos").select("id", "word", "pos")
+    return cohorts.same_word_elsewhere(_words(spark, sf), "word", "pos").select("id", "word", "pos")
 
 
 @query("""WITH h AS (SELECT nullif(p_name, 'new plate') AS uk, CASE WHEN p_partkey % 2 = 0 THEN p_type END AS us, p_partkey FROM part)

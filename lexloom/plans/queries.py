@@ -118,83 +118,20 @@ def _artifacts(spark, sf):
 
 
 @query(_ARTIFACT_SQL + r"""
-SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, 'https?://[^\s<>"]+|www\.[^\s<>"]+', '', 'g'), '【[^】]*】', '', 'g'), '[†‡]', '', 'g'), '\s+', ' ', 'g'))) AS stripped FROM d
+SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, 'https?://\S+', '', 'g'), '【[^】]*】', '', 'g'), '[†‡]', '', 'g'), '\s+', ' ', 'g'))) AS stripped FROM d
 """)
 def strip_artifacts(spark, sf):
     return _artifacts(spark, sf).select("page_id", F.md5(T.strip_artifacts(F.col("x"))).alias("stripped"))
 
 
 @query(_ARTIFACT_SQL + r"""
-SELECT page_id, concat_ws(',', CASE WHEN regexp_matches(x, 'https?://|www\.') THEN 'URL' END, CASE WHEN regexp_matches(x, '【[^】]*】') THEN 'CITATION' END,
+SELECT page_id, concat_ws(',', CASE WHEN regexp_matches(x, 'https?://\S') THEN 'URL' END, CASE WHEN regexp_matches(x, '【[^】]*】') THEN 'CITATION' END,
   CASE WHEN regexp_matches(x, '[†‡]') THEN 'DAGGER' END, CASE WHEN regexp_matches(x, '\[[0-9]+\]') THEN 'REFERENCE' END) AS codes FROM d
 """)
 def contamination_codes(spark, sf):
     return _artifacts(spark, sf).select("page_id", F.array_join(T.learner_text_defects(F.col("x")), ",").alias("codes"))
 
 
-_TRIAGE_SQL = r"""WITH d AS (
-  SELECT doc_id, text, lang, source, string_split(text, chr(10)) AS ls, lower(regexp_extract(text, '[A-Za-z'']+')) AS w FROM documents),
-b AS (SELECT doc_id, lang, CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 9 = 1 THEN ' ' WHEN doc_id % 9 = 2 THEN 'N/A' WHEN doc_id % 9 = 3 THEN 'the ' || w ELSE ls[1] END AS definition, w,
-        CASE WHEN doc_id % 11 = 0 THEN 'شرح' WHEN doc_id % 11 = 1 THEN 'none' ELSE source END AS explanation, ls,
-        replace(ls[1], ' ', '/') AS translations, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 5 = 1 THEN '' WHEN doc_id % 5 = 2 THEN 'none' ELSE lang END AS mnemonic,
-        regexp_extract_all(ls[1], '[A-Za-z'']+') AS synonyms FROM d),
-x AS (SELECT *, [lower(trim(s, ' ')) for s in ls] AS low, list_filter([lower(trim(s, ' ')) for s in string_split(translations, '/')], lambda s: s <> '') AS slots, [lower(s) for s in synonyms] AS syn FROM b),
-c AS (SELECT doc_id,
-  CASE WHEN definition IS NULL OR trim(definition, ' ') = '' THEN 'DEF_EMPTY' WHEN lower(trim(definition, ' ')) IN ('none','n/a','na','null','nil','-','unknown') THEN 'DEF_GENERIC_NULL'
-    WHEN trim(regexp_replace(lower(w), '[^a-z0-9]+', ' ', 'g')) <> '' AND list_contains([p || trim(regexp_replace(lower(w), '[^a-z0-9]+', ' ', 'g')) for p in ['', 'a ', 'the ', 'to ', 'the act of ']] || ['the act of ' || trim(regexp_replace(lower(w), '[^a-z0-9]+', ' ', 'g')) || 'ing'], trim(regexp_replace(lower(definition), '[^a-z0-9]+', ' ', 'g'))) THEN 'DEF_CIRCULAR' END AS definition,
-  CASE WHEN explanation IS NULL OR trim(explanation, ' ') = '' THEN 'AR_EMPTY' WHEN lower(trim(explanation, ' ')) IN ('none','n/a','na','null','nil','-','unknown') THEN 'AR_GENERIC_NULL' WHEN NOT regexp_matches(explanation, '[\x{0600}-\x{06FF}]') THEN 'AR_NO_ARABIC_SCRIPT' END AS explanation,
-  CASE WHEN ls IS NULL OR len(ls) = 0 THEN 'EX_MALFORMED_JSON' WHEN list_contains([trim(s, ' ') = '' for s in ls], true) THEN 'EX_EMPTY_BAND'
-    WHEN list_contains([list_contains([lower(t) for t in regexp_extract_all(s, '[A-Za-z'']+')], w) for s in ls], false) THEN 'EX_NO_LEMMA_TOKEN'
-    WHEN len(list_distinct(low)) < len(low) THEN 'EX_DUPLICATE_BANDS'
-    WHEN list_contains([regexp_matches(trim(s, ' '), '[.!?؟۔]$') for s in ls], false) AND list_contains([regexp_matches(trim(s, ' '), '^[a-z]') for s in ls], true) THEN 'EX_SOFT_ESCALATION' END AS examples,
-  CASE WHEN translations IS NULL OR len(slots) = 0 THEN 'TR_EMPTY' WHEN len(list_distinct(slots)) < len(slots) THEN 'TR_DUPLICATE_SLOTS' END AS translations,
-  CASE WHEN mnemonic IS NULL THEN NULL WHEN trim(mnemonic, ' ') = '' THEN 'MNE_EMPTY_STRING' WHEN lower(trim(mnemonic, ' ')) IN ('none','n/a','na','null','nil','-','unknown') THEN 'MNE_GENERIC_NULL' END AS mnemonic,
-  CASE WHEN synonyms IS NULL THEN NULL WHEN list_contains(syn[2:], w) THEN 'REL_SELF_REFERENCE' WHEN len(list_distinct(syn[2:])) < len(syn[2:]) THEN 'REL_DUPLICATES' END AS synonyms
-  FROM x),
-r AS (SELECT doc_id, unnest(['definition','explanation','examples','translations','mnemonic','synonyms']) AS field, unnest([definition, explanation, examples, translations, mnemonic, synonyms]) AS code FROM c)"""
-
-
-def _triage(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "lang", "source", F.split("text", "\n").alias("ls"), F.lower(F.regexp_extract("text", "[A-Za-z']+", 0)).alias("w"))
-    i, first = F.col("doc_id"), F.element_at("ls", 1)
-    d = d.select(
-        "*",
-        F.when(i % 9 == 1, " ").when(i % 9 == 2, "N/A").when(i % 9 == 3, F.concat(F.lit("the "), "w")).when(i % 9 != 0, first).alias("definition"),
-        F.when(i % 11 == 0, "شرح").when(i % 11 == 1, "none").otherwise(F.col("source")).alias("explanation"),
-        F.replace(first, F.lit(" "), F.lit("/")).alias("translations"),
-        F.when(i % 5 == 1, "").when(i % 5 == 2, "none").when(i % 5 > 2, F.col("lang")).alias("mnemonic"),
-        F.regexp_extract_all(first, F.lit("[A-Za-z']+"), F.lit(0)).alias("synonyms"),
-    )
-    others = F.slice("synonyms", F.lit(2), F.greatest(F.size("synonyms"), F.lit(1)))
-    return rules.triage(
-        d,
-        "doc_id",
-        {
-            "definition": (F.col("definition"), rules.triage_definition(F.col("definition"), F.col("w"))),
-            "explanation": (F.col("explanation"), rules.triage_explanation(F.col("explanation"))),
-            "examples": (F.array_join("ls", "\n"), rules.triage_examples(F.col("ls"), lambda s: F.array_contains(T.tokens(s), F.col("w")))),
-            "translations": (F.col("translations"), rules.triage_translations(F.col("translations"))),
-            "mnemonic": (F.col("mnemonic"), rules.triage_mnemonic(F.col("mnemonic"))),
-            "synonyms": (F.array_join("synonyms", "|"), rules.triage_relations(others, F.col("w"))),
-        },
-    )
-
-
-_STATUS_SQL = "CASE WHEN code IS NULL THEN 'KEEP' WHEN code LIKE 'MNE%' THEN 'DETERMINISTIC_REPAIR' ELSE 'LLM_REVIEW' END"
-
-
-@query(_TRIAGE_SQL + f" SELECT doc_id, field, {_STATUS_SQL} AS status, code FROM r")
-def field_triage_records(spark, sf):
-    return _triage(spark, sf).drop("cell")
-
-
-@query(_TRIAGE_SQL + """,
-q AS (SELECT field, count(*) AS total, count(code) AS flagged, CASE field WHEN 'examples' THEN 0.35 WHEN 'synonyms' THEN 0.3 WHEN 'translations' THEN 0.3 ELSE 0.2 END::DOUBLE AS quota FROM r GROUP BY field)
-SELECT field, total, flagged, round(flagged / total, 4) AS rate, quota, flagged / total > quota AS breached FROM q""")
-def triage_quota_report(spark, sf):
-    return rules.quota_report(_triage(spark, sf))
-
-
 _TIE_SQL = "CASE pos WHEN 'det' THEN 1 WHEN 'pron' THEN 2 WHEN 'conj' THEN 3 WHEN 'prep' THEN 4 WHEN 'noun' THEN 5 WHEN 'verb' THEN 6 WHEN 'adj' THEN 7 WHEN 'adv' THEN 8 WHEN 'num' THEN 9 ELSE 10 END"
 _RATIO_SQL = "CASE pos WHEN 'verb' THEN 1.0 WHEN 'prep' THEN 0.93 WHEN 'noun' THEN 0.88 WHEN 'adv' THEN 0.75 WHEN 'adj' THEN 0.7 WHEN 'num' THEN 0.65 ELSE 0.5 END"
 _GAP_SQL = "CASE first(level) OVER w WHEN 'A1' THEN 100 WHEN 'A2' THEN 150 WHEN 'B1' THEN 200 WHEN 'B2' THEN 300 WHEN 'C1' THEN 400 WHEN 'C2' THEN 500 ELSE 200 END"
@@ -266,13 +203,14 @@ def membership_views(spark, sf):
     return evidence.membership(table(spark, sf, "orders").select(F.col("o_custkey").alias("k")), table(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("k")), "k")
 
 
-@query("""WITH w AS (SELECT DISTINCT p_name || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE '/' || p_brand END AS k FROM part),
-m AS (SELECT p_name || '/' || p_brand AS k, count(*) AS n, min(p_partkey) AS id FROM part GROUP BY 1)
-SELECT w.k AS key, coalesce(n, 0) AS matches, CASE WHEN n IS NULL THEN 'not found' WHEN n > 1 THEN 'ambiguous' ELSE 'ok' END AS status, CASE WHEN n = 1 THEN id END AS id FROM w LEFT JOIN m USING (k)""")
+@query("""WITH w AS (SELECT DISTINCT CASE WHEN p_partkey % 2 = 0 THEN upper(x) ELSE x END AS k FROM (SELECT p_partkey, p_name || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE '/' || p_brand END AS x FROM part)),
+m AS (SELECT lower(p_name || '/' || p_brand) AS f, count(*) AS n, min(p_partkey) AS id FROM part GROUP BY 1)
+SELECT w.k AS key, coalesce(n, 0) AS matches, CASE WHEN n IS NULL THEN 'not found' WHEN n > 1 THEN 'ambiguous' ELSE 'ok' END AS status, CASE WHEN n = 1 THEN id END AS id FROM w LEFT JOIN m ON lower(w.k) = m.f""")
 def identity_multiplicity(spark, sf):
     p = table(spark, sf, "part")
     full = F.concat_ws("/", "p_name", "p_brand")
-    wanted = p.select(F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).otherwise(full).alias("key")).distinct()
+    key = F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).otherwise(full)
+    wanted = p.select(F.when(F.col("p_partkey") % 2 == 0, F.upper(key)).otherwise(key).alias("key")).distinct()
     master = p.select(full.alias("k"), F.col("p_partkey").alias("id"))
     return evidence.exactly_one(wanted.withColumnRenamed("key", "k"), master, "k", ["id"]).withColumnRenamed("k", "key")
 
@@ -426,12 +364,21 @@ def preservation_classes(spark, sf):
     return _preserved(spark, sf).select("conv_id", "turn", "role", "kind")
 
 
-@query(_PRESERVE_SQL + """, s AS (SELECT count(*) FILTER (ho AND ov) AS valid_pool, count(*) FILTER (ho AND NOT ov) AS defective_pool, count(*) FILTER (ho AND ov AND kind IN ('preserved', 'redundant_replace')) AS a, count(*) FILTER (ho AND ov AND kind IN ('regression', 'unjustified_nullification', 'unjustified_change')) AS b, count(*) FILTER (ho AND NOT ov AND kind = 'repair') AS c FROM k)
-SELECT valid_pool, defective_pool, round(a / nullif(valid_pool, 0), 4) AS preserved_rate, round(b / nullif(valid_pool, 0), 4) AS regression_rate, round(c / nullif(defective_pool, 0), 4) AS repair_recall FROM s""")
+@query(_PRESERVE_SQL + """, s AS (SELECT count(*) FILTER (ho AND ov) AS valid_pool, count(*) FILTER (ho AND NOT ov) AS defective_pool, count(*) FILTER (ho AND NOT ov AND kind = 'repair') AS r FROM k),
+vp AS (SELECT kind, count(*) AS n FROM k WHERE ho AND ov GROUP BY kind),
+n AS (SELECT coalesce(sum(n) FILTER (kind = 'preserved'), 0) AS p, coalesce(sum(n) FILTER (kind IN ('changed', 'justified_nullification')), 0) AS j, coalesce(sum(n) FILTER (kind IN ('unjustified_change', 'field_decision_conflict')), 0) AS u,
+  coalesce(sum(n) FILTER (kind LIKE '%nullification'), 0) AS z, coalesce(sum(n) FILTER (kind = 'unjustified_nullification'), 0) AS zu, coalesce(sum(n) FILTER (kind IN ('regression', 'unjustified_nullification')), 0) AS g FROM vp)
+SELECT valid_pool, defective_pool, round(p / nullif(valid_pool, 0), 6) AS preservation_precision, round(r / nullif(defective_pool, 0), 6) AS repair_recall, round(j / nullif(valid_pool, 0), 6) AS justified_change_rate, round(u / nullif(valid_pool, 0), 6) AS unjustified_change_rate,
+  round(z / nullif(valid_pool, 0), 6) AS nullification_rate, round(zu / nullif(valid_pool, 0), 6) AS unjustified_nullification_rate, round(g / nullif(valid_pool, 0), 6) AS regression_rate FROM s, n""")
 def preservation_report(spark, sf):
     return rules.preservation_rates(_preserved(spark, sf), "kind", "old_valid", "old_has")
 
 
+@query(_PRESERVE_SQL + " SELECT CASE WHEN kind IN ('preserved', 'redundant_replace') THEN 'legacy_preserved' WHEN kind = 'repair' THEN 'deterministic_repair' WHEN kind IN ('justified_nullification', 'unjustified_nullification', 'remain_null') THEN 'null' ELSE 'llm_changed' END AS source, count(*) AS n FROM k GROUP BY 1")
+def source_types(spark, sf):
+    return _preserved(spark, sf).groupBy(rules.source_type(F.col("kind")).alias("source")).agg(F.count(F.lit(1)).alias("n"))
+
+
 _ALLOC_SQL = """WITH c AS (SELECT lang || '/' || source AS cell, count(*) AS size FROM documents GROUP BY 1),
 a AS (SELECT *, size <= 2 AS small, 400 - coalesce(sum(size) FILTER (size <= 2) OVER (), 0) AS lft, coalesce(sum(size) FILTER (size > 2) OVER (), 0) AS mass FROM c),
 b AS (SELECT *, size::DOUBLE * lft::DOUBLE / nullif(mass, 0)::DOUBLE AS exact FROM a),
@@ -507,9 +454,10 @@ def cell_migration_audit(spark, sf):
     return migration.audit_rows(_changes(spark, sf)[1], "p_partkey")
 
 
-@query("""WITH h AS (SELECT ('0x' || substr(md5(concat_ws('|', n_name, n_nationkey, n_regionkey)), 1, 8))::BIGINT AS h FROM nation) SELECT count(*) AS n_rows, sum(h)::BIGINT AS hash_sum FROM h""")
+@query("""WITH j AS (SELECT sha256('{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '","c_name":"' || c_name || '","c_nationkey":' || c_nationkey || '}') AS h FROM customer)
+SELECT count(*) AS n_rows, sha256(count(*) || ':' || sum(('0x' || substr(h, 1, 15))::BIGINT::HUGEINT) || ':' || sum(('0x' || substr(h, 16, 15))::BIGINT::HUGEINT)) AS sha256 FROM j""")
 def table_logical_hash(spark, sf):
-    return migration.logical_hash(table(spark, sf, "nation"))
+    return migration.logical_hash(table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey"))
 
 
 @query("""WITH t AS (SELECT count(*) AS n, count(*) FILTER (nullif(trim(quality::VARCHAR), '') IS NULL) AS q, count(*) FILTER (nullif(trim(toxic::VARCHAR), '') IS NULL) AS x FROM documents LEFT JOIN labels USING (doc_id))

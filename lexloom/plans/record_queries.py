@@ -41,32 +41,7 @@ def bilingual_split(spark, sf):
 @query("""WITH w AS (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)
 SELECT p_partkey, array_to_string(list_sort(list_distinct([w[1] || ' ' || w[2], w[1] || 's ' || w[2], w[1] || ' ' || w[2] || 's'])), '|') AS variants FROM w""")
 def phrase_variants(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", F.array_join(F.sort_array(V.phrase_variants(F.col("p_name"), lambda w: F.array(w, F.concat(w, F.lit("s"))))), "|").alias("variants"))
-
-
-@query("""WITH f AS (SELECT p_partkey AS id, p_name AS w, unnest(['definition', 'phonetic', 'mnemonic']) AS field,
-  unnest([CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'abc' WHEN 2 THEN upper(p_name) ELSE 'a thing of use' END, CASE p_partkey % 3 WHEN 0 THEN '/x/' WHEN 1 THEN 'N/A' ELSE 'x' END, CASE p_partkey % 3 WHEN 0 THEN 'see [1]' WHEN 1 THEN ' ' ELSE p_type END]) AS v FROM part),
-y AS (SELECT id, field, CASE WHEN v IS NULL OR trim(v) = '' OR lower(trim(v)) IN ('none','n/a','na','null','nil','-','unknown') THEN 'empty'
-  WHEN field = 'definition' AND length(trim(v)) < 5 THEN 'too short' WHEN field = 'definition' AND lower(trim(v)) = lower(w) THEN 'is the word'
-  WHEN field = 'phonetic' AND contains(v, '/') THEN 'slashes' WHEN field = 'mnemonic' AND regexp_matches(v, '[\\[\\]{}]') THEN 'brackets' END AS why FROM f)
-SELECT id, field, why IS NULL AS valid, why FROM y""".replace("\\\\", "\\"))
-def field_validity(spark, sf):
-    i, w = F.col("p_partkey"), F.col("p_name")
-    fields = {
-        "definition": F.when(i % 4 == 1, "abc").when(i % 4 == 2, F.upper(w)).when(i % 4 == 3, "a thing of use"),
-        "phonetic": F.when(i % 3 == 0, "/x/").when(i % 3 == 1, "N/A").otherwise("x"),
-        "mnemonic": F.when(i % 3 == 0, "see [1]").when(i % 3 == 1, " ").otherwise(F.col("p_type")),
-    }
-    told = F.inline(F.array(*[F.struct(F.lit(k).alias("field"), V.field_validity(k, v, w).alias("x")) for k, v in fields.items()]))
-    return table(spark, sf, "part").select(i.alias("id"), told).select("id", "field", "x.valid", "x.why")
-
-
-@query("""SELECT doc_id, length(trim(x, ' ')) >= 10 AND NOT regexp_matches(trim(x, ' '), '(?i)\\b(not needed|no reason|n/a|none|because|better|improved|unnecessary|as requested|see above|obvious|default|ok|same)\\b') AS suffices
-FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Better now, ' || lang WHEN 1 THEN source WHEN 2 THEN 'the source ' || source || ' holds a wrong sense' ELSE 'OK ' || source || ' as is' END AS x FROM documents)""".replace("\\\\", "\\"))
-def argument_suffices(spark, sf):
-    i = F.col("doc_id") % 4
-    x = F.when(i == 0, F.concat(F.lit("Better now, "), "lang")).when(i == 1, F.col("source")).when(i == 2, F.concat(F.lit("the source "), "source", F.lit(" holds a wrong sense"))).otherwise(F.concat(F.lit("OK "), "source", F.lit(" as is")))
-    return table(spark, sf, "documents").select("doc_id", V.argument_suffices(x).alias("suffices"))
+    return table(spark, sf, "part").select("p_partkey", F.array_join(F.sort_array(T.phrase_variants(F.col("p_name"), lambda w: F.array(w, F.concat(w, F.lit("s"))))), "|").alias("variants"))
 
 
 @query("""SELECT doc_id, concat_ws(',', CASE WHEN quality IS NULL THEN 'label.quality' END, CASE WHEN lang IS NULL THEN 'document.lang' END, CASE WHEN nullif(toxic, 0) IS NULL THEN 'document.toxic' END) AS missing FROM documents LEFT JOIN labels USING (doc_id)""")
@@ -99,21 +74,23 @@ def metric_changes(spark, sf):
     return told.select("level", "metric", F.round("before", 6).alias("before"), F.round("after", 6).alias("after"), "change")
 
 
-@query("""SELECT user_id, bool_or(event_type = 'click') AS click, bool_or(event_type = 'error') AS error, bool_or(event_type = 'click') AND bool_or(event_type = 'error') AS complete FROM events WHERE event_id % 9 = 0 GROUP BY 1""")
+@query("""SELECT user_id, bool_or(event_type = 'click') AS click, bool_or(event_type = 'error') AS error, bool_or(event_type = 'click') AND bool_or(event_type = 'error') AS complete FROM events GROUP BY 1""")
 def phases_per_key(spark, sf):
-    return records.phases(table(spark, sf, "events").where("event_id % 9 = 0"), "user_id", "event_type", ["click", "error"])
+    return records.phases(table(spark, sf, "events"), "user_id", "event_type", ["click", "error"])
 
 
-@query("""WITH m AS (SELECT max(n_nationkey) AS m FROM nation WHERE n_nationkey < 10) SELECT n_nationkey, printf('ID-%04d', (m + row_number() OVER (ORDER BY n_nationkey))::INT) AS id FROM nation, m WHERE n_nationkey >= 10""")
+@query("""WITH m AS (SELECT max(c_custkey) AS m FROM customer WHERE c_nationkey < 10) SELECT c_custkey, printf('ID-%04d', (m + row_number() OVER (ORDER BY c_custkey))::INT) AS id FROM customer, m WHERE c_nationkey >= 10""")
 def allocated_ids(spark, sf):
-    n = table(spark, sf, "nation")
-    held = n.where("n_nationkey < 10").select(F.format_string("ID-%04d", "n_nationkey").alias("id"))
-    return records.next_ids(n.where("n_nationkey >= 10").select("n_nationkey"), held, "id", "n_nationkey", "ID")
+    c = table(spark, sf, "customer")
+    held = c.where("c_nationkey < 10").select(F.format_string("ID-%04d", "c_custkey").alias("id"))
+    return records.next_ids(c.where("c_nationkey >= 10").select("c_custkey"), held, "id", "c_custkey", "ID")
 
 
-@query("""SELECT count(*) AS n, sha256(string_agg(c_custkey::VARCHAR, chr(10) ORDER BY c_custkey::VARCHAR)) AS sha256 FROM customer WHERE c_custkey % 100 = 7""")
+@query("""WITH k AS (SELECT c_custkey::VARCHAR AS x, row_number() OVER (ORDER BY c_custkey::VARCHAR) - 1 AS i FROM customer),
+g AS (SELECT i // 4096 AS r, sha256(string_agg(x, chr(10) ORDER BY i)) AS h FROM k GROUP BY 1)
+SELECT (SELECT count(*) FROM k) AS n, CASE WHEN count(*) = 1 THEN min(h) ELSE sha256(string_agg(h, chr(10) ORDER BY r)) END AS sha256 FROM g""")
 def selection_hash(spark, sf):
-    return records.selection_hash(table(spark, sf, "customer").where("c_custkey % 100 = 7"), "c_custkey")
+    return records.selection_hash(table(spark, sf, "customer"), "c_custkey")
 
 
 @query("""WITH o AS (SELECT conv_id, count(*) AS turns, max(role) AS who FROM conversations WHERE turn < 2 GROUP BY 1), n AS (SELECT conv_id, count(*) AS turns, min(role) AS who FROM conversations WHERE turn >= 2 GROUP BY 1)
