@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from .ranking import global_position
 
 
+def transport(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The named columns under their names of transport, and no others."""
+    return rows.select(*[F.col(c).alias(name) for c, name in names.items()])
+
+
 def missing_fields(groups: dict[str, list[str]]) -> Column:
     """``group.field`` of every required field of a nested record that is null, in order."""
     paths = [f"{g}.{f}" for g, fs in groups.items() for f in fs]

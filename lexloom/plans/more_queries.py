@@ -67,11 +67,11 @@ def promotion_actions(spark, sf):
 _LEAK_SQL = ", ".join(f"regexp_extract_all(x, '(?i){shape}')" for shape in contracts.LEAKS)
 
 
-@query(rf"""WITH t AS (SELECT item_id, text || CASE item_id % 5 WHEN 0 THEN ' PILOT-V1-CAND-' || item_id || ' and exp-2026' WHEN 1 THEN ' run-A1-B Gemini-2.5 model, a seed' WHEN 2 THEN ' v2.2.3 ' || md5(item_id::VARCHAR) WHEN 3 THEN ' Pilot_Manifest output_hash' ELSE ' the legacy model and its baseline' END AS x FROM benchmark)
+@query(rf"""WITH t AS (SELECT item_id, text || CASE item_id % 5 WHEN 0 THEN ' PILOT-V1-CAND-' || item_id || ' and exp-2026' WHEN 1 THEN ' run-A1-B Gemini-2.5 model, a seed' WHEN 2 THEN ' at 2.2.3 ' || md5(item_id::VARCHAR) WHEN 3 THEN ' Pilot_Manifest output_hash' ELSE ' the legacy model and its baseline' END AS x FROM benchmark)
 SELECT item_id, array_to_string(list_sort(list_distinct(flatten([{_LEAK_SQL}]))), ',') AS words FROM t""")
 def blind_leaks(spark, sf):
     n, i = F.col("item_id") % 5, F.col("item_id").cast("string")
-    more = F.when(n == 0, F.concat(F.lit(" PILOT-V1-CAND-"), i, F.lit(" and exp-2026"))).when(n == 1, " run-A1-B Gemini-2.5 model, a seed").when(n == 2, F.concat(F.lit(" v2.2.3 "), F.md5(i))).when(n == 3, " Pilot_Manifest output_hash").otherwise(" the legacy model and its baseline")
+    more = F.when(n == 0, F.concat(F.lit(" PILOT-V1-CAND-"), i, F.lit(" and exp-2026"))).when(n == 1, " run-A1-B Gemini-2.5 model, a seed").when(n == 2, F.concat(F.lit(" at 2.2.3 "), F.md5(i))).when(n == 3, " Pilot_Manifest output_hash").otherwise(" the legacy model and its baseline")
     return table(spark, sf, "benchmark").select("item_id", F.array_join(F.sort_array(contracts.leaks(F.concat("text", more))), ",").alias("words"))
 
 

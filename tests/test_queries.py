@@ -7,6 +7,7 @@ import os
 import duckdb
 import pytest
 
+import lexloom.plans.lookup_queries  # noqa: F401  (registers further queries)
 import lexloom.plans.more_queries  # noqa: F401  (registers further queries)
 import lexloom.plans.record_queries  # noqa: F401  (registers further queries)
 import lexloom.plans.rule_queries  # noqa: F401  (registers further queries)

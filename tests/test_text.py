@@ -38,9 +38,9 @@ def test_closure(spark, word, pos, forms):
     assert set(one(spark, T.lemma_closure(F.col("w"), F.col("p")), w=word, p=pos)) == forms
 
 
-@pytest.mark.parametrize(("text", "word", "pos", "there"), [("She stopped.", "stop", "verb", True), ("A shop.", "stop", "verb", False), ("We gave up-- ", "give up", "verb", False), ("Never give-up now", "give up", "verb", True)])
+@pytest.mark.parametrize(("text", "word", "pos", "there"), [("She stopped.", "stop", "verb", True), ("A shop.", "stop", "verb", False), ("We gave up-- ", "give up", "verb", False), ("Never give-up now", "give up", "verb", True), ("He gives up.", "give up", "verb", True), ("I like chocolate ice cream.", "ice cream", "noun", True), ("Do not abandon your friends.", "abandon", "verb", True), (None, "sun", "noun", False)])
 def test_target_present(spark, text, word, pos, there):
-    assert one(spark, T.target_present(F.col("t"), F.col("w"), F.col("p")), t=text, w=word, p=pos) is there
+    assert one(spark, T.target_present(F.col("t").cast("string"), F.col("w"), F.col("p")), t=text, w=word, p=pos) is there
 
 
 @pytest.mark.parametrize(("definition", "circular"), [("The act of run.", True), ("to run", True), ("run", True), ("a run", True), ("to move fast", False), (None, False)])
@@ -79,3 +79,25 @@ def test_pos_names(spark):
     assert one(spark, T.pos_long(F.lit("adv"))) == "adverb"
     assert one(spark, T.pos_short(F.lit("weird"))) == "weird"
     assert one(spark, T.pos_short(F.lit(" "))) is None
+
+
+@pytest.mark.parametrize(
+    ("kind", "value", "why"),
+    [
+        ("definition", None, "empty"), ("definition", "to run", "circular"), ("definition", "abc", ""), ("explanation", "لا يوجد", "generic_null"), ("explanation", "[x]", "bracket_placeholder"), ("explanation", "abc", ""),
+        ("examples", ["I run.", "run"], "count!=3"), ("examples", ["I run.", "run", " "], "empty_example"), ("examples", ["I run.", "run", "runs"], "target_missing"), ("examples", ["I run.", "run", "Run!", ""], ""),
+        ("translations", ["none", "N/A"], "generic_null"), ("translations", [" "], "empty"), ("relations", [], "empty"), ("relations", ["x"], ""), ("mnemonic", None, "null"), ("mnemonic", " ", "empty"), ("mnemonic", "None", "generic_null"), ("mnemonic", "see [1]", ""),
+    ],
+)
+def test_field_validity(spark, kind, value, why):
+    from lexloom.functions import values as V
+
+    x = F.lit(value).cast("string") if not isinstance(value, list) else F.array(*map(F.lit, value)).cast("array<string>")
+    assert tuple(spark.range(1).select(V.field_validity(kind, x, F.lit("run")).alias("x")).first().x) == (why == "", why)
+
+
+@pytest.mark.parametrize(("reason", "ok"), [("wrong because the sense belongs to another headword", True), ("short", False), ("it is Not  Ideal here", False), (None, False), ("better wording in the same sense", True), ("an uncertain etymology", False)])
+def test_reasons(spark, reason, ok):
+    from lexloom.functions import values as V
+
+    assert spark.range(1).select(V.reason_suffices(F.lit(reason).cast("string")).alias("x")).first().x.suffices is ok
