@@ -157,7 +157,7 @@ def candidate_cursor(raw: Column) -> Column:
         nested = F.coalesce(listed(f"$.relations.{name}"), none)
         return F.when(F.size(nested) > 0, nested).otherwise(F.coalesce(listed(f"$.{name}"), none))
 
-    by_key = F.coalesce(*[F.nullif(text(f"$.translations.{k}"), F.lit("")) for k in ("arabic_ar", "ar", "Arabic")], F.element_at(F.filter(F.map_values(F.try_variant_get(v, "$.translations", "map<string,string>")), lambda x: F.trim(x) != ""), 1))
+    by_key = F.coalesce(*[F.nullif(text(f"$.translations.{k}"), F.lit("")) for k in ("arabic_ar", "ar", "Arabic")], F.try_element_at(F.filter(F.map_values(F.try_variant_get(v, "$.translations", "map<string,string>")), lambda x: F.trim(x) != ""), F.lit(1)))
     translations = F.when(kind("$.translations").startswith("ARRAY"), F.array_join(F.filter(F.try_variant_get(v, "$.translations", "array<string>"), lambda x: F.trim(x) != ""), " ")).when(kind("$.translations").startswith("OBJECT"), by_key).otherwise(text("$.translations"))
     of_examples = kind("$.examples")
     examples = F.when(of_examples.startswith("ARRAY<OBJECT"), F.transform(F.try_variant_get(v, "$.examples", "array<struct<example_text:string>>"), lambda e: e["example_text"])).when(of_examples.startswith("ARRAY"), F.try_variant_get(v, "$.examples", "array<string>"))
