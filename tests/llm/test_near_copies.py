@@ -1,6 +1,7 @@
 import random
 
 from lexloom.llm import near_copies
+from lexloom.llm.components import components
 
 
 def test_what_stays_is_what_exact_similarity_leaves(spark):
@@ -52,3 +53,28 @@ def test_a_large_group_and_a_very_long_text(spark):
     rows += [(1000, " ".join(long)), (1001, " ".join([*long[:-100], "changed"])), (1002, " ".join(long[:30_000]))]
     got = {r.doc_id for r in near_copies.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
     assert got == {0, 1000, 1002}
+
+
+def test_large_loose_components_are_split_without_losing_a_link(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    texts = []
+    for n in (40, 80):  # chains: each text replaces a word of the one before, so that far ones are not similar
+        now = [word() for _ in range(n)]
+        for k in range(60):
+            now = [*now[: k % n], word(), *now[k % n + 1 :]]
+            texts.append(now)
+    base = [word() for _ in range(100)]
+    texts += [[*base[:k], word(), *base[k + 1 :]] for k in range(90)]  # a star
+    rng.shuffle(texts)
+    sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "node long, text string").repartition(4)
+    for chunk in (7, 40, 1000):
+        got = {r.node: r.root for r in components(near_copies.near_links(rows, 5, 0.8, chunk)).collect()}
+        assert [got.get(i, i) for i in range(len(texts))] == root
