@@ -27,6 +27,21 @@ def agreement_matrix(rows: DataFrame, field: str, status: str) -> DataFrame:
     return told.withColumn("ratio", F.round(F.try_divide(F.col("agree"), F.col("agree") + F.col("flip") + F.col("mismatch")), 4))
 
 
+def overall_agreement(rows: DataFrame, status: str) -> DataFrame:
+    """One row: counts of each status over all fields and the share of agreement among what is not an abstention."""
+    kinds = ("agree", "flip", "abstain", "mismatch")
+    told = rows.agg(*[F.count_if(F.col(status) == k).alias(k) for k in kinds])
+    return told.withColumn("ratio", F.round(F.try_divide(F.col("agree"), F.col("agree") + F.col("flip") + F.col("mismatch")), 4))
+
+
+def reconciled(human: DataFrame, sides: DataFrame, machine: DataFrame, key: str, field: str, verdict: str, a: str) -> DataFrame:
+    """Human ballots decoded beside what the machine decided of the same field, empty where it decided nothing."""
+    own = decode(human, sides, key, verdict, a)
+    other = machine.select(F.col(key).alias("_k"), F.col(field).alias("_f"), F.col("decoded").alias("machine"))
+    told = own.join(other, (F.col(key) == F.col("_k")) & (F.col(field) == F.col("_f")), "left").drop("_k", "_f")
+    return told.withColumn("machine", F.coalesce("machine", F.lit(""))).withColumn("status", agreement(F.col("decoded"), F.col("machine")))
+
+
 def pair_overlap(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row: pairs in both, and in one only, each pair counted once."""
     cols = a.columns

@@ -52,3 +52,14 @@ def numbered_batches(rows: DataFrame, scope: str, order: str, size: int) -> Data
     """``batch_id`` and ``ordinal`` of each row within its scope."""
     n = F.row_number().over(Window.partitionBy(scope).orderBy(order)) - 1
     return rows.withColumn("_n", n).withColumns({"batch_id": F.format_string("%s_batch_%d", F.col(scope), F.floor(F.col("_n") / size) + 1), "ordinal": (F.col("_n") % size + 1).cast("int")}).drop("_n")
+
+
+def envelope_presence(lines: DataFrame, line: str, keys: list[str]) -> DataFrame:
+    """``key, n, share`` of top-level keys over all lines."""
+    told = lines.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.coalesce(F.array_contains(F.json_object_keys(line), k), F.lit(False))).alias(k) for k in keys])
+    return told.select("_n", F.explode(F.create_map(*[x for k in keys for x in (F.lit(k), F.col(k))])).alias("key", "n")).select("key", "n", F.round(F.try_divide(F.col("n"), F.col("_n")), 4).alias("share"))
+
+
+def repeated_line_keys(lines: DataFrame, line: str, key: str) -> DataFrame:
+    """``key, n`` of keys that several lines have."""
+    return lines.select(F.get_json_object(line, f"$.{key}").alias("key")).where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -70,3 +70,9 @@ def crosstab(rows: DataFrame, level: str, flags: dict[str, Column]) -> DataFrame
     """Counts of each flag by level, and in all (level ``all``)."""
     told = rows.rollup(level).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_g"), *[F.count_if(c).alias(k) for k, c in flags.items()])
     return told.withColumn(level, F.when(F.col("_g") == 1, "all").otherwise(F.col(level))).drop("_g")
+
+
+def out_of_bounds(rows: DataFrame, score: str, level: str, pos: str, rank: str, word: str) -> DataFrame:
+    """Rows whose score is not within their level's bounds (X4), with ``proposed``, the score they should have."""
+    wrong = rows.where(~score_in_bounds(F.col(score), F.col(level)))
+    return wrong.withColumn("proposed", difficulty(F.col(level), F.col(pos), F.col(rank), F.col(word)))

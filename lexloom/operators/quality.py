@@ -38,3 +38,22 @@ def gate(rows: DataFrame, tests: dict[str, Column]) -> DataFrame:
     """Rows with ``rejected``: the codes of the tests they fail, in order; accepted rows have none."""
     codes = F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(code)) for code, ok in tests.items()]), lambda c: c.isNotNull())
     return rows.withColumn("rejected", codes)
+
+
+def imported(rows: DataFrame, word: str, pos: str, level: str, levels: list[str], numbers: dict[str, float]) -> tuple[DataFrame, DataFrame]:
+    """Rows that may enter (V6), trimmed and with defaults for missing numbers, and those that may not, with ``reason``.
+
+    A row without a word is neither: it is left out without a reason.
+    """
+    told = rows.withColumns({c: F.trim(F.coalesce(F.col(c), F.lit(""))) for c in (word, pos, level)}).where(F.col(word) != "")
+    told = told.withColumn("reason", F.when(F.col(pos) == "", "missing part of speech").when(~F.col(level).isin(levels), "bad level"))
+    fine = told.where("reason is null").drop("reason").withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(d)) for c, d in numbers.items()})
+    return fine.withColumn("normalized", F.lower(word)), told.where("reason is not null")
+
+
+def asserted_count(rows: DataFrame, n: int) -> DataFrame:
+    """The rows; fails unless there are just ``n``."""
+    got = rows.count()
+    if got != n:
+        raise ValueError(f"{got} rows where {n} are expected")
+    return rows

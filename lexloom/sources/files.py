@@ -43,6 +43,53 @@ def append_log(rows: DataFrame, path: str, sound: Column) -> DataFrame:
     return rows.where(~F.coalesce(sound, F.lit(False)))
 
 
+def append_numbered(rows: DataFrame, path: str, sound: Column, order: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """Append the sound rows to a log with the line each has in it, 1-based (K2); gives ``key, line`` and what was refused."""
+    from ..operators.ranking import global_position
+
+    spark = rows.sparkSession
+    fine = rows.where(F.coalesce(sound, F.lit(False)))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held = spark.read.text(path).count() if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder) else 0
+    placed = global_position(fine, [F.col(order), F.col(key)], "line").withColumn("line", F.col("line") + held)
+    placed.write.mode("append").json(path)
+    return placed.select(key, "line"), rows.where(~F.coalesce(sound, F.lit(False)))
+
+
+def write_sealed(rows: DataFrame, path: str, key: str) -> str:
+    """JSON lines in a folder, and beside it a file with the hash of all of them (K1); gives the hash."""
+    from ..operators.records import selection_hash
+
+    spark = rows.sparkSession
+    lines = rows.select(F.to_json(F.struct(*[F.col(c) for c in rows.columns]), {"ignoreNullFields": "false"}).alias("value"))
+    lines.write.mode("errorifexists").text(path)
+    seal = selection_hash(spark.read.text(path), "value").first().sha256
+    out_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.sha256")
+    out = out_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(out_path, False)
+    out.write(bytearray(seal.encode()))
+    out.close()
+    return seal
+
+
+def card(title: Column, lines: dict[str, Column]) -> Column:
+    """A Markdown card (K9): a heading and one item a line that says something."""
+    said = F.filter(F.array(*[F.when(F.coalesce(x.cast("string"), F.lit("")) != "", F.concat(F.lit(f"- {name}: "), x.cast("string"))) for name, x in lines.items()]), lambda x: x.isNotNull())
+    return F.concat(F.lit("## "), title, F.lit("\n"), F.array_join(said, "\n"))
+
+
+def remapped(value: Column, moves: dict[str, str], known: list[str], default: str) -> Column:
+    """A value under its new name; a known one stays, any other becomes the default (K4)."""
+    table = F.create_map(*[F.lit(x) for kv in moves.items() for x in kv])
+    return F.coalesce(F.try_element_at(table, value), F.when(value.isin(known), value), F.lit(default))
+
+
+def updated(table: DataFrame, changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """The table with whole columns of some rows replaced (K3), nulls included."""
+    new = changes.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    told = table.join(new, F.col(key) == F.col("_k"), "left")
+    return told.select(*[F.when(F.col("_k").isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in table.columns])
+
+
 def insert_new(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """Insert or ignore: the table, and those rows whose key it lacks (one of each)."""
     return table.unionByName(rows.dropDuplicates(keys).join(table.select(*keys), keys, "left_anti"))
