@@ -26,8 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df``, checkpointed in ``spark.checkpoint.dir`` (a temporary folder where that is unset, as in tests)."""
+    """``df``, checkpointed in ``spark.checkpoint.dir`` (a temporary folder where that is unset on a local master, as in tests)."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexloom-"))
+        named = context.getConf().get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexloom-"))
     return df.checkpoint()

@@ -11,20 +11,23 @@ from .base import table
 from .queries import _WORDS_SQL, _words, query
 
 
-@query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_partkey::VARCHAR WHEN 1 THEN 'x' || p_partkey ELSE p_name END AS value,
-  CASE p_partkey % 4 WHEN 0 THEN '100%% ' || p_name ELSE p_name END AS escaped FROM part""")
+@query("""WITH x AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN ' 0' || p_partkey WHEN 1 THEN 'x' || p_partkey ELSE p_name END AS raw, CASE p_partkey % 4 WHEN 0 THEN '100% ' || p_name ELSE p_name END AS p FROM part)
+SELECT p_partkey, coalesce(try_cast(trim(raw) AS BIGINT)::VARCHAR, raw) AS value, replace(p, '%', '%%') AS escaped FROM x""")
 def loose_values(spark, sf):
     i = F.col("p_partkey")
     raw = F.when(i % 3 == 0, F.concat(F.lit(" 0"), i.cast("string"))).when(i % 3 == 1, F.concat(F.lit("x"), i.cast("string"))).otherwise(F.col("p_name"))
     return table(spark, sf, "part").select("p_partkey", V.maybe_int(raw).alias("value"), V.escape_percent(F.when(i % 4 == 0, F.concat(F.lit("100% "), "p_name")).otherwise(F.col("p_name"))).alias("escaped"))
 
 
-@query("""SELECT p_partkey, concat_ws('|', CASE WHEN length(p_name) > 4 THEN p_name END, CASE WHEN length(p_type) > 4 THEN p_type END) AS parts FROM part""")
+@query("""WITH x AS (SELECT p_partkey, p_name || '☆ abc ☆' || p_type || ' ' AS x FROM part)
+SELECT p_partkey, array_to_string(list_filter([trim(p) for p in string_split(x, '☆')], lambda p: length(p) > 4), '|') AS parts FROM x""")
 def star_parts(spark, sf):
     return table(spark, sf, "part").select("p_partkey", F.array_join(V.star_parts(F.concat("p_name", F.lit("☆ abc ☆"), "p_type", F.lit(" "))), "|").alias("parts"))
 
 
-@query("""SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'A1=' || event_type || ';B1=' || user_id WHEN 1 THEN '=' || event_type || ';=b' ELSE '' END AS examples FROM events""")
+@query("""WITH x AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN '{"A1": "' || event_type || '", "B1": "' || user_id || '"}' WHEN 1 THEN '["' || event_type || '", "b"]' WHEN 2 THEN '{broken' WHEN 3 THEN '[1, "a"]' END AS x FROM events),
+v AS (SELECT event_id, CASE WHEN json_valid(x) THEN x END AS x FROM x)
+SELECT event_id, CASE WHEN json_type(x) = 'OBJECT' THEN array_to_string([k || '=' || (x ->> k) for k in json_keys(x)], ';') WHEN json_type(x) = 'ARRAY' AND len(list_filter(json_extract(x, '$[*]'), lambda e: json_type(e) <> 'VARCHAR')) = 0 THEN array_to_string(['=' || (e ->> '$') for e in json_extract(x, '$[*]')], ';') ELSE '' END AS examples FROM v""")
 def example_parser(spark, sf):
     i, kind = F.col("event_id"), F.col("event_type")
     x = F.when(i % 5 == 0, F.format_string('{"A1": "%s", "B1": "%s"}', "event_type", F.col("user_id").cast("string"))).when(i % 5 == 1, F.concat(F.lit('["'), kind, F.lit('", "b"]'))).when(i % 5 == 2, "{broken").when(i % 5 == 3, '[1, "a"]')
@@ -32,7 +35,9 @@ def example_parser(spark, sf):
     return table(spark, sf, "events").select("event_id", F.array_join(told, ";").alias("examples"))
 
 
-@query("""SELECT p_partkey, p_name || CASE WHEN lower(p_type) <> p_name THEN '|' || p_type ELSE '' END AS en, 'عين|قمر' AS ar FROM part""")
+@query("""WITH x AS (SELECT p_partkey, [p_name, 'عين', upper(p_name), 'قمر', p_type, 'عين'] AS xs FROM part),
+s AS (SELECT p_partkey, list_filter(xs, lambda x: NOT regexp_matches(x, '[؀-ۿ]')) AS en, list_filter(xs, lambda x: regexp_matches(x, '[؀-ۿ]')) AS ar FROM x)
+SELECT p_partkey, array_to_string(list_filter(en, lambda x, i: list_position([lower(y) for y in en], lower(x)) = i)[:6], '|') AS en, array_to_string(list_filter(ar, lambda x, i: list_position([lower(y) for y in ar], lower(x)) = i)[:6], '|') AS ar FROM s""")
 def bilingual_split(spark, sf):
     told = V.by_script(F.array(F.col("p_name"), F.lit("عين"), F.upper("p_name"), F.lit("قمر"), F.col("p_type"), F.lit("عين")))
     return table(spark, sf, "part").select("p_partkey", told.alias("x")).select("p_partkey", F.array_join("x.en", "|").alias("en"), F.array_join("x.ar", "|").alias("ar"))
@@ -117,7 +122,8 @@ def identity_keys(spark, sf):
     return w.select("id", T.identity_key(F.concat(F.lit(" "), F.initcap("noun")), F.upper("pos")).alias("key"), T.cell_hash(F.nullif("pos", F.lit("verb"))).alias("cell"))
 
 
-@query("""SELECT doc_id, '{"lang": "' || lang || '"}' AS inner_text FROM documents""")
+@query(r"""WITH x AS (SELECT doc_id, '```json' || chr(10) || '{"lang": "' || lang || '"}' || chr(10) || '``` ' AS x FROM documents)
+SELECT doc_id, trim(regexp_replace(regexp_replace(trim(x), '^```[a-zA-Z]*\s*', ''), '\s*```$', '')) AS inner_text FROM x""")
 def stripped_fences(spark, sf):
     fenced = F.concat(F.lit('```json\n{"lang": "'), "lang", F.lit('"}\n``` '))
     return table(spark, sf, "documents").select("doc_id", T.strip_fences(fenced).alias("inner_text"))
