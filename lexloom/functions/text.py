@@ -171,6 +171,15 @@ def length_band(words: Column) -> Column:
     return out
 
 
+def by_band(sentences: Column) -> Column:
+    """Sentences by the level of their number of words, in order, as a map by level; levels without any are absent."""
+    banded = F.transform(sentences, lambda s: F.struct(length_band(F.size(F.filter(F.split(s, r"(?U)\s+"), lambda w: w != ""))).alias("band"), s.alias("s")))
+    levels = ["A1", "A2", "B1", "B2", "C1", "C2"]
+    of = lambda level: F.transform(F.filter(banded, lambda b: b["band"] == level), lambda b: b["s"])
+    every = F.create_map(*[x for level in levels for x in (F.lit(level), of(level))])
+    return F.map_filter(every, lambda k, v: F.size(v) > 0)
+
+
 def pos_short(x: Column) -> Column:
     """Short form of a part of speech; an unknown one as it is, an empty one null."""
     table = F.create_map(*[F.lit(v) for kv in POS_SHORT.items() for v in kv])

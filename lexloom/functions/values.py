@@ -97,3 +97,9 @@ def kept_lines(x: Column) -> Column:
 def storage_key(key: Column) -> Column:
     """``word/pos`` as it is written in names of files."""
     return F.replace(key, F.lit("/"), F.lit("__"))
+
+
+def json_kind(x: Column) -> Column:
+    """``object``, ``array``, ``scalar`` or ``malformed``; null for null."""
+    shape = F.schema_of_variant(F.try_parse_json(x))
+    return F.when(x.isNull(), F.lit(None)).when(shape.isNull(), "malformed").when(shape.startswith("OBJECT"), "object").when(shape.startswith("ARRAY"), "array").otherwise("scalar")

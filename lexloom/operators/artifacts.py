@@ -271,3 +271,47 @@ def import_ballots(lines: DataFrame, expected: DataFrame, key: str, text: str, o
     told = last.join(asked, F.col(key) == F.col("_asked"), "full_outer").withColumn("_b", parsed_ballot(F.col(f"_x.{text}")))
     outcome = F.when(F.col("_asked").isNull(), "unknown").when(F.col("_x").isNull(), "missing").when(F.col("_x._error") | F.col("_b.problem").isNotNull(), "reject").otherwise("judgment")
     return told.select(F.coalesce(key, "_asked").alias(key), outcome.alias("outcome"), F.when(outcome == "reject", F.coalesce(F.when(F.col("_x._error"), "batch error"), F.col("_b.problem"))).alias("problem"), F.when(outcome == "judgment", F.col("_b.fields")).alias("fields"))
+
+
+def machine_evaluation(raw: Column, lemma: Column, pos: Column, mnemonic: Column, uk: Column) -> Column:
+    """``result`` of an answer's JSON against an earlier row (C4), and, if it passes, its four scores and what came or went.
+
+    The first of: cannot be parsed, is no object, other word, other part of speech, no senses, a closed value that
+    does not exist.  A missing closed value is no error here, other than in a batch answer.  A missing British
+    transcription counts as the American one.
+    """
+    v = F.try_parse_json(raw)
+    kind = F.schema_of_variant(v)
+    text = lambda p: F.try_variant_get(v, p, "string")
+    senses = F.try_variant_get(v, "$.senses", "array<struct<register:string,primary_sense:string,definition_en:string,mnemonic_ar:string>>")
+    said = lambda x: F.coalesce(x != "", F.lit(False))
+    held = lambda x: F.coalesce(strip(x) != "", F.lit(False))
+    bad = F.exists(senses, lambda s: (said(s["register"]) & ~s["register"].isin(REGISTERS)) | (said(s["primary_sense"]) & ~s["primary_sense"].isin(PRIMARY_SENSES)))
+    result = (
+        F.when(kind.isNull(), "json_parse_failed")
+        .when(~kind.startswith("OBJECT"), "schema_failed")
+        .when(~text("$.lemma").eqNullSafe(lemma), "wrong_word")
+        .when(~text("$.pos").eqNullSafe(pos), "wrong_pos")
+        .when(~F.coalesce(F.size(senses) > 0, F.lit(False)), "missing_required")
+        .when(bad, "invalid_enum")
+        .otherwise("pass")
+    )
+    keys = F.json_object_keys(raw)
+    number = lambda *flags: sum((F.when(f, 1.0).otherwise(0.0) for f in flags), F.lit(0.0))
+    full = F.size(F.filter(senses, lambda s: F.coalesce(F.char_length(s["definition_en"]) > 5, F.lit(False))))
+    had, has = (held(mnemonic), held(uk)), (F.exists(senses, lambda s: said(s["mnemonic_ar"])), held(F.when(held(text("$.phonetic_uk")), text("$.phonetic_uk")).otherwise(text("$.phonetic_us"))))
+    names = ("mnemonic_ar", "phonetic_uk")
+    some = lambda flags: F.filter(F.array(*[F.when(f, F.lit(n)) for n, f in flags]), lambda x: x.isNotNull())
+    removals = some([(n, a & ~b) for n, a, b in zip(names, had, has, strict=True)])
+    additions = F.concat(some([(n, ~a & b) for n, a, b in zip(names, had, has, strict=True)]), F.when(F.size(senses) > 1, F.array(F.concat(F.lit("senses +"), (F.size(senses) - 1).cast("string")))).otherwise(F.array().cast("array<string>")))
+    kept = F.coalesce(F.try_divide(number(*[a & b for a, b in zip(had, has, strict=True)]), number(*had)), F.lit(1.0))
+    fine = result == "pass"
+    return F.struct(
+        result.alias("result"),
+        F.when(fine, number(*[F.array_contains(keys, k) for k in ("lemma", "pos", "phonetic_us", "phonetic_ar", "senses")]) / 5).alias("structural"),
+        F.when(fine, number(said(text("$.phonetic_us")), said(text("$.phonetic_ar")), full > 0, full == F.size(senses)) / 4).alias("completeness"),
+        F.when(fine, kept).alias("preservation"),
+        F.when(fine, F.when(F.size(removals) > 0, 1.0).otherwise(0.0)).alias("loss"),
+        F.when(fine, additions).alias("additions"),
+        F.when(fine, removals).alias("removals"),
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import values as V
-from ..operators import adjudication, batch, contracts, levels, packages, quality, sampling
+from ..operators import adjudication, artifacts, batch, contracts, levels, packages, quality, sampling
 from ..sources import files
 from .base import table
 from .queries import _BALLOT_SQL, _LEVEL_SQL, _SIDE_SQL, _WORDS_SQL, _ballots, _words, query
@@ -194,3 +194,36 @@ def recorded_verdicts(spark, sf):
     said = v.withColumns({f: F.when(F.lit(f) == "definition", "A-better") for f in contracts.FIELDS})
     known, lost = packages.recorded_verdicts(said, "doc_id", contracts.FIELDS, v.where("doc_id % 2 = 0"))
     return known.select("doc_id", F.lit("card").alias("kind"), F.col("fields.definition").alias("definition"), F.col("fields.examples").alias("examples")).unionByName(lost.withColumn("kind", F.lit("unknown")), allowMissingColumns=True)
+
+
+@query(f"""WITH p AS ({_WORDS_SQL}),
+x AS (SELECT id, id % 11 AS f, id % 3 AS n, id % 4 AS u, id % 5 AS m, CASE WHEN id % 2 = 0 THEN 'old' ELSE ' ' END AS om, CASE WHEN id % 7 < 3 THEN 'uk' END AS ok FROM p),
+r AS (SELECT *, CASE f WHEN 0 THEN 'json_parse_failed' WHEN 1 THEN 'schema_failed' WHEN 2 THEN 'wrong_word' WHEN 3 THEN 'wrong_pos' WHEN 4 THEN 'missing_required' WHEN 5 THEN 'invalid_enum' ELSE 'pass' END AS result, om = 'old' AS hm, ok IS NOT NULL AS hu, m = 1 AS nm, u <> 0 AS nu FROM x)
+SELECT id, result, CASE WHEN result = 'pass' THEN CASE WHEN u = 0 THEN 0.8 ELSE 1.0 END::DOUBLE END AS structural,
+  CASE WHEN result = 'pass' THEN ((u NOT IN (0, 3))::INT + 1 + 1 + (n = 0)::INT) / 4 END AS completeness,
+  CASE WHEN result = 'pass' THEN CASE WHEN hm OR hu THEN ((hm AND nm)::INT + (hu AND nu)::INT) / (hm::INT + hu::INT) ELSE 1.0 END::DOUBLE END AS preservation,
+  CASE WHEN result = 'pass' THEN CASE WHEN (hm AND NOT nm) OR (hu AND NOT nu) THEN 1.0 ELSE 0.0 END::DOUBLE END AS loss,
+  CASE WHEN result = 'pass' THEN concat_ws(',', CASE WHEN NOT hm AND nm THEN 'mnemonic_ar' END, CASE WHEN NOT hu AND nu THEN 'phonetic_uk' END, CASE WHEN n > 0 THEN 'senses +' || n END) END AS additions FROM r""")
+def machine_evaluation(spark, sf):
+    i, w, p = F.col("id"), F.col("noun"), F.col("pos")
+    f, n, u = i % 11, (i % 3).cast("int"), i % 4
+    one = F.when(f == 5, '{"register": "odd", "definition_en": "a long one"}').otherwise('{"register": "", "primary_sense": null, "definition_en": "a long one"}')
+    more = F.when(n > 0, F.concat(F.lit(', {"definition_en": "short"}'))).otherwise("")
+    last = F.when(n > 1, ', {"definition_en": null}').otherwise("")
+    mnemonic = F.when(i % 5 == 1, ', "mnemonic_ar": "m"').otherwise("")
+    first = F.concat(F.expr("left(x, length(x) - 1)"), mnemonic, F.lit("}"))
+    senses = F.when(f == 4, "[]").otherwise(F.concat(F.lit("["), first, more, last, F.lit("]")))
+    us = F.when(u == 0, "").when(u == 3, '"phonetic_us": "", ').otherwise('"phonetic_us": "x", ')
+    uk = F.when(u == 3, '"phonetic_uk": "y", ').otherwise('"phonetic_uk": " ", ')
+    raw = F.when(f == 0, "{x").when(f == 1, "[1]").otherwise(F.concat(F.lit('{"lemma": "'), F.when(f == 2, "other").otherwise(w), F.lit('", "pos": "'), F.when(f == 3, "other").otherwise(p), F.lit('", '), us, uk, F.lit('"phonetic_ar": "a", "senses": '), senses, F.lit("}")))
+    rows = _words(spark, sf).withColumn("x", one)
+    told = rows.select("id", artifacts.machine_evaluation(raw, w, p, F.when(i % 2 == 0, "old").otherwise(" "), F.when(i % 7 < 3, "uk")).alias("e"))
+    return told.select("id", "e.result", "e.structural", "e.completeness", "e.preservation", "e.loss", F.array_join("e.additions", ",").alias("additions"))
+
+
+@query("""WITH s AS (SELECT doc_id, unnest(string_split(text, '. ')) AS s, generate_subscripts(string_split(text, '. '), 1) AS i FROM documents), b AS (SELECT *, len(regexp_extract_all(s, '\\S+')) AS n FROM s),
+l AS (SELECT doc_id, CASE WHEN n <= 6 THEN 'A1' WHEN n <= 9 THEN 'A2' WHEN n <= 13 THEN 'B1' WHEN n <= 18 THEN 'B2' WHEN n <= 24 THEN 'C1' ELSE 'C2' END AS band, s, i FROM b)
+SELECT doc_id, band, count(*)::INT AS n, md5(string_agg(s, '|' ORDER BY i)) AS sentences FROM l GROUP BY doc_id, band""".replace("\\\\", "\\"))
+def sentences_by_band(spark, sf):
+    d = table(spark, sf, "documents").where("text is not null").select("doc_id", F.explode(T.by_band(F.split("text", r"\. "))).alias("band", "s"))
+    return d.select("doc_id", "band", F.size("s").alias("n"), F.md5(F.array_join("s", "|")).alias("sentences"))

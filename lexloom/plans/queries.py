@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions import values as V
 from ..operators import adjudication, batch, evidence, levels, migration, quality, ranking, rules, sampling
+from ..sources import files
 from .base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -486,17 +488,14 @@ SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'object' WHEN 1 THEN 'array' WHEN
 def json_union_parse(spark, sf):
     i = F.col("event_id")
     x = F.when(i % 4 == 0, F.col("props")).when(i % 4 == 1, F.concat(F.lit("["), i.cast("string"), F.lit(',"a"]'))).when(i % 4 == 2, F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))).otherwise("{broken")
-    v = F.try_parse_json(x)
-    shape = F.schema_of_variant(v)
-    kind = F.when(v.isNull(), "malformed").when(shape.startswith("OBJECT"), "object").when(shape.startswith("ARRAY"), "array").otherwise("scalar")
+    v, kind = F.try_parse_json(x), V.json_kind(x)
     return table(spark, sf, "events").select("event_id", kind.alias("kind"), F.try_variant_get(v, "$.k", "long").alias("k"), F.when(kind == "array", F.json_array_length(x)).alias("n"))
 
 
 @query("""SELECT p_partkey, CASE p_type WHEN 'STANDARD' THEN 'Everyday' WHEN 'SMALL' THEN 'Everyday' WHEN 'MEDIUM' THEN 'Science' WHEN 'LARGE' THEN 'Science' WHEN 'PROMO' THEN 'PROMO' ELSE 'General / Common' END AS category FROM part""")
 def category_remap(spark, sf):
-    kind = F.col("p_type")
-    moved = F.try_element_at(F.create_map(*map(F.lit, ("STANDARD", "Everyday", "SMALL", "Everyday", "MEDIUM", "Science", "LARGE", "Science"))), kind)
-    return table(spark, sf, "part").select("p_partkey", F.coalesce(moved, F.when(kind.isin("PROMO"), kind), F.lit("General / Common")).alias("category"))
+    moves = {"STANDARD": "Everyday", "SMALL": "Everyday", "MEDIUM": "Science", "LARGE": "Science"}
+    return table(spark, sf, "part").select("p_partkey", files.remapped(F.col("p_type"), moves, ["PROMO"], "General / Common").alias("category"))
 
 
 @query(f"WITH p AS ({_WORDS_SQL}) SELECT id, pos, CASE pos WHEN 'noun' THEN 'n' WHEN 'verb' THEN 'v' ELSE pos END AS short, CASE pos WHEN 'adj' THEN 'adjective' WHEN 'adv' THEN 'adverb' WHEN 'num' THEN 'number' WHEN 'prep' THEN 'preposition' ELSE pos END AS long, CASE WHEN pos IN ('noun', 'verb', 'adj', 'adv') THEN pos ELSE 'function' END AS grp FROM p")

@@ -272,3 +272,9 @@ def test_preservation_rates_of_the_two_published_cases(spark):
     worse = of([("unjustified_nullification", True, True), *kinds[1:]])
     assert (worse.preservation_precision, worse.regression_rate) == (round(5 / 6, 6), round(1 / 6, 6))
     assert of([("fill", False, False)]).repair_recall is None
+
+
+@pytest.mark.parametrize(("word", "level", "pos", "rank", "score"), [("cat", "A1", "noun", 587, 2), ("re•spon•si•bil•i•ty", "B1", "noun", 1216, 7), ("af•fect•ing", "C2", "adj", 3995, 10)])
+def test_published_difficulties(spark, word, level, pos, rank, score):
+    df = spark.createDataFrame([(level, pos, rank, word)], "l string, p string, r int, w string")
+    assert abs(df.select(levels.difficulty(F.col("l"), F.col("p"), F.col("r"), F.col("w"))).first()[0] - score) <= 1
