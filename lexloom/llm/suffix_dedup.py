@@ -54,7 +54,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, threshold: int, buckets:
     """Bucketed by (o, u): ``id, part, n_bytes, copy, text``; the text is left out of copies of an earlier text.
 
     ``o`` is the id in order, null first; ``u`` some bits of the text's digest, which spread rows that
-    share an id, and all of 60 bits where it is null; ``part`` tells apart what still shares both.
+    share an id, and all of 60 bits where it is null; ``part`` tells apart texts that still share both.
     """
     spark = docs.sparkSession
     text, i = text_column(text_col), F.col(id_col).cast("long")
@@ -69,7 +69,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, threshold: int, buckets:
     laid = rows.repartition(buckets, "o", "u").join(later, (F.col("o") == F.col("lo")) & (F.col("u") == F.col("lu")), "left")
     own = Window.partitionBy("o", "u").orderBy("sha")
     copy = F.coalesce(F.array_contains("later", F.col("sha")), F.lit(False)) | F.coalesce(F.lag("sha").over(own) == F.col("sha"), F.lit(False))
-    told = laid.select("o", "u", "id", (F.row_number().over(own) - 1).cast("long").alias("part"), F.octet_length("text").cast("long").alias("n_bytes"), copy.alias("copy"), "text")
+    told = laid.select("o", "u", "id", (F.dense_rank().over(own) - 1).cast("long").alias("part"), F.octet_length("text").cast("long").alias("n_bytes"), copy.alias("copy"), "text")
     told = told.withColumn("text", F.when(~F.col("copy") | (F.col("n_bytes") < threshold), F.col("text").cast("binary")))
     name = f"suffix_texts_{uuid.uuid4().hex}"
     told.write.option("compression", "zstd").bucketBy(buckets, "o", "u").sortBy("o", "u").saveAsTable(name)

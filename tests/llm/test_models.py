@@ -2,7 +2,6 @@ import random
 import zlib
 
 import numpy as np
-import pytest
 
 from lexloom.llm import language, toxicity
 
