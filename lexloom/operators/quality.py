@@ -57,3 +57,8 @@ def asserted_count(rows: DataFrame, n: int) -> DataFrame:
     if got != n:
         raise ValueError(f"{got} rows where {n} are expected")
     return rows
+
+
+def partial_unique(rows: DataFrame, keys: list[str], where: Column, check: str) -> DataFrame:
+    """Keys that more than one row has among those that a condition selects (V4)."""
+    return repeated_keys(rows.where(F.coalesce(where, F.lit(False))), keys, check)

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_fallback: dict[str, str] = {}
+
 
 def session(app: str = "lexloom", cores: int | str = "*", partitions: int = 8) -> SparkSession:
     """A local session; on a cluster the submitted configuration stands."""
@@ -25,12 +28,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; on a local master a temporary one where that is unset, as in tests."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _fallback:
+        _fallback[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="lexloom-")
+    return _fallback[context.applicationId]
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder for files that tasks write and read."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """``df``, checkpointed in ``spark.checkpoint.dir`` (a temporary folder where that is unset on a local master, as in tests)."""
+    """``df``, checkpointed in the shared folder."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        named = context.getConf().get("spark.checkpoint.dir", None)
-        if not named and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexloom-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import values as V
-from ..operators import adjudication, artifacts, audits, contracts, lookups, migration, protocol, ranking, records, sampling
+from ..operators import adjudication, artifacts, audits, contracts, evidence, lookups, migration, protocol, quality, ranking, records, sampling
 from .base import table
 from .queries import _BALLOT_SQL, _WORDS_SQL, _ballots, _words, query
 
@@ -356,3 +356,21 @@ def cross_column_check(spark, sf):
 def seed_transport(spark, sf):
     o = records.transport(table(spark, sf, "orders"), {"o_orderkey": "id", "o_orderstatus": "pos", "o_orderpriority": "lemma"})
     return o.agg(F.count_if(F.col("lemma").isNull() | (F.trim("lemma") == "")).alias("lemma"), F.count_if(F.col("pos").isNull()).alias("pos")).select(F.explode(F.create_map(F.lit("lemma"), F.col("lemma"), F.lit("pos"), F.col("pos"))).alias("field", "n_null"))
+
+
+@query("""SELECT 'one_returned_line' AS "check", l_orderkey::VARCHAR AS entity, count(*)::VARCHAR AS detail FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey HAVING count(*) > 1""")
+def partial_unique(spark, sf):
+    return quality.partial_unique(table(spark, sf, "lineitem"), ["l_orderkey"], F.col("l_returnflag") == "R", "one_returned_line")
+
+
+@query("""WITH h AS (SELECT l_orderkey AS k, l_partkey AS t, 1 AS approved FROM lineitem WHERE l_returnflag = 'A'), n AS (SELECT DISTINCT l_orderkey AS k, l_partkey AS t FROM lineitem WHERE l_returnflag <> 'A')
+SELECT k, t, approved FROM h UNION ALL SELECT k, t, 0 FROM n WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.k = n.k AND h.t = n.t)""")
+def evidence_inserts(spark, sf):
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("t"), F.when(F.col("l_returnflag") == "A", 1).otherwise(0).alias("approved"))
+    return evidence.with_evidence(li.where("approved = 1"), li.where("approved = 0"), ["k", "t"])
+
+
+@query("""SELECT DISTINCT l_orderkey AS k, l_suppkey AS t FROM lineitem WHERE l_returnflag = 'A'""")
+def approved_identities(spark, sf):
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_suppkey").alias("t"), F.when(F.col("l_returnflag") == "A", 1).otherwise(0).alias("approved"))
+    return evidence.approved_identities(li, ["k", "t"], "approved")

@@ -8,7 +8,8 @@ from ..functions import text as T
 from ..functions import values as V
 from ..operators import adjudication, artifacts, batch, contracts, levels, packages, quality, sampling
 from ..sources import files
-from .base import table
+from ..streaming import drops
+from .base import scratch, table
 from .queries import _BALLOT_SQL, _LEVEL_SQL, _SIDE_SQL, _WORDS_SQL, _ballots, _words, query
 
 _ITEMS_SQL = f"""WITH p AS ({_WORDS_SQL}), i AS (SELECT id, noun, pos, row_number() OVER (ORDER BY id) AS n, {_SIDE_SQL.format("id").replace("ab:", "blind:")} AS a FROM p WHERE id % 3 > 0)"""
@@ -227,3 +228,13 @@ SELECT doc_id, band, count(*)::INT AS n, md5(string_agg(s, '|' ORDER BY i)) AS s
 def sentences_by_band(spark, sf):
     d = table(spark, sf, "documents").where("text is not null").select("doc_id", F.explode(T.by_band(F.split("text", r"\. "))).alias("band", "s"))
     return d.select("doc_id", "band", F.size("s").alias("n"), F.md5(F.array_join("s", "|")).alias("sentences"))
+
+
+@query("""SELECT event_type, count(DISTINCT event_id) AS n, count(DISTINCT user_id) AS users, round(sum(value), 4) AS total FROM events GROUP BY 1""")
+def streamed_first_events(spark, sf):
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    drop = scratch(spark, "drops")
+    e.unionByName(e.where("event_id % 5 = 0")).write.json(f"{drop}/in")  # some events arrive twice
+    arriving = drops.read_drops(spark, f"{drop}/in", "event_id long, user_id long, event_type string, value double, ts timestamp")
+    drops.land(drops.first_of_key(arriving, "event_id", "ts", "36500 days"), f"{drop}/out", f"{drop}/state").awaitTermination()
+    return spark.read.parquet(f"{drop}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"), F.round(F.sum("value"), 4).alias("total"))

@@ -78,3 +78,12 @@ def test_an_artifact(spark, envelope, output, status, codes):
     schema = "a struct<" + ",".join(f"{k}:string" for k in a) + ">, o struct<definition_en:string,explanation_ar:string,examples:array<string>,mnemonic_ar:string,schema_ok:boolean>"
     got = spark.createDataFrame([(a, o)], schema).select(artifacts.artifact_result(F.col("a"), F.col("o"), "E1", F.col("a.lemma"), F.col("a.pos")).alias("r")).first().r
     assert (got.status, [*got.errors, *got.flags]) == (status, codes)
+
+
+def test_a_missing_closed_value_is_an_error_in_a_batch_but_not_to_a_machine(spark):
+    sense = SENSE | {"register": None}
+    assert issues(spark, WORD | {"senses": [sense]}) == [(1, "sense 1: REGISTER")]
+    of = lambda word: spark.createDataFrame([(json.dumps(word),)], "t string").select(artifacts.machine_evaluation(F.col("t"), F.lit("sun"), F.lit("noun"), F.lit("m"), F.lit(None).cast("string")).alias("e")).first().e
+    told = of(WORD | {"senses": [sense]})
+    assert (told.result, told.structural, told.loss, told.removals, told.additions) == ("pass", 1.0, 1.0, ["mnemonic_ar"], ["phonetic_uk"])
+    assert of(WORD | {"senses": [SENSE | {"register": "odd"}]}).result == "invalid_enum" and of(WORD | {"lemma": "moon"}).result == "wrong_word"

@@ -64,3 +64,10 @@ def test_swaps_bring_in_what_is_wanted(spark):
     chosen = pool.where("id % 6 = 5")
     got = {r.id for r in sampling.swapped_in(chosen, pool, "id", {"multi": 4, "tech": 3}, "s").collect()}
     assert len(got) == 10 and sum(i % 10 == 0 for i in got) == 4 and sum(i % 15 == 1 for i in got) == 3
+
+
+def test_shards_are_read_in_the_order_of_their_names(spark, tmp_path):
+    (tmp_path / "b.jsonl").write_text("3\n\n4\n")
+    (tmp_path / "a.jsonl").write_text("1\n2")
+    got = files.read_in_order(spark, f"file://{tmp_path}/*.jsonl").orderBy("file", "line_no").collect()
+    assert [(r.file, r.line_no, r.line) for r in got] == [("a.jsonl", 1, "1"), ("a.jsonl", 2, "2"), ("b.jsonl", 1, "3"), ("b.jsonl", 3, "4")]
