@@ -72,21 +72,22 @@ def _placed(rows: DataFrame, sizes: DataFrame, targets: DataFrame, *carried: str
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str, *more) -> DataFrame:
-    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("/"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))))
+    text = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), text))
     return docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_size(text_col).alias("_size"), key.alias("_key"), *more)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", epochs: int = 3, cycle: int = 3, seed: str = "mix") -> DataFrame:
     """One row a document: id, ``size, source_size, target, taken``.
 
-    Each document has a hash-random key (MD5 of seed and id).  Key ranges, as many as a source has
+    Each document has a hash-random key (MD5 of seed, id and text).  Key ranges, as many as a source has
     thousands of documents, are the splitters of the range sort within a source; sums of the ranges
     give each its base, and a sorted prefix sum within a range the document's own place.  A source
     whose budget exceeds its size repeats whole epochs first; the last epoch is cut at the exact word,
     so the taken words of a source add up to its rounded target.  A hot source has just more ranges.
 
-    Null text has size 0, null sources form one source, documents without an id have their key from their
-    text.  Rows that repeat an id lie side by side in the order; each is a row of its own.
+    Null text has size 0, null sources form one source.  Rows without an id, or that repeat one, have keys by
+    their texts; rows that repeat both lie side by side in the order, each a row of its own.
     An empty table gives none; where all sizes are 0 every target is 0.
     """
     sizes = staged(_keyed(docs, id_col, text_col, source_col, seed), "mix-sizes")

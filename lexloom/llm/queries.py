@@ -73,7 +73,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_source_mix": r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('mix:' || coalesce(doc_id::VARCHAR, '/' || md5(coalesce(text, '')))) AS k
+         md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS k
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS n FROM d GROUP BY source),
 w AS (SELECT source, source_size, ((n - 1) % 3 + 1)::DOUBLE AS w, 3.0::DOUBLE * source_size AS lim FROM s),

@@ -29,7 +29,7 @@ def brute_targets(sizes):
 def test_mix_equals_brute_force(messy):
     whole = messy.collect()
     rows = [(r.doc_id, len(WORD.findall(r.text or "")), r.source) for r in whole]
-    by_text = {(r.doc_id, len(WORD.findall(r.text or "")), r.source): f"/{hashlib.md5((r.text or '').encode()).hexdigest()}" for r in whole if r.doc_id is None}
+    key = lambda r: hashlib.md5(f"mix:{'' if r.doc_id is None else r.doc_id}:{hashlib.md5((r.text or '').encode()).hexdigest()}".encode()).hexdigest()
     sizes = Counter()
     for _, n, s in rows:
         sizes[s] += n
@@ -39,11 +39,11 @@ def test_mix_equals_brute_force(messy):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.size, r.source_size) for r in got) == sorted((i is None, i or 0, n, sizes[s]) for i, n, s in rows)
     assert {(r.source_size, round(r.target, 6)) for r in got} == {(sizes[s], round(t, 6)) for s, t in targets.items()}
     for s, t in targets.items():
-        mine = sorted((hashlib.md5(f"mix:{by_text[i, n, x] if i is None else i}".encode()).hexdigest(), -1 if i is None else i, n) for i, n, x in rows if x == s)
-        budget, whole, before, want = int(t + 0.5), 0, 0, []
-        whole = budget // sizes[s] if sizes[s] else 0
+        mine = sorted((key(r), -1 if r.doc_id is None else r.doc_id, n) for r, (_, n, x) in zip(whole, rows, strict=True) if x == s)
+        budget, before, want = int(t + 0.5), 0, []
+        epochs = budget // sizes[s] if sizes[s] else 0
         for _, i, n in mine:
-            want.append((i, n, whole * n + min(n, max(0, budget - whole * sizes[s] - before))))
+            want.append((i, n, epochs * n + min(n, max(0, budget - epochs * sizes[s] - before))))
             before += n
         have = [(-1 if r.doc_id is None else r.doc_id, r.size, r.taken) for r in got]
         assert not Counter(want) - Counter(have)
@@ -76,3 +76,9 @@ def test_empty_and_blank(spark, nothing, column):
     assert mixing.mix(nothing).count() == 0 and mixing.mixed_documents(nothing).count() == 0
     df = spark.createDataFrame([(1, None, None), (2, "", "a")], "doc_id long, text string, source string")
     assert [(r.size, r.target, r.taken) for r in mixing.mix(df).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_rows_of_one_id_are_dealt_out(spark):
+    df = spark.range(4000).selectExpr("if(id % 2 = 0, 7, null) as doc_id", "concat('word ', id) as text", "'s' as source")
+    keys = mixing._keyed(df.withColumn("doc_id", df.doc_id.cast("long")), "doc_id", "text", "source", "mix")
+    assert keys.select("_key").distinct().count() == 4000
