@@ -58,13 +58,19 @@ def test_stream_counts_each_key_once(spark, tmp_path):
 
 
 def test_banned_fields_are_found_at_any_depth(spark):
-    df = spark.sql("select struct(1 as id, array(struct('x' as Model)) as items) as body, 2 as seed, map('a', struct(1 as run_id)) as m")
-    assert contracts.banned_fields(df) == ["body.items.Model", "seed", "m.run_id"]
+    df = spark.sql("select struct(1 as id, array(struct('x' as Job_Id)) as items) as body, 2 as phase, 3 as seed, map('a', struct(1 as candidate_id)) as m")
+    assert contracts.banned_fields(df) == ["body.items.Job_Id", "phase", "m.candidate_id"]
 
 
 def test_ballots(spark):
-    df = spark.sql("select map('a', 'A', 'b', 'maybe') as v, map('x', 'C') as c")
-    assert df.select(contracts.ballot_defects(F.col("v"), F.col("c"), ["a", "b", "z"])).first()[0] == ["bad verdict b", "missing z", "bad side"]
+    def defects(fields, sides):
+        as_map = lambda d: F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v).cast("string"))])
+        return spark.range(1).select(contracts.ballot_defects(as_map(fields), as_map(sides)).alias("x")).first().x
+
+    fields, sides = dict.fromkeys(contracts.FIELDS, "tie"), dict.fromkeys(contracts.CRITICAL)
+    assert defects(fields, sides) == []
+    assert defects(fields | {"examples": "maybe"}, sides | {"wrong_meaning": "C", "misleading_arabic": "A"}) == ["verdict:examples", "side:wrong_meaning"]
+    assert defects({"examples": "tie"}, sides | {"other": "A"}) == ["fields", "critical_errors"]
 
 
 def test_stop_hides_later_checks(spark):
