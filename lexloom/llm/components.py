@@ -27,7 +27,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = both.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")).withColumn("m", F.least("k", "m"))
         dealt = least.select("k", "m", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("ks"))
         salted = both.withColumn("us", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).where("v > u")
-        large = salted.join(dealt, (F.col("u") == F.col("k")) & (F.col("us") == F.col("ks"))).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = salted.join(dealt.hint("merge"), (F.col("u") == F.col("k")) & (F.col("us") == F.col("ks"))).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = staged(large.where("u <> v").distinct(), "components")
         floor = large.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
         small = large.join(floor, large.u == floor.k)
