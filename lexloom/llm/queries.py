@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language, licenses, media, mixing, packing, simhash, suffix_dedup, token_files, toxicity
+from . import bpe, collocations, exact_dedup, language, licenses, media, mixing, packing, pieces, simhash, spelling, suffix_dedup, token_files, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_documents(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_documents(spark, sf_dir))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(_documents(spark, sf_dir), bpe.public_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -66,6 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_exact_dedup,
         op10_language,
+        op11_collocations,
+        op12_spelling_variants,
+        op13_sentencepiece,
     )
 }
 
@@ -97,4 +112,6 @@ WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVW
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
 """,
+    "op11_collocations": collocations.ORACLE_SQL,
+    "op12_spelling_variants": spelling.ORACLE_SQL,
 }
