@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import position_in_scope
+
 
 def request_lines(rows: DataFrame, key: Column, template: str, fields: list[str]) -> DataFrame:
     """``key, line``: one JSON request a row, its prompt the template with the fields put in."""
@@ -50,8 +52,8 @@ def remaining(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 def numbered_batches(rows: DataFrame, scope: str, order: str, size: int) -> DataFrame:
     """``batch_id`` and ``ordinal`` of each row within its scope."""
-    n = F.row_number().over(Window.partitionBy(scope).orderBy(order)) - 1
-    return rows.withColumn("_n", n).withColumns({"batch_id": F.format_string("%s_batch_%d", F.col(scope), F.floor(F.col("_n") / size) + 1), "ordinal": (F.col("_n") % size + 1).cast("int")}).drop("_n")
+    placed = position_in_scope(rows, [scope], [F.col(order)], "_n").withColumn("_n", F.col("_n") - 1)
+    return placed.withColumns({"batch_id": F.format_string("%s_batch_%d", F.col(scope), F.floor(F.col("_n") / size) + 1), "ordinal": (F.col("_n") % size + 1).cast("int")}).drop("_n")
 
 
 def envelope_presence(lines: DataFrame, line: str, keys: list[str]) -> DataFrame:

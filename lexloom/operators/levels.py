@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import syllables
-from .ranking import LEVELS, lookup
+from .ranking import LEVELS, lookup, position_in_scope
 
 # Bounds of the score at each level, and what part of speech, syllables and rank add.
 BOUNDS = {"A1": (2, 5), "A2": (3, 6), "B1": (4, 7), "B2": (5, 7), "C1": (7, 9), "C2": (8, 10)}
@@ -40,10 +40,8 @@ def score_in_bounds(score: Column, level: Column) -> Column:
 def assign_units(words: DataFrame, level: str, word: str, rank: str, per_unit: int = 50) -> DataFrame:
     """``level, word, idx, unit_id``: distinct words of a level, by their lowest rank, spread evenly over its units."""
     first = words.groupBy(level, word).agg(F.min(rank).alias("first_rank"))
-    own = Window.partitionBy(level)
-    idx = F.row_number().over(own.orderBy("first_rank", word)) - 1
-    n = F.count(F.lit(1)).over(own)
-    told = first.select(level, word, "first_rank", idx.alias("idx"), n.alias("_n")).withColumn("_k", F.ceil(F.col("_n") / per_unit))
+    told = position_in_scope(first, [level], [F.col("first_rank"), F.col(word)], "idx", "_n")
+    told = told.withColumn("idx", (F.col("idx") - 1).cast("int")).withColumn("_k", F.ceil(F.col("_n") / per_unit))
     number = F.least(F.floor(F.col("idx") / (F.col("_n") / F.col("_k"))) + 1, F.col("_k"))
     return told.select(level, word, "idx", F.format_string("%s_%02d", F.col(level), number.cast("int")).alias("unit_id"))
 
@@ -56,14 +54,9 @@ def rollup_units(rows: DataFrame, unit: str, word: str, flags: dict[str, Column]
 def order_units(units: DataFrame, level: str, by: dict[str, str], number: str) -> DataFrame:
     """For each named path: units by level, then by the path's count (largest first), then by their number."""
     at = lookup({x: i for i, x in enumerate(LEVELS)}, F.col(level), len(LEVELS))
-    paths = [
-        units.select("*", F.lit(path).alias("path"), F.row_number().over(Window.partitionBy(F.lit(path)).orderBy(at, -F.col(count), number)).alias("position"))
-        for path, count in by.items()
-    ]
-    out = paths[0]
-    for more in paths[1:]:
-        out = out.unionByName(more)
-    return out
+    every = units.withColumn("path", F.explode(F.array(*[F.lit(p) for p in by])))
+    count = F.coalesce(*[F.when(F.col("path") == path, F.col(c)) for path, c in by.items()])
+    return position_in_scope(every, ["path"], [at, -count, F.col(number)], "position")
 
 
 def crosstab(rows: DataFrame, level: str, flags: dict[str, Column]) -> DataFrame:

@@ -1,18 +1,17 @@
 """A guarded migration as a protocol: load, check before writing, write a version, verify, publish or take back.
 
-A table is a folder of versions (``v=000001``, ...) and a pointer file that names the one in force.  Nothing is
-ever overwritten: applying writes a new version, verifying reads it, publishing moves the pointer, and taking
-back moves it to where it was.
+A table is a folder of versions (``v=000001``, ...) and a log that names the one in force (``commits``).  Nothing is
+ever overwritten: applying writes a new version, verifying reads it, publishing adds to the log, and so does taking
+back, after which one can go on from there.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import cell_hash
+from . import commits
 from .migration import apply_cells, audit_rows, cells, differences, drifted, logical_hash
 
 
@@ -37,11 +36,12 @@ def with_before(promotions: DataFrame, table: DataFrame, key: str) -> DataFrame:
     return told.withColumn("known", F.col("_k").isNotNull()).drop("_k", "_f")
 
 
-def checklist(changes: DataFrame, table: DataFrame, key: str, expected: int, protected: list[str], excluded: DataFrame | None = None) -> DataFrame:
+def checklist(changes: DataFrame, table: DataFrame, key: str, expected: int, protected: list[str], excluded: DataFrame | None = None, rows: int | None = None, seals: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """``check, n, ok`` (M2): what must hold before anything is written; ``n`` counts what is at fault.
 
     The number of changes, cells changed twice, protected columns, excluded keys, cells that are unknown, have
-    drifted or would not change, values without text.
+    drifted or would not change, values without text; where given, the table's number of rows and seals: a hash that was
+    promised and the one that was found, as of the manifest or the candidates, by name.
     """
     wrong = drifted(changes, table, key)
     tests = [
@@ -52,6 +52,10 @@ def checklist(changes: DataFrame, table: DataFrame, key: str, expected: int, pro
     if excluded is not None:
         held = changes.join(excluded.select(F.col(key).alias("_x")).distinct(), F.col(key) == F.col("_x"), "left_semi")
         tests.append(held.agg(F.count(F.lit(1)).alias("n")).select(F.lit("excluded").alias("check"), "n"))
+    if rows is not None:
+        tests.append(table.agg(F.abs(F.count(F.lit(1)) - rows).alias("n")).select(F.lit("rows").alias("check"), "n"))
+    for name, (promised, found) in (seals or {}).items():
+        tests.append(table.sparkSession.range(1).select(F.lit(name).alias("check"), F.lit(int(promised != found)).cast("long").alias("n")))
     by_reason = wrong.agg(*[F.count_if(F.col("why") == w).alias(w) for w in ("unknown cell", "drift", "null value", "no change")])
     tests.append(by_reason.select(F.explode(F.create_map(*[x for w in ("unknown cell", "drift", "null value", "no change") for x in (F.lit(w), F.col(f"`{w}`"))])).alias("check", "n")))
     out = tests[0]
@@ -96,64 +100,54 @@ def dry_run(table: DataFrame, changes: DataFrame, key: str, fields: list[str]) -
     return verify(table, after, changes, audit, key).unionByName(same.withColumn("ok", F.col("n") == 0))
 
 
-def _pointer(spark: SparkSession, root: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_current")
-    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def current_version(spark: SparkSession, root: str) -> int:
     """The version in force; 0 if there is none."""
-    path, fs = _pointer(spark, root)
-    if not fs.exists(path):
-        return 0
-    return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(fs.open(path), "UTF-8"))["version"]
+    return commits.current(spark, root)
 
 
 def publish(spark: SparkSession, root: str, version: int) -> None:
-    """Put a version in force: the pointer is written beside itself and moved into place in one step."""
-    path, fs = _pointer(spark, root)
-    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_current.{version}.new")
-    out = fs.create(beside, True)
-    out.write(bytearray(json.dumps({"version": version}).encode()))
-    out.close()
-    fs.delete(path, False)
-    fs.rename(beside, path)
+    """Put a written version in force, in one step."""
+    commits.publish(spark, root, version)
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    return spark.read.parquet(f"{root}/v={version or current_version(spark, root):06d}")
+    return spark.read.parquet(commits.version_path(root, version or current_version(spark, root)))
+
+
+def _failed(told: DataFrame) -> list[str]:
+    return sorted(r["check"] for r in told.where("not ok").collect())  # one row a check
 
 
-def execute(spark: SparkSession, root: str, changes: DataFrame, key: str, fields: list[str], expected: int, protected: list[str] = (), excluded: DataFrame | None = None) -> dict:
+def execute(spark: SparkSession, root: str, changes: DataFrame, key: str, fields: list[str], expected: int, protected: list[str] = (), excluded: DataFrame | None = None, rows: int | None = None, seals: dict[str, tuple[str, str]] | None = None) -> dict:
     """The migration for real (M8): checklist, new version, audit, verification of what was written, publication.
 
-    Fails before writing if a check fails, and before publishing if the written version is not what it should
-    be; the version in force then stays.  Gives a report.
+    Fails before writing if a check fails, and before publishing if the written version is not what it should be; the
+    version in force then stays, and the number of the failed one is not used again.  If another writer publishes
+    meanwhile, ``commits.Conflict`` is raised and the version in force is the other's.  Then what is in force is read and
+    verified again; if that fails, it is taken back.  Gives the report, which the log keeps as well.
     """
-    held = current_version(spark, root)
-    table = read_version(spark, root, held)
-    failed = [r["check"] for r in checklist(changes, table, key, expected, list(protected), excluded).where("not ok").collect()]
-    if failed:
-        raise ValueError(f"not migrated: {', '.join(sorted(failed))}")
-    then = held + 1
-    apply_cells(table, changes, key, fields).write.mode("errorifexists").parquet(f"{root}/v={then:06d}")
-    audit_rows(changes, key).withColumn("migrated_at", F.current_timestamp()).write.mode("errorifexists").parquet(f"{root}/audit={then:06d}")
-    after, audit = read_version(spark, root, then), spark.read.parquet(f"{root}/audit={then:06d}")
-    failed = [r["check"] for r in verify(table, after, changes, audit, key).where("not ok").collect()]
-    if failed:
-        raise ValueError(f"not published: {', '.join(sorted(failed))}")
-    publish(spark, root, then)
-    before_hash, after_hash = (logical_hash(t).first() for t in (table, read_version(spark, root)))
-    return {"version": then, "rows": after_hash.n_rows, "changes": expected, "before": before_hash.sha256, "after": after_hash.sha256}
+    draft = commits.begin(spark, root)
+    table = read_version(spark, root, draft.parent)
+    if failed := _failed(checklist(changes, table, key, expected, list(protected), excluded, rows, seals)):
+        raise ValueError(f"not migrated: {', '.join(failed)}")
+    after = commits.write(draft, apply_cells(table, changes, key, fields))
+    audit_path = f"{root}/audit={draft.number:06d}"
+    audit_rows(changes, key).withColumn("migrated_at", F.current_timestamp()).write.mode("errorifexists").parquet(audit_path)
+    audit = spark.read.parquet(audit_path)
+    if failed := _failed(verify(table, after, changes, audit, key)):
+        raise ValueError(f"not published: {', '.join(failed)}")
+    before_hash, after_hash = (logical_hash(t).first() for t in (table, after))
+    report = {"version": draft.number, "parent": draft.parent, "rows": after_hash.n_rows, "changes": expected, "before": before_hash.sha256, "after": after_hash.sha256}
+    commits.commit(spark, draft, report=report)
+    if logical_hash(read_version(spark, root, draft.number)).first().sha256 != report["after"]:
+        commits.take_back(spark, root)
+        raise ValueError("taken back: what is in force is not what was verified")
+    return report
 
 
 def take_back(spark: SparkSession, root: str) -> int:
-    """The version before the one in force is in force again (M7)."""
-    held = current_version(spark, root)
-    if held < 2:
-        raise ValueError("there is no earlier version")
-    publish(spark, root, held - 1)
-    return held - 1
+    """The version that the one in force was made from is in force again (M7)."""
+    return commits.take_back(spark, root)
 
 
 def rebuilt_by_rank(table: DataFrame, key: str, rank: str) -> DataFrame:

@@ -77,6 +77,30 @@ def global_position(rows: DataFrame, order: list[Column], into: str) -> DataFram
     return laid.join(sizes, F.col("_gp_p") == F.col("_gp_q")).withColumn(into, place).drop("_gp_m", "_gp_p", "_gp_q", "_gp_before")
 
 
+def position_in_scope(rows: DataFrame, scope: list[str], order: list[Column], into: str, total: str | None = None) -> DataFrame:
+    """1, 2, ... within each scope in ``order`` (which must be total there), and in ``total`` the size of the scope.
+
+    One range sort by scope and order; partitions number the rows that they hold of each scope and add the counts
+    of earlier partitions.  A scope of any size spreads over partitions, so none has to fit in a task.  A null scope is one.
+    """
+    keys = {f"_gp_s{i}": F.col(c) for i, c in enumerate(scope)} | {f"_gp_o{i}": c for i, c in enumerate(order)}
+    laid = rows.withColumns(keys).repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+    laid = cut(laid.withColumn("_gp_m", F.monotonically_increasing_id()).drop(*[f"_gp_o{i}" for i in range(len(order))])).withColumn("_gp_p", F.shiftright("_gp_m", 33))
+    scopes = [f"_gp_s{i}" for i in range(len(scope))]
+    # A row a partition and scope: as many as there are partitions and scopes together.
+    sizes = laid.groupBy("_gp_p", *scopes).agg(F.count(F.lit(1)).alias("_gp_n"), F.min("_gp_m").alias("_gp_first"))
+    own = Window.partitionBy(*scopes)
+    before = own.orderBy("_gp_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*[F.col(s).alias(f"{s}_") for s in scopes], F.col("_gp_p").alias("_gp_q"), "_gp_first", F.coalesce(F.sum("_gp_n").over(before), F.lit(0)).alias("_gp_before"), F.sum("_gp_n").over(own).alias("_gp_all"))
+    same = F.col("_gp_p") == F.col("_gp_q")
+    for s in scopes:
+        same = same & F.col(s).eqNullSafe(F.col(f"{s}_"))
+    placed = laid.join(sizes, same).withColumn(into, F.col("_gp_before") + F.col("_gp_m") - F.col("_gp_first") + 1)
+    if total:
+        placed = placed.withColumn(total, F.col("_gp_all"))
+    return placed.drop("_gp_m", "_gp_p", "_gp_q", "_gp_first", "_gp_before", "_gp_all", *scopes, *[f"{s}_" for s in scopes])
+
+
 def rerank_globally(rows: DataFrame, zipf: str, pos: str, rank: str, into: str = "new_rank") -> DataFrame:
     """By frequency, then part of speech, then the rank so far."""
     tie = lookup(POS_TIEBREAK, F.col(pos), 10)

@@ -117,29 +117,15 @@ def halt_on_breach(report: DataFrame) -> DataFrame:
 
 
 def preservation(old: Column, new: Column, action: Column, old_valid: Column, new_valid: Column, state: Column, reason: Column, superior: Column, defect: Column, evidence: Column) -> Column:
-    """What became of a field: the ladder of classes, the first that holds.
+    """What became of a text field: ``preservation.ladder`` over texts, blank ones being empty.
 
-    ``state`` is what was declared of the old value (``null``, ``non_null`` or nothing), ``action`` one of
-    null, replace, improve, preserve; ``evidence`` says that an emptied field was sufficiently argued.
+    ``evidence`` says that an emptied field was sufficiently argued.
     """
+    from .preservation import ladder
+
     has = lambda x: F.coalesce(F.trim(x) != "", F.lit(False))
-    norm = lambda x: F.lower(F.trim(F.regexp_replace(x, r"(?U)\s+", " ")))
-    act = F.coalesce(action, F.lit("preserve"))
-    conflict = ((state == "null") & has(old)) | ((state == "non_null") & ~has(old)) | ((act == "null") & new_valid)
-    lost = F.when((act == "null") & defect & evidence, "justified_nullification").otherwise("unjustified_nullification")
-    replaces = act.isin("replace", "improve")
-    return (
-        F.when(F.coalesce(conflict, F.lit(False)), "field_decision_conflict")
-        .when(~has(old), F.when(new_valid, "fill").otherwise("remain_null"))
-        .when(F.coalesce(norm(old) == norm(new), F.lit(False)), F.when(replaces, "redundant_replace").otherwise("preserved"))
-        .when(~old_valid, F.when(new_valid, "repair").otherwise("changed_defective"))
-        .when(~new_valid & ~has(new), lost)
-        .when(~new_valid, "regression")
-        .when((act == "replace") & reason & superior, "changed")
-        .when(act == "replace", "unjustified_change")
-        .when(act == "preserve", "field_decision_conflict")
-        .otherwise("unjustified_change")
-    )
+    level = lambda x: F.lower(F.trim(F.regexp_replace(x, r"(?U)\s+", " ")))
+    return ladder(has(old), old_valid, has(new), new_valid, level(old) == level(new), action, reason, superior, defect, evidence, state)
 
 
 def preservation_rates(rows: DataFrame, kind: str, old_valid: str, old_has: str) -> DataFrame:

@@ -339,13 +339,13 @@ def pair_overlap(spark, sf):
 
 _PRESERVE_SQL = r"""WITH t AS (SELECT conv_id, turn, role, CASE WHEN turn % 5 = 3 THEN '' ELSE text END AS old, CASE WHEN turn % 3 = 1 THEN text WHEN turn % 7 = 2 THEN '' ELSE lead(text) OVER (PARTITION BY conv_id ORDER BY turn, role, text) END AS new FROM conversations),
 v AS (SELECT *, coalesce(trim(old, ' ') <> '', false) AS ho, coalesce(trim(new, ' ') <> '', false) AS hn, coalesce(len(old) > 60, false) AS ov, coalesce(len(new) > 60, false) AS nv,
-  CASE turn % 4 WHEN 0 THEN 'replace' WHEN 1 THEN 'preserve' WHEN 2 THEN 'null' ELSE 'improve' END AS act, CASE WHEN turn = 5 THEN 'null' END AS state, conv_id % 2 = 0 AS rea, conv_id % 3 > 0 AS sup FROM t),
+  CASE turn % 6 WHEN 0 THEN 'replace' WHEN 1 THEN 'preserve' WHEN 2 THEN 'null' WHEN 3 THEN 'improve' WHEN 4 THEN 'improve/replace' END AS act, CASE WHEN turn = 5 THEN 'null' WHEN turn = 3 THEN 'non_null' END AS state, conv_id % 2 = 0 AS rea, conv_id % 3 > 0 AS sup FROM t),
 k AS (SELECT *, CASE WHEN coalesce((state = 'null' AND ho) OR (state = 'non_null' AND NOT ho) OR (act = 'null' AND nv), false) THEN 'field_decision_conflict'
   WHEN NOT ho THEN CASE WHEN nv THEN 'fill' ELSE 'remain_null' END
-  WHEN coalesce(lower(trim(regexp_replace(old, '\s+', ' ', 'g'), ' ')) = lower(trim(regexp_replace(new, '\s+', ' ', 'g'), ' ')), false) THEN CASE WHEN act IN ('replace', 'improve') THEN 'redundant_replace' ELSE 'preserved' END
+  WHEN coalesce(lower(trim(regexp_replace(old, '\s+', ' ', 'g'), ' ')) = lower(trim(regexp_replace(new, '\s+', ' ', 'g'), ' ')), false) THEN CASE WHEN act IN ('replace', 'improve', 'improve/replace') THEN 'redundant_replace' ELSE 'preserved' END
   WHEN NOT ov THEN CASE WHEN nv THEN 'repair' ELSE 'changed_defective' END
   WHEN NOT nv AND NOT hn THEN CASE WHEN act = 'null' AND rea AND sup THEN 'justified_nullification' ELSE 'unjustified_nullification' END
-  WHEN NOT nv THEN 'regression' WHEN act = 'replace' AND rea AND sup THEN 'changed' WHEN act = 'replace' THEN 'unjustified_change' WHEN act = 'preserve' THEN 'field_decision_conflict' ELSE 'unjustified_change' END AS kind FROM v)"""
+  WHEN NOT nv THEN 'regression' WHEN act IN ('replace', 'improve', 'improve/replace') AND rea AND sup THEN 'changed' WHEN act = 'preserve' THEN 'field_decision_conflict' ELSE 'unjustified_change' END AS kind FROM v)"""
 
 
 def _preserved(spark, sf):
@@ -355,9 +355,9 @@ def _preserved(spark, sf):
     after = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
     rows = c.select("conv_id", "turn", "role", F.when(t % 5 == 3, "").otherwise(F.col("text")).alias("old"), F.when(t % 3 == 1, F.col("text")).when(t % 7 == 2, "").otherwise(after).alias("new"))
     ok = lambda x: F.coalesce(F.char_length(x) > 60, F.lit(False))
-    action = F.when(t % 4 == 0, "replace").when(t % 4 == 1, "preserve").when(t % 4 == 2, "null").otherwise("improve")
+    action = F.when(t % 6 == 0, "replace").when(t % 6 == 1, "preserve").when(t % 6 == 2, "null").when(t % 6 == 3, "improve").when(t % 6 == 4, "improve/replace")
     even, third = F.col("conv_id") % 2 == 0, F.col("conv_id") % 3 > 0
-    kind = rules.preservation(F.col("old"), F.col("new"), action, ok("old"), ok("new"), F.when(t == 5, "null"), even, third, even, third)
+    kind = rules.preservation(F.col("old"), F.col("new"), action, ok("old"), ok("new"), F.when(t == 5, "null").when(t == 3, " Non-Null"), even, third, even, third)
     return rows.select("conv_id", "turn", "role", kind.alias("kind"), ok("old").alias("old_valid"), F.coalesce(F.trim("old") != "", F.lit(False)).alias("old_has"))
 
 

@@ -7,6 +7,8 @@ import os
 import duckdb
 import pytest
 
+import lexloom.plans.contract_queries  # noqa: F401  (registers further queries)
+import lexloom.plans.integrity_queries  # noqa: F401  (registers further queries)
 import lexloom.plans.lookup_queries  # noqa: F401  (registers further queries)
 import lexloom.plans.more_queries  # noqa: F401  (registers further queries)
 import lexloom.plans.package_queries  # noqa: F401  (registers further queries)
