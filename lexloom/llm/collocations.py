@@ -31,8 +31,8 @@ from .shipping import ship
 MOST_WORDS, LEAST_COUNT = 3, 10
 #: A phrase within a longer one that has at least this percentage of its count goes.
 SUBSUMED_PERCENT = 50
-#: Rows reported for each language.
-TOP = 2000
+#: Rows reported for each language, and parts of a language's phrases at most of which each first finds its own.
+TOP, TOP_PARTS = 2000, 256
 #: Words of a block, and of all blocks that a task has open.
 BLOCK_WORDS, OPEN_WORDS = 2 << 20, 6 << 20
 #: Distinct words that go out together.
@@ -190,11 +190,11 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     """``lang, rank, phrase, a, l, r, n, score``: each language's first ``top`` phrases by score, then count, then phrase.
 
     Ties in score and count go by the phrase's bytes.  Each part of a language's phrases first finds its own
-    ``top``, so no task meets all of them.  See ``phrases``.
+    ``top``, so the last task of a language meets ``top`` rows of each part at most.  See ``phrases``.
     """
     kept, totals = phrases(docs, lang_col, text_col, **limits)
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    parts = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = min(TOP_PARTS, max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     dealt = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
     first = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
     best = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)

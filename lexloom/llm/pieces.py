@@ -31,7 +31,7 @@ from .shared import hold_name, text_column
 from .shipping import ship
 
 #: Cached stretches of text, and cached pairs of tokens, a worker; beyond it a cache starts anew.
-CACHE_STRETCHES, CACHE_PAIRS = 600_000, 1_000_000
+CACHE_STRETCHES, CACHE_PAIRS = 400_000, 500_000
 #: Bytes of results that go out together.
 OUT_BYTES = 8 << 20
 #: The sign that stands for a space within pieces.
