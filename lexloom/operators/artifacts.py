@@ -134,76 +134,80 @@ def artifact_result(a: Column, output: Column, experiment: str, lemma: Column, p
     return F.struct(status.alias("status"), codes.alias("errors"), doubts.alias("flags"))
 
 
-def artifact_report(raw: Column, experiment: str, schema: dict) -> Column:
-    """``status, codes, flags, checks, violation`` of an artifact's JSON text (C6), against the schema of its output.
+def artifact_reports(rows: DataFrame, raw: str, experiment: str, schema: dict, into: str = "report") -> DataFrame:
+    """``rows`` with ``into``: ``status, codes, flags, checks, violation`` of an artifact's JSON text.
 
     In order: the structure of its envelope, its run's status, that there is an output, the output's hash against that of
-    its provenance, its schema, what must be in it, its examples, its mnemonic; then doubts (circular definition, form of
-    the definition against the part of speech), which only flag.  A wrong structure, a failed run, a missing
+    its provenance, the output's schema, what must be in it, its examples, its mnemonic; then doubts (circular definition,
+    form of the definition against the part of speech), which only flag.  A wrong structure, a failed run, a missing
     output and a broken schema end the checks, so the map ``checks`` has ``pass``, ``fail``, ``flag`` or
     ``unverified`` of those made.  ``violation`` is the path and rule of the first break of the schema.  Text that is no
-    JSON, and null, are of wrong structure.  The hash is that of the output with sorted keys and no white space, of a
-    text alone that of its characters; numbers are hashed as VARIANT writes them (1.0 as 1).
+    JSON, and null, are of wrong structure; what follows the first JSON value of a text is not read.  The hash is that of
+    the output with sorted keys and no white space, of a text alone that of its characters; numbers are hashed as
+    VARIANT writes them (1.0 as 1).
     """
-    v = F.try_parse_json(raw)
-    at = lambda path: F.try_variant_get(v, path, "variant")
+    col, yes = F.col, lambda c: F.coalesce(c, F.lit(False))
+    at = lambda path: F.try_variant_get("_v", path, "variant")
     kind = lambda path: F.schema_of_variant(at(path))
-    text = lambda path: F.when(kind(path) == "STRING", F.try_variant_get(v, path, "string"))
-    held = ["$.runtime.status", *(f"$.lexical_entry.{k}" for k in ("lexical_id", "lemma", "pos", "cefr")), *(f"$.provenance.{k}" for k in ("output_hash", "golden_set_hash", "schema_version"))]
-    structure = F.coalesce((text("$.candidate_id") != "") & (text("$.experiment_id") == experiment), F.lit(False))
+    text = lambda path: F.when(kind(path) == "STRING", F.try_variant_get("_v", path, "string"))
+    held = [*(f"$.lexical_entry.{k}" for k in ("lexical_id", "lemma", "pos", "cefr")), *(f"$.provenance.{k}" for k in ("output_hash", "golden_set_hash", "schema_version"))]
+    structure = yes(text("$.candidate_id") != "") & yes(text("$.experiment_id") == experiment) & at("$.runtime.status").isNotNull()
     for path in held:
         structure = structure & at(path).isNotNull()
-    ran = F.coalesce(text("$.runtime.status") == "success", F.lit(False))
-    output = F.try_variant_get(v, "$.output", "variant")
-    there = F.coalesce(kind("$.output") != "VOID", F.lit(False))
-    digest = F.sha2(F.coalesce(text("$.output"), F.to_json(output)), 256)
-    hashed = F.coalesce(text("$.provenance.output_hash") == digest, F.lit(False))
-    broken = violation(output, schema)
-    lemma, pos = text("$.lexical_entry.lemma"), text("$.lexical_entry.pos")
-    definition, explanation = text("$.output.definition_en"), text("$.output.explanation_ar")
-    examples = F.coalesce(F.try_variant_get(v, "$.output.examples", "array<variant>"), F.array().cast("array<variant>"))
-    word = F.regexp_replace(F.lower(lemma), "[^a-z']", "")
-    holds = lambda x: F.coalesce(F.array_contains(tokens(F.try_variant_get(x, "$.example_text", "string")), word), F.lit(False))
-    mnemonic = F.lower(strip(text("$.output.mnemonic_ar")))
-    of_mnemonic = F.coalesce(kind("$.output.mnemonic_ar"), F.lit("VOID"))
-    low = F.lower(strip(definition))
-    to_form = F.coalesce(low.startswith("to "), F.lit(False))
-    doubtful = ((pos == "verb") & ~to_form) | (pos.isin("noun", "adjective") & to_form)
-    go = {"structure": structure, "ran": structure & ran, "there": structure & ran & there}
-    deep = go["there"] & broken.isNull()
+    told = rows.withColumn("_v", F.try_parse_json(col(raw))).withColumns(
+        {
+            "_structure": structure,
+            "_ran": yes(text("$.runtime.status") == "success"),
+            "_there": yes(kind("$.output") != "VOID"),
+            "_output": at("$.output"),
+            "_promised": text("$.provenance.output_hash"),
+            "_alone": text("$.output"),
+            "_lemma": text("$.lexical_entry.lemma"),
+            "_pos": text("$.lexical_entry.pos"),
+            "_definition": text("$.output.definition_en"),
+            "_explanation": text("$.output.explanation_ar"),
+            "_mnemonic": F.lower(strip(text("$.output.mnemonic_ar"))),
+            "_of_mnemonic": F.coalesce(kind("$.output.mnemonic_ar"), F.lit("VOID")),
+            "_examples": F.transform(F.coalesce(F.try_variant_get("_v", "$.output.examples", "array<variant>"), F.array().cast("array<variant>")), lambda x: F.try_variant_get(x, "$.example_text", "string")),
+        }
+    )
+    told = told.withColumn("_broken", F.when(col("_structure") & col("_ran") & col("_there"), violation(col("_output"), schema)))
+    told = told.withColumns(
+        {
+            "_hashed": yes(col("_promised") == F.sha2(F.coalesce(col("_alone"), F.to_json("_output")), 256)),
+            "_word": F.regexp_replace(F.lower("_lemma"), "[^a-z']", ""),
+            "_low": F.lower(strip(col("_definition"))),
+            "_deep": col("_structure") & col("_ran") & col("_there") & col("_broken").isNull(),
+            "_circular": is_circular(col("_definition"), col("_lemma")),
+        }
+    )
+    to_form = yes(col("_low").startswith("to "))
+    doubtful = ((col("_pos") == "verb") & ~to_form) | (col("_pos").isin("noun", "adjective") & to_form)
+    lacking = F.exists("_examples", lambda x: ~yes(F.array_contains(tokens(x), col("_word"))))
 
     def tell(name: str, made: Column, faults: dict[str, Column], bad: str = "fail", good: str = "pass") -> Column:
-        fault = F.coalesce(*[F.when(F.coalesce(c, F.lit(False)), F.lit(code)) for code, c in faults.items()])
+        fault = F.coalesce(*[F.when(yes(c), F.lit(code)) for code, c in faults.items()])
         return F.when(made, F.struct(F.lit(name).alias("check"), F.when(fault.isNull(), good).otherwise(bad).alias("status"), fault.alias("code")))
 
-    rows = F.filter(
-        F.array(
-            tell("artifact_structure", F.lit(True), {"INVALID_STRUCTURE": ~structure}),
-            tell("runtime_status", go["structure"], {"RUNTIME_FAILED": ~ran}),
-            tell("schema", go["ran"] & ~there, {"MISSING_OUTPUT": F.lit(True)}),
-            tell("output_hash", go["there"], {"HASH_MISMATCH": ~hashed}),
-            tell("schema", go["there"], {"SCHEMA_VIOLATION": broken.isNotNull()}),
-            tell("required_fields", deep, {"INVALID_DEFINITION": _missing(strip(definition)), "INVALID_EXPLANATION": _missing(strip(explanation))}),
-            tell("example_count", deep, {"WRONG_EXAMPLE_COUNT": F.size(examples) != 3}),
-            tell("target_word", deep, {"TARGET_WORD_MISSING": F.exists(examples, lambda x: ~holds(x))}),
-            tell("mnemonic", deep, {"MNEMONIC_INVALID_TYPE": ~of_mnemonic.isin("STRING", "VOID"), "MNEMONIC_EMPTY": mnemonic == "", "MNEMONIC_GENERIC_NULL": mnemonic.isin(NULL_WORDS)}),
-            tell("circular_definition", deep, {"CIRCULAR_DEFINITION": is_circular(definition, lemma)}, "flag"),
-            tell("pos_alignment", deep, {"POS_HEURISTIC_SUSPICION": doubtful}, "flag", "unverified"),
-        ),
-        lambda r: r.isNotNull(),
-    )
-    codes = lambda r, status: F.transform(F.filter(r, lambda x: x["status"] == status), lambda x: x["code"])
-    told = F.transform(
-        F.array(rows),
-        lambda r: F.struct(
-            F.when(F.exists(r, lambda x: x["status"] == "fail"), "ERROR").when(F.exists(r, lambda x: x["status"] == "flag"), "FLAG").otherwise("PASS").alias("status"),
-            codes(r, "fail").alias("codes"),
-            codes(r, "flag").alias("flags"),
-            F.map_from_entries(F.transform(r, lambda x: F.struct(x["check"], x["status"]))).alias("checks"),
-            F.when(go["there"], broken).alias("violation"),
-        ),
+    deep, reached = col("_deep"), col("_structure") & col("_ran")
+    made = F.array(
+        tell("artifact_structure", F.lit(True), {"INVALID_STRUCTURE": ~col("_structure")}),
+        tell("runtime_status", col("_structure"), {"RUNTIME_FAILED": ~col("_ran")}),
+        tell("schema", reached & ~col("_there"), {"MISSING_OUTPUT": F.lit(True)}),
+        tell("output_hash", reached & col("_there"), {"HASH_MISMATCH": ~col("_hashed")}),
+        tell("schema", reached & col("_there"), {"SCHEMA_VIOLATION": col("_broken").isNotNull()}),
+        tell("required_fields", deep, {"INVALID_DEFINITION": _missing(col("_low")), "INVALID_EXPLANATION": _missing(strip(col("_explanation")))}),
+        tell("example_count", deep, {"WRONG_EXAMPLE_COUNT": F.size("_examples") != 3}),
+        tell("target_word", deep, {"TARGET_WORD_MISSING": lacking}),
+        tell("mnemonic", deep, {"MNEMONIC_INVALID_TYPE": ~col("_of_mnemonic").isin("STRING", "VOID"), "MNEMONIC_EMPTY": col("_mnemonic") == "", "MNEMONIC_GENERIC_NULL": col("_mnemonic").isin(NULL_WORDS)}),
+        tell("circular_definition", deep, {"CIRCULAR_DEFINITION": col("_circular")}, "flag"),
+        tell("pos_alignment", deep, {"POS_HEURISTIC_SUSPICION": doubtful}, "flag", "unverified"),
     )
-    return F.get(told, F.lit(0))
+    told = told.withColumn("_made", F.filter(made, lambda r: r.isNotNull()))
+    codes = lambda status: F.transform(F.filter("_made", lambda x: x["status"] == status), lambda x: x["code"])
+    status = F.when(F.exists("_made", lambda x: x["status"] == "fail"), "ERROR").when(F.exists("_made", lambda x: x["status"] == "flag"), "FLAG").otherwise("PASS")
+    report = F.struct(status.alias("status"), codes("fail").alias("codes"), codes("flag").alias("flags"), F.map_from_entries(F.transform("_made", lambda x: F.struct(x["check"], x["status"]))).alias("checks"), col("_broken").alias("violation"))
+    return told.select(*rows.columns, report.alias(into))
 
 
 def validation_summary(rows: DataFrame, status: str) -> DataFrame:

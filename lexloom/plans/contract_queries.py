@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import values as V
 from ..operators import artifacts, preservation
+from .base import cut
 from .queries import _WORDS_SQL, _words, query
 from .rule_queries import _NULLS, _circular_sql, _quoted, _tokens_sql
 
@@ -109,8 +110,8 @@ def artifact_reports(spark, sf):
             "provenance": _object({"output_hash": _quote(digest), "golden_set_hash": F.lit('"g"'), "schema_version": F.when(i % 23 != 1, '"v1"')}),
         }
     )
-    raw = F.when(i % 29 == 2, F.concat(raw, F.lit("}"))).otherwise(raw)
-    rows = _words(spark, sf).select("id", artifacts.artifact_report(raw, "E1", OUTPUT_SCHEMA).alias("r"))
+    raw = F.when(i % 29 == 2, F.concat(F.lit("{"), raw)).otherwise(raw)
+    rows = artifacts.artifact_reports(_words(spark, sf).select("id", raw.alias("raw")), "raw", "E1", OUTPUT_SCHEMA, "r")
     pairs = F.array_sort(F.transform(F.map_entries("r.checks"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
     return rows.select("id", "r.status", F.array_join("r.codes", ",").alias("codes"), F.array_join("r.flags", ",").alias("flags"), F.array_join(pairs, ",").alias("checks"), F.concat("r.violation.path", F.lit(" "), "r.violation.rule").alias("violation"))
 
@@ -123,7 +124,7 @@ _EXAMPLES = ["null", '["%", "The %.", "% x"]', '{"2": "%", "10": "The %.", "1":
 _TEXT_NEW = ["null", '""', '"N/A"', '"to %"', '"a thing"', '"A thing "']
 _LIST_NEW = ["null", "[]", '["one"]', '["one", "two"]']
 _TRANSLATION_NEW = ["null", '""', '"one"', '"two / one"']
-_EXAMPLES_NEW = ["null", _EXAMPLES[1], _EXAMPLES[3], _EXAMPLES[4], _EXAMPLES[5], _EXAMPLES[6]]
+_EXAMPLES_NEW = ["null", _EXAMPLES[1], '[{"example_text": "%"}, {"example_text": "The %."}, {"example_text": "% x"}]', _EXAMPLES[4], _EXAMPLES[5], _EXAMPLES[6]]
 _DECISIONS = [
     None,
     '{"action": "preserve"}',
@@ -213,4 +214,5 @@ def decision_import(spark, sf):
 
 @query(_DECIDED_SQL + " SELECT field, cat AS category, count(*) AS n FROM k WHERE l_ok GROUP BY ALL".replace("l_ok", "id % 12 > 2 AND id % 12 <> 6"))
 def decision_classes(spark, sf):
-    return _decisions(spark, sf).where("fields IS NOT NULL").select(F.inline("fields")).groupBy("field", "category").agg(F.count(F.lit(1)).alias("n"))
+    told = cut(_decisions(spark, sf).where("fields IS NOT NULL").select("fields"))
+    return told.select(F.inline("fields")).groupBy("field", "category").agg(F.count(F.lit(1)).alias("n"))

@@ -97,34 +97,27 @@ def artifact(**changes):
     return json.dumps(base | changes, ensure_ascii=False)
 
 
-@pytest.mark.parametrize(
-    ("raw", "status", "codes", "flags", "n"),
-    [
-        (artifact(), "PASS", [], [], 10),
-        (None, "ERROR", ["INVALID_STRUCTURE"], [], 1),
-        ("[]", "ERROR", ["INVALID_STRUCTURE"], [], 1),
-        (artifact(candidate_id=5), "ERROR", ["INVALID_STRUCTURE"], [], 1),
-        (artifact(experiment_id="F"), "ERROR", ["INVALID_STRUCTURE"], [], 1),
-        (artifact(provenance={"output_hash": "x"}), "ERROR", ["INVALID_STRUCTURE"], [], 1),
-        (artifact(runtime={"status": "failed"}), "ERROR", ["RUNTIME_FAILED"], [], 2),
-        (artifact(output={"definition_en": 5}), "ERROR", ["SCHEMA_VIOLATION"], [], 4),
-        (artifact(output={"definition_en": " ", "mnemonic_ar": " N/A "}), "ERROR", ["INVALID_DEFINITION", "MNEMONIC_GENERIC_NULL"], ["POS_HEURISTIC_SUSPICION"], 10),
-        (artifact(output={"mnemonic_ar": 5, "explanation_ar": ""}), "ERROR", ["INVALID_EXPLANATION", "MNEMONIC_INVALID_TYPE"], [], 10),
-        (artifact(output={"examples": [{"example_text": "refused"}]}), "ERROR", ["WRONG_EXAMPLE_COUNT", "TARGET_WORD_MISSING"], [], 10),
-        (artifact(output={"definition_en": "To refuse"}), "FLAG", [], ["CIRCULAR_DEFINITION"], 10),
-        (artifact(output={"definition_en": "a \"no\" \\ \n\t/ é"}, provenance={"output_hash": "0", "golden_set_hash": "g", "schema_version": "v"}), "ERROR", ["HASH_MISMATCH"], ["POS_HEURISTIC_SUSPICION"], 10),
-        (artifact(output={"definition_en": "a \"no\" \\ \n\t/ \x01 é"}), "FLAG", [], ["POS_HEURISTIC_SUSPICION"], 10),
-    ],
-)
-def test_artifact_reports(spark, raw, status, codes, flags, n):
-    rows = spark.createDataFrame([(raw,)], "raw string")
-    r = rows.select(artifacts.artifact_report(F.col("raw"), "E", SCHEMA).alias("r")).first().r
-    assert (r.status, r.codes, r.flags, len(r.checks)) == (status, codes, flags, n)
-
-
-def test_a_missing_output_ends_the_checks(spark):
-    raw = json.loads(artifact())
-    for output in (None, "gone"):
-        some = {k: v for k, v in raw.items() if k != "output"} | ({"output": None} if output is None else {})
-        r = spark.createDataFrame([(json.dumps(some),)], "raw string").select(artifacts.artifact_report(F.col("raw"), "E", SCHEMA).alias("r")).first().r
-        assert (r.codes, r.checks, r.violation) == (["MISSING_OUTPUT"], {"artifact_structure": "pass", "runtime_status": "pass", "schema": "fail"}, None)
+CASES = [
+    (artifact(), "PASS", [], [], 10),
+    (None, "ERROR", ["INVALID_STRUCTURE"], [], 1),
+    ("[]", "ERROR", ["INVALID_STRUCTURE"], [], 1),
+    (artifact(candidate_id=5), "ERROR", ["INVALID_STRUCTURE"], [], 1),
+    (artifact(experiment_id="F"), "ERROR", ["INVALID_STRUCTURE"], [], 1),
+    (artifact(provenance={"output_hash": "x"}), "ERROR", ["INVALID_STRUCTURE"], [], 1),
+    (artifact(runtime={"status": "failed"}), "ERROR", ["RUNTIME_FAILED"], [], 2),
+    (artifact(output={"definition_en": 5}), "ERROR", ["SCHEMA_VIOLATION"], [], 4),
+    (artifact(output={"definition_en": " ", "mnemonic_ar": " N/A "}), "ERROR", ["INVALID_DEFINITION", "MNEMONIC_GENERIC_NULL"], ["POS_HEURISTIC_SUSPICION"], 10),
+    (artifact(output={"mnemonic_ar": 5, "explanation_ar": ""}), "ERROR", ["INVALID_EXPLANATION", "MNEMONIC_INVALID_TYPE"], [], 10),
+    (artifact(output={"examples": [{"example_text": "refused"}]}), "ERROR", ["WRONG_EXAMPLE_COUNT", "TARGET_WORD_MISSING"], [], 10),
+    (artifact(output={"definition_en": "To refuse"}), "FLAG", [], ["CIRCULAR_DEFINITION"], 10),
+    (artifact(output={"definition_en": "a \"no\" \\ \n\t/ é"}, provenance={"output_hash": "0", "golden_set_hash": "g", "schema_version": "v"}), "ERROR", ["HASH_MISMATCH"], ["POS_HEURISTIC_SUSPICION"], 10),
+    (artifact(output={"definition_en": "a \"no\" \\ \n\t/ \x01 é"}), "FLAG", [], ["POS_HEURISTIC_SUSPICION"], 10),
+] + [(json.dumps({k: v for k, v in json.loads(artifact()).items() if k != "output"} | more), "ERROR", ["MISSING_OUTPUT"], [], 3) for more in ({}, {"output": None})]
+
+
+def test_artifact_reports(spark):
+    rows = spark.createDataFrame([(i, c[0]) for i, c in enumerate(CASES)], "i int, raw string")
+    told = artifacts.artifact_reports(rows, "raw", "E", SCHEMA).orderBy("i").collect()
+    for (raw, *want), r in zip(CASES, told, strict=True):
+        assert [r.report.status, r.report.codes, r.report.flags, len(r.report.checks)] == want, raw
+    assert [r.report.violation and r.report.violation.path for r in told if "SCHEMA_VIOLATION" in r.report.codes] == ["$.definition_en"]
