@@ -392,3 +392,80 @@ def machine_evaluation(raw: Column, lemma: Column, pos: Column, mnemonic: Column
         F.when(fine, additions).alias("additions"),
         F.when(fine, removals).alias("removals"),
     )
+
+
+# What an entry must hold, the levels of an example, the largest numbers of relations, the word family.
+ENTRY_FIELDS = ["id", "lemma", "pos", "cefr_level", "difficulty_score", "category", "ai_confidence", "phonetic_us", "phonetic_uk", "phonetic_ar", "definition_en", "explanation_ar", "examples", "mnemonic_ar", "senses", "collocations", "synonyms", "antonyms", "related_words", "word_family", "translations"]
+ENTRY_LEVELS = ["A1", "A2", "B1", "B2", "C1", "C2"]
+ENTRY_BOUNDS = {"collocations": 5, "synonyms": 5, "antonyms": 3}
+ENTRY_FAMILY = ["noun", "verb", "adj", "adv"]
+
+
+def entry_issues(rows: DataFrame, raw: str, key: str, pos: str, level: str, into: str = "issues") -> DataFrame:
+    """``rows`` with ``into``: codes of all that is structurally wrong with an entry's JSON text, in one pass.
+
+    Against what was asked for: ``key``, part of speech and level (the latter two without regard to case); then fields,
+    difficulty, category, the numbers and the one primary of its senses, the number, words and level of its examples
+    (an example holds all words of its lemma, letters only), definitions and mnemonic that hold the lemma, bounds of
+    relations, related words, the Arabic translation, the word family.  Codes of a list's item end with its index from 0.
+    ``NO_PARSE`` alone for a text that is no JSON object.
+    """
+    col, yes = F.col, lambda c: F.coalesce(c, F.lit(False))
+    v = F.try_parse_json(col(raw))
+    at = lambda path: F.try_variant_get("_e", path, "variant")
+    kind = lambda path: F.coalesce(F.schema_of_variant(at(path)), F.lit("VOID"))
+    text = lambda path: F.try_variant_get("_e", path, "string")
+    items = lambda path: F.coalesce(F.when(kind(path).startswith("ARRAY"), F.try_variant_get("_e", path, "array<variant>")), F.array().cast("array<variant>"))
+    inner = lambda x, path, t="string": F.try_variant_get(x, path, t)
+    words = lambda c: F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit("[A-Za-z]+"), F.lit(0)), F.lower))
+    told = rows.withColumn("_e", F.when(F.schema_of_variant(v).startswith("OBJECT"), v)).withColumns(
+        {
+            "_lacking": F.array_except(F.array(*[F.lit(f) for f in ENTRY_FIELDS]), F.coalesce(F.map_keys(F.try_variant_get("_e", "$", "map<string,variant>")), F.array().cast("array<string>"))),
+            "_lemma": F.lower(F.coalesce(text("$.lemma"), F.lit(""))),
+            "_senses": items("$.senses"),
+            "_examples": items("$.examples"),
+        }
+    )
+    told = told.withColumns(
+        {
+            "_words": words(col("_lemma")),
+            "_numbers": F.transform("_senses", lambda s: inner(s, "$.sense_no", "bigint")),
+            "_primary": F.size(F.filter("_senses", lambda s: yes((F.schema_of_variant(inner(s, "$.is_primary", "variant")) == "BOOLEAN") & inner(s, "$.is_primary", "boolean")))),
+            "_said": F.transform("_senses", lambda s: F.lower(F.coalesce(inner(s, "$.definition_en"), F.lit("")))),
+            "_texts": F.transform("_examples", lambda x: F.struct(F.coalesce(inner(x, "$.example_text"), F.lit("")).alias("text"), inner(x, "$.intended_cefr").alias("level"))),
+        }
+    )
+    none = F.array().cast("array<string>")
+    one = lambda code, wrong: F.when(yes(wrong), F.array(code if not isinstance(code, str) else F.lit(code))).otherwise(none)
+    holds = lambda c: (col("_lemma") != "") & yes(F.contains(c, col("_lemma")))
+    indexed = lambda code, i: F.concat(F.lit(code + "["), i.cast("string"), F.lit("]"))
+    difficulty = F.when(kind("$.difficulty_score") == "STRING", text("$.difficulty_score"))
+    ordered = F.transform("_numbers", lambda n, i: yes(n == i + 1))
+    example = lambda x, i: F.concat(
+        F.when((F.size("_words") == 0) | (F.size(F.array_except("_words", words(x["text"]))) > 0), F.array(indexed("EXAMPLE_MISSING_LEMMA", i))).otherwise(none),
+        F.when(~yes(x["level"].isin(ENTRY_LEVELS)), F.array(indexed("EXAMPLE_BAD_CEFR", i))).otherwise(none),
+    )
+    of_examples = F.flatten(F.transform("_texts", example))
+    of_senses = F.filter(F.transform("_said", lambda s, i: F.when(holds(s), indexed("SENSE_DEF_CONTAINS_LEMMA", i))), lambda x: x.isNotNull())
+    length = lambda f: F.when(kind(f"$.{f}").startswith("ARRAY"), F.size(items(f"$.{f}")))
+    issues = F.concat(
+        one(F.concat(F.lit("MISSING_FIELDS:"), F.array_join("_lacking", ",")), F.size("_lacking") > 0),
+        one("ID_MISMATCH", ~text("$.id").eqNullSafe(col(key).cast("string"))),
+        one("POS_MISMATCH", F.lower(F.trim(F.coalesce(text("$.pos"), F.lit("")))) != F.lower(F.trim(F.coalesce(col(pos), F.lit(""))))),
+        one("CEFR_MISMATCH", F.upper(F.coalesce(text("$.cefr_level"), F.lit(""))) != F.upper(F.coalesce(col(level), F.lit("")))),
+        one("DIFFICULTY_BAD", ~yes(difficulty.rlike("^([1-9]|10)$"))),
+        one("CATEGORY_BAD", ~yes(text("$.category").isin(CATEGORIES))),
+        one("NO_SENSES", F.size("_senses") == 0),
+        one("SENSE_NO_NONSEQ", F.exists(ordered, lambda x: ~x)),
+        one(F.concat(F.lit("PRIMARY_COUNT:"), col("_primary").cast("string")), col("_primary") != 1),
+        one(F.concat(F.lit("EXAMPLES_COUNT:"), F.size("_examples").cast("string")), F.size("_examples") != 3),
+        of_examples,
+        one("DEFINITION_CONTAINS_LEMMA", holds(F.lower(text("$.definition_en")))),
+        of_senses,
+        one("MNEMONIC_CONTAINS_LEMMA", holds(F.lower(text("$.mnemonic_ar")))),
+        *[one(f"{f.upper()}_BOUND", F.coalesce(length(f) > most, F.lit(True))) for f, most in ENTRY_BOUNDS.items()],
+        one("RELATED_WORDS_MISSING_EN_AR", ~(kind("$.related_words.en").startswith("ARRAY") & kind("$.related_words.ar").startswith("ARRAY"))),
+        one("ARABIC_TRANSLATION_EMPTY", _missing(strip(text("$.translations.arabic_ar")))),
+        *[one(f"WF_MISSING_{k}", at(f"$.word_family.{k}").isNull()) for k in ENTRY_FAMILY],
+    )
+    return told.withColumn("_issues", F.when(col("_e").isNull(), F.array(F.lit("NO_PARSE"))).otherwise(issues)).select(*rows.columns, col("_issues").alias(into))

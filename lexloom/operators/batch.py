@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import position_in_scope
@@ -24,11 +24,11 @@ def account(lines: DataFrame, expected: DataFrame, key: str, order: str, malform
     keys = expected.select(F.col(key).alias("_e")).distinct()
     told = lines.withColumn("_bad", malformed).join(keys, F.col(key) == F.col("_e"), "left")
     fine = ~F.col("_bad") & F.col("_e").isNotNull()
-    # Lines that are not fine need no number: spread, so that one odd or missing key is no hot group.
-    spread = F.when(fine, 0).otherwise(1 + F.pmod(F.xxhash64(order), F.lit(1024)))
-    nth = F.row_number().over(Window.partitionBy(key, spread).orderBy(order))
-    outcome = F.when(F.col("_bad"), "malformed").when(F.col("_e").isNull(), "unknown").when(nth > 1, "duplicate").when(failed, "failed").otherwise("successful")
-    return told.withColumn("outcome", outcome).drop("_bad", "_e")
+    # Which line of a key is the first is found by ``min``, combined on the map side; a key with very many lines is no hot group.
+    first = told.where(fine).groupBy(F.col("_e").alias("_k")).agg(F.min(order).alias("_first"))
+    told = told.join(first, fine & (F.col("_e") == F.col("_k")), "left")
+    outcome = F.when(F.col("_bad"), "malformed").when(F.col("_e").isNull(), "unknown").when(F.col(order) > F.col("_first"), "duplicate").when(failed, "failed").otherwise("successful")
+    return told.withColumn("outcome", outcome).drop("_bad", "_e", "_k", "_first")
 
 
 def accounting(told: DataFrame, expected: DataFrame, key: str) -> DataFrame:

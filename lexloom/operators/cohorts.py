@@ -28,20 +28,23 @@ def cohort_pick(rows: DataFrame, key: str, cohorts: list[tuple[str, object, int]
     return chosen
 
 
-def quota_draw(rows: DataFrame, key: str, cells: dict[str, dict[str, int]], floors: dict[str, int], total: int, seed: str, first: object = None) -> DataFrame:
+def quota_draw(rows: DataFrame, key: str, cells: dict[str, dict[str, int]], floors: dict[str, int], total: int, seed: str, first: object = None, strict: bool = False) -> DataFrame:
     """``key, turn``: a greedy draw of ``total`` rows towards quotas in two columns, preferring flags below their floors.
 
     Rows of ``first`` (a condition) are taken to begin with, as turn 0.  Then each turn looks at the value with
     the largest deficit in either column (ties by name) and takes a row of both; if there is none, one of the
     first column's, then of the second's, then any.  Among these the row with the most flags counts whose
-    number so far is below its floor, then the draw key.  The draw ends when a column has no deficit left.
+    number so far is below its floor, then the draw key.  The draw ends when a column has no deficit left.  With
+    ``strict`` a draw that ends short of ``total``, of a quota or of a floor fails and says of which.
 
     The draw is sequential, but over kinds of rows: of each combination of values and flags, ``total`` rows by
-    draw key are all that can ever be taken, and all that comes to the driver.
+    draw key are all that can ever be taken, and all that comes to the driver.  Values without a quota are one
+    kind, so there are as many kinds as quotas and flags make, however many values the columns have.
     """
     a, b = cells
     flags = list(floors)
-    named = rows.select(F.col(key).alias("_key"), F.col(a).alias("_a"), F.col(b).alias("_b"), *[F.coalesce(F.col(f), F.lit(False)).alias(f"_f{i}") for i, f in enumerate(flags)], draw_key(seed, F.col(key)).alias("_draw"), F.coalesce(first if first is not None else F.lit(False), F.lit(False)).alias("_first"))
+    listed = lambda c: F.when(F.col(c).isin(list(cells[c])), F.col(c))
+    named = rows.select(F.col(key).alias("_key"), listed(a).alias("_a"), listed(b).alias("_b"), *[F.coalesce(F.col(f), F.lit(False)).alias(f"_f{i}") for i, f in enumerate(flags)], draw_key(seed, F.col(key)).alias("_draw"), F.coalesce(first if first is not None else F.lit(False), F.lit(False)).alias("_first"))
     kind = ["_a", "_b", *[f"_f{i}" for i in range(len(flags))]]
     given = named.where("_first")
     taken = {tuple(r[:-1]): r[-1] for r in given.groupBy(*kind).count().collect()}
@@ -73,6 +76,9 @@ def quota_draw(rows: DataFrame, key: str, cells: dict[str, dict[str, int]], floo
         for n, value in zip(need, best[:2], strict=True):
             n[value] = n.get(value, 0) - 1
         covered = [c + h for c, h in zip(covered, best[2:], strict=True)]
+    short = {"rows": left} | {f"{c} {k}": v for c, n in zip(cells, need, strict=True) for k, v in n.items() if k is not None} | {f: floors[f] - c for f, c in zip(flags, covered, strict=True)}
+    if strict and any(v > 0 for v in short.values()):
+        raise ValueError("the draw is short of " + ", ".join(f"{v} {k}" for k, v in short.items() if v > 0))
     drawn = rows.sparkSession.createDataFrame(chosen, f"_key {named.schema['_key'].dataType.simpleString()}, turn int")
     return given.select("_key", F.lit(0).alias("turn")).unionByName(drawn).withColumnRenamed("_key", key)
 

@@ -216,3 +216,54 @@ def decision_import(spark, sf):
 def decision_classes(spark, sf):
     told = cut(_decisions(spark, sf).where("fields IS NOT NULL").select("fields"))
     return told.select(F.inline("fields")).groupBy("field", "category").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- structural flags of entries
+
+_ENTRY_SQL = rf"""WITH p AS ({_WORDS_SQL}),
+e AS (SELECT id, noun AS w, word, pos, level, id % 13 = 0 AS broken, concat_ws(',', '"id":' || CASE WHEN id % 11 = 1 THEN id + 1 ELSE id END, '"lemma":"' || noun || '"', '"pos":"' || CASE WHEN id % 7 = 1 THEN 'other' ELSE upper(pos) END || '"', '"cefr_level":"' || lower(level) || '"',
+  CASE id % 5 WHEN 0 THEN '"difficulty_score":"11"' WHEN 1 THEN '"difficulty_score":7' WHEN 2 THEN NULL ELSE '"difficulty_score":"10"' END, CASE WHEN id % 4 = 0 THEN '"category":"None"' ELSE '"category":"Work & Business"' END,
+  '"definition_en":"' || CASE WHEN id % 6 = 0 THEN 'the ' || upper(noun) || 's' ELSE 'a thing' END || '"', CASE id % 8 WHEN 0 THEN '"senses":[]' WHEN 1 THEN '"senses":[{{"sense_no":1,"is_primary":true,"definition_en":"x"}},{{"sense_no":3,"is_primary":true,"definition_en":"my ' || noun || '"}}]' WHEN 2 THEN NULL ELSE '"senses":[{{"sense_no":1,"is_primary":true,"definition_en":"x"}}]' END,
+  CASE id % 9 WHEN 0 THEN NULL WHEN 1 THEN '"examples":[{{"example_text":"A ' || noun || '.","intended_cefr":"A1"}},{{"example_text":"none","intended_cefr":"B9"}}]' ELSE '"examples":[{{"example_text":"A ' || noun || '.","intended_cefr":"A1"}},{{"example_text":"' || upper(noun) || '!","intended_cefr":"C2"}},{{"example_text":"x-' || noun || '","intended_cefr":"B1"}}]' END,
+  CASE id % 3 WHEN 0 THEN '"mnemonic_ar":null' WHEN 1 THEN '"mnemonic_ar":"like ' || noun || '"' END, CASE WHEN id % 5 = 3 THEN '"synonyms":[1,2,3,4,5,6]' ELSE '"synonyms":[]' END, CASE WHEN id % 5 = 4 THEN '"antonyms":"x"' ELSE '"antonyms":["a","b","c"]' END, '"collocations":[]',
+  CASE WHEN id % 6 = 1 THEN '"related_words":{{"en":[]}}' ELSE '"related_words":{{"en":[],"ar":[]}}' END, CASE WHEN id % 10 = 3 THEN '"translations":{{"arabic_ar":" "}}' ELSE '"translations":{{"arabic_ar":"x"}}' END, CASE WHEN id % 12 = 5 THEN '"word_family":{{"noun":"","adv":null}}' ELSE '"word_family":{{"noun":"","verb":"","adj":"","adv":""}}' END) AS body FROM p)"""
+_ENTRY_RULES = rf"""
+o AS (SELECT *, ('{{' || body || '}}')::JSON AS o FROM e),
+x AS (SELECT *, list_filter([{_quoted(artifacts.ENTRY_FIELDS)}], lambda f: NOT list_contains(json_keys(o), f)) AS lacking, coalesce(json_extract(o, '$.senses[*]'), []) AS s, coalesce(json_extract(o, '$.examples[*]'), []) AS ex FROM o),
+i AS (SELECT id, broken, list_concat(list_concat([CASE WHEN len(lacking) > 0 THEN 'MISSING_FIELDS:' || array_to_string(lacking, ',') END, CASE WHEN (o->>'$.id') <> id::VARCHAR THEN 'ID_MISMATCH' END, CASE WHEN lower(o->>'$.pos') <> pos THEN 'POS_MISMATCH' END, CASE WHEN upper(o->>'$.cefr_level') <> level THEN 'CEFR_MISMATCH' END,
+  CASE WHEN NOT coalesce(json_type(o, '$.difficulty_score') = 'VARCHAR' AND regexp_full_match(o->>'$.difficulty_score', '[1-9]|10'), false) THEN 'DIFFICULTY_BAD' END, CASE WHEN coalesce(o->>'$.category', '') NOT IN ({_quoted(artifacts.CATEGORIES)}) THEN 'CATEGORY_BAD' END, CASE WHEN len(s) = 0 THEN 'NO_SENSES' END,
+  CASE WHEN list_transform(s, lambda q: (q->>'$.sense_no')::BIGINT) <> range(1, len(s) + 1) THEN 'SENSE_NO_NONSEQ' END, CASE WHEN len(list_filter(s, lambda q: (q->>'$.is_primary') = 'true')) <> 1 THEN 'PRIMARY_COUNT:' || len(list_filter(s, lambda q: (q->>'$.is_primary') = 'true')) END, CASE WHEN len(ex) <> 3 THEN 'EXAMPLES_COUNT:' || len(ex) END],
+  flatten(list_transform(range(len(ex)), lambda k: [CASE WHEN NOT list_contains({_tokens_sql("replace(json_extract_string(ex[k + 1], '$.example_text'), '''', ' ')")}, w) THEN 'EXAMPLE_MISSING_LEMMA[' || k || ']' END, CASE WHEN json_extract_string(ex[k + 1], '$.intended_cefr') NOT IN ({_quoted(LEVELS)}) THEN 'EXAMPLE_BAD_CEFR[' || k || ']' END]))),
+  list_concat(list_concat([CASE WHEN contains(lower(o->>'$.definition_en'), w) THEN 'DEFINITION_CONTAINS_LEMMA' END], list_transform(range(len(s)), lambda k: CASE WHEN contains(lower(json_extract_string(s[k + 1], '$.definition_en')), w) THEN 'SENSE_DEF_CONTAINS_LEMMA[' || k || ']' END)),
+  [CASE WHEN contains(lower(coalesce(o->>'$.mnemonic_ar', '')), w) THEN 'MNEMONIC_CONTAINS_LEMMA' END, CASE WHEN NOT coalesce(json_type(o, '$.collocations') = 'ARRAY' AND json_array_length(o, '$.collocations') <= 5, false) THEN 'COLLOCATIONS_BOUND' END, CASE WHEN NOT coalesce(json_type(o, '$.synonyms') = 'ARRAY' AND json_array_length(o, '$.synonyms') <= 5, false) THEN 'SYNONYMS_BOUND' END,
+  CASE WHEN NOT coalesce(json_type(o, '$.antonyms') = 'ARRAY' AND json_array_length(o, '$.antonyms') <= 3, false) THEN 'ANTONYMS_BOUND' END, CASE WHEN json_type(o, '$.related_words.ar') IS NULL THEN 'RELATED_WORDS_MISSING_EN_AR' END, CASE WHEN trim(o->>'$.translations.arabic_ar') = '' THEN 'ARABIC_TRANSLATION_EMPTY' END,
+  CASE WHEN json_type(o, '$.word_family.noun') IS NULL THEN 'WF_MISSING_noun' END, CASE WHEN json_type(o, '$.word_family.verb') IS NULL THEN 'WF_MISSING_verb' END, CASE WHEN json_type(o, '$.word_family.adj') IS NULL THEN 'WF_MISSING_adj' END, CASE WHEN json_type(o, '$.word_family.adv') IS NULL THEN 'WF_MISSING_adv' END])) AS issues FROM x)
+SELECT id, CASE WHEN broken THEN 'NO_PARSE' ELSE array_to_string(list_filter(issues, lambda q: q IS NOT NULL), ';') END AS issues FROM i"""
+
+
+@query(_ENTRY_SQL + "," + _ENTRY_RULES)
+def entry_issues(spark, sf):
+    i, w = F.col("id"), F.col("noun")
+    say = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    sense = '{"sense_no":1,"is_primary":true,"definition_en":"x"}'
+    parts = [
+        say('"id":', F.when(i % 11 == 1, i + 1).otherwise(i).cast("string")),
+        say('"lemma":"', w, '"'),
+        say('"pos":"', F.when(i % 7 == 1, "other").otherwise(F.upper("pos")), '"'),
+        say('"cefr_level":"', F.lower("level"), '"'),
+        _pick(i % 5, '"difficulty_score":"11"', '"difficulty_score":7', None, '"difficulty_score":"10"', '"difficulty_score":"10"'),
+        F.when(i % 4 == 0, '"category":"None"').otherwise('"category":"Work & Business"'),
+        say('"definition_en":"', F.when(i % 6 == 0, say("the ", F.upper(w), "s")).otherwise("a thing"), '"'),
+        F.when(i % 8 == 0, '"senses":[]').when(i % 8 == 1, say('"senses":[', sense, ',{"sense_no":3,"is_primary":true,"definition_en":"my ', w, '"}]')).when(i % 8 != 2, f'"senses":[{sense}]'),
+        F.when(i % 9 == 1, say('"examples":[{"example_text":"A ', w, '.","intended_cefr":"A1"},{"example_text":"none","intended_cefr":"B9"}]')).when(i % 9 > 1, say('"examples":[{"example_text":"A ', w, '.","intended_cefr":"A1"},{"example_text":"', F.upper(w), '!","intended_cefr":"C2"},{"example_text":"x-', w, '","intended_cefr":"B1"}]')),
+        F.when(i % 3 == 0, '"mnemonic_ar":null').when(i % 3 == 1, say('"mnemonic_ar":"like ', w, '"')),
+        F.when(i % 5 == 3, '"synonyms":[1,2,3,4,5,6]').otherwise('"synonyms":[]'),
+        F.when(i % 5 == 4, '"antonyms":"x"').otherwise('"antonyms":["a","b","c"]'),
+        F.lit('"collocations":[]'),
+        F.when(i % 6 == 1, '"related_words":{"en":[]}').otherwise('"related_words":{"en":[],"ar":[]}'),
+        F.when(i % 10 == 3, '"translations":{"arabic_ar":" "}').otherwise('"translations":{"arabic_ar":"x"}'),
+        F.when(i % 12 == 5, '"word_family":{"noun":"","adv":null}').otherwise('"word_family":{"noun":"","verb":"","adj":"","adv":""}'),
+    ]
+    raw = F.concat(F.when(i % 13 == 0, "{{").otherwise("{"), F.concat_ws(",", *parts), F.lit("}"))
+    rows = _words(spark, sf).select("id", "pos", "level", raw.alias("raw"))
+    return artifacts.entry_issues(rows, "raw", "id", "pos", "level").select("id", F.array_join("issues", ";").alias("issues"))

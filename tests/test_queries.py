@@ -14,6 +14,7 @@ import lexloom.plans.more_queries  # noqa: F401  (registers further queries)
 import lexloom.plans.package_queries  # noqa: F401  (registers further queries)
 import lexloom.plans.record_queries  # noqa: F401  (registers further queries)
 import lexloom.plans.rule_queries  # noqa: F401  (registers further queries)
+import lexloom.plans.run_queries  # noqa: F401  (registers further queries)
 from lexloom.plans.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
