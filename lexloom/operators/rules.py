@@ -71,8 +71,103 @@ def triage_relation(x: Column, word: Column) -> Column:
     return F.struct(code.cast("string").alias("code"), F.when(code.isNull(), F.coalesce(plain, F.array().cast("array<string>"))).alias("items"))
 
 
-def triage(cards: DataFrame, key: str, word: str, pos: str, cells: bool = False) -> DataFrame:
-    """Nine records a card: ``key, field, status, code, requires_llm, requires_human`` and, if asked for, ``cell``.
+# What was checked where a code is given, and all that was checked of a field that is kept.
+CHECKED = {
+    "DEF_EMPTY": "non_empty", "DEF_GENERIC_NULL": "generic_null", "DEF_CIRCULAR": "circularity",
+    "AR_EMPTY": "non_empty", "AR_GENERIC_NULL": "generic_null", "AR_NO_ARABIC_SCRIPT": "arabic_script",
+    "EX_MALFORMED_JSON": "json_bands", "EX_EMPTY_BAND": "non_empty_bands", "EX_NO_LEMMA_TOKEN": "contains_target", "EX_DUPLICATE_BANDS": "band_uniqueness", "EX_SOFT_ESCALATION": "soft_combination",
+    "TR_EMPTY": "non_empty", "TR_DUPLICATE_SLOTS": "slot_uniqueness",
+    "MNE_EMPTY_STRING": "non_empty", "MNE_GENERIC_NULL": "generic_null",
+    "REL_MALFORMED_JSON": "json_array", "REL_INVALID_ITEM": "string_items", "REL_SELF_REFERENCE": "self_reference", "REL_DUPLICATES": "item_uniqueness", "REL_SYN_ANT_OVERLAP": "syn_ant_disjoint",
+}
+KEPT = {
+    "definition_en": ["non_empty", "generic_null", "circularity"],
+    "explanation_ar": ["non_empty", "generic_null", "arabic_script"],
+    "examples": ["json_bands", "non_empty_bands", "contains_target", "band_uniqueness"],
+    "translations": ["non_empty_slots", "slot_uniqueness"],
+    "mnemonic": ["type_is_string_or_null", "non_empty", "generic_null"],
+    **{f"relations_{r}": ["json_array", "string_items", "self_reference", "item_uniqueness"] for r in ("synonyms", "antonyms", "collocations")},
+}
+_SOFT = "array<struct<band:string,signal:string,count:int>>"
+_EVIDENCE = {"checked": "array<string>", "format": "string", "empty_bands": "array<string>", "failing_bands": "array<string>", "soft_signals": _SOFT, "slot_count": "int", "item_count": "int", "inventory_empty": "boolean", "inventory_null": "boolean", "overlap": "array<string>", "null_valid": "boolean", "proposed_fix": "string", "reason": "string", "primary_sense": "string"}
+
+
+def _evidence(**known: Column) -> Column:
+    return F.struct(*[known.get(k, F.lit(None)).cast(t).alias(k) for k, t in _EVIDENCE.items()])
+
+
+def _soft(band: Column, signal: str, count: Column | None = None) -> Column:
+    return F.struct(band.cast("string").alias("band"), F.lit(signal).alias("signal"), (F.lit(None) if count is None else count).cast("int").alias("count"))
+
+
+def _named_bands(x: Column, items: Column, word: Column, pos: Column) -> Column:
+    """Of each sentence of ``bands``: its name, whether it is empty, lacks the word, does not end or begin as it should."""
+    kind = F.schema_of_variant(F.try_parse_json(x))
+    names = F.when(kind.startswith("OBJECT"), F.map_keys(F.from_json(x, "map<string,variant>"))).otherwise(F.transform(items, lambda s, i: F.concat(F.lit("arr"), i.cast("string"))))
+    told = lambda s, n: F.struct(n.alias("band"), _blank(s).alias("empty"), (~_blank(s) & ~target_present(s, word, pos)).alias("lacks"), (~_blank(s) & ~strip(s).rlike("[.!?؟۔]$")).alias("unended"), (~_blank(s) & strip(s).rlike(r"^\p{Ll}")).alias("uncased"))
+    return F.zip_with(items, names, told)
+
+
+def field_evidence(told: DataFrame, word: str, pos: str) -> dict[str, Column]:
+    """By field what its evidence can say, whatever its code: see ``triage``."""
+    c, w = F.col, F.col(word)
+    kind = F.schema_of_variant(F.try_parse_json(c("examples")))
+    picked = lambda flag: F.transform(F.filter("_marks", lambda m: m[flag]), lambda m: m["band"])
+    softs = F.flatten(F.transform("_marks", lambda m: F.filter(F.array(F.when(m["unended"], _soft(m["band"], "EX_NO_TERMINAL_PUNCT")), F.when(m["uncased"], _soft(m["band"], "EX_LEADING_LOWERCASE"))), lambda x: x.isNotNull())))
+    slots = F.size(F.filter(F.split(c("translations"), "/"), lambda s: strip(s) != ""))
+    shared = F.array_sort(F.array_intersect("_synonyms.items", "_antonyms.items"))
+    out = {
+        "definition_en": _evidence(),
+        "explanation_ar": _evidence(),
+        "examples": _evidence(format=F.when(kind.startswith("ARRAY"), "array").when(kind.startswith("OBJECT"), "object"), empty_bands=picked("empty"), failing_bands=picked("lacks"), soft_signals=softs),
+        "translations": _evidence(slot_count=slots, soft_signals=F.when(~c("translations").rlike(ARABIC), F.array(_soft(F.lit(None), "TR_NO_ARABIC_SCRIPT")))),
+        "mnemonic": _evidence(null_valid=F.when(c("mnemonic").isNull(), True), proposed_fix=F.lit("normalize_to_null")),
+        EXEMPT: _evidence(reason=F.lit("default_manual_per_G3"), primary_sense=c("primary_sense") if "primary_sense" in told.columns else F.lit(None)),
+    }
+    for name in ("synonyms", "antonyms", "collocations"):
+        items = F.from_json(c(name), "array<string>")
+        known = {"item_count": F.size(items), "inventory_empty": F.size(items) == 0, "inventory_null": F.when(c(name).isNull(), True)}
+        if name == "collocations":
+            without = F.size(F.filter(f"_{name}.items", lambda i: ~F.contains(i, norm_phrase(w))))
+            known["soft_signals"] = F.when(without > 0, F.array(_soft(F.lit(None), "REL_COLLOCATION_NO_TARGET", without)))
+        else:
+            known["overlap"] = shared
+        out[f"relations_{name}"] = _evidence(**known)
+    return out
+
+
+def _said(field: Column, code: Column, e: Column) -> Column:
+    """The part of a field's evidence that belongs to its code, as JSON; what is null or empty is left out."""
+    kept, keep = F.create_map(*[x for k, v in KEPT.items() for x in (F.lit(k), F.array(*map(F.lit, v)))]), code.isNull()
+    checks = F.create_map(*[x for k, v in CHECKED.items() for x in (F.lit(k), F.lit(v))])
+    some = lambda x: F.when(F.size(x) > 0, x)
+    null = keep & F.coalesce(e["inventory_null"], e["null_valid"], F.lit(False))
+    checked = F.when(e["reason"].isNotNull(), F.lit(None)).when(null, F.array(F.when(e["null_valid"].isNotNull(), "null_valid").otherwise("inventory"))).when(keep, F.try_element_at(kept, field)).otherwise(F.array(F.try_element_at(checks, code)))
+    only = lambda name, *codes: F.when(code.isin(*codes), e[name])
+    parts = {
+        "checked": checked,
+        "format": F.when(keep | ~code.isin("EX_MALFORMED_JSON"), e["format"]),
+        "empty_bands": some(only("empty_bands", "EX_EMPTY_BAND")),
+        "failing_bands": some(only("failing_bands", "EX_NO_LEMMA_TOKEN")),
+        "soft_signals": some(F.when(keep | code.isin("EX_SOFT_ESCALATION"), e["soft_signals"])),
+        "slot_count": F.when(keep | code.isin("TR_DUPLICATE_SLOTS"), e["slot_count"]),
+        "item_count": F.when((keep & ~null) | code.isin("REL_DUPLICATES"), e["item_count"]),
+        "inventory_empty": F.when(keep & ~null, e["inventory_empty"]),
+        "inventory_null": F.when(keep, e["inventory_null"]),
+        "overlap": some(only("overlap", "REL_SYN_ANT_OVERLAP")),
+        "null_valid": F.when(keep, e["null_valid"]),
+        "proposed_fix": only("proposed_fix", *REPAIRS),
+        "reason": e["reason"],
+        "primary_sense": e["primary_sense"],
+    }
+    return F.to_json(F.struct(*[v.alias(k) for k, v in parts.items()]))
+
+
+def triage(cards: DataFrame, key: str, word: str, pos: str, cells: bool = False, evidence: bool = False) -> DataFrame:
+    """Nine records a card: ``key, field, status, code, requires_llm, requires_human`` and, if asked for, ``cell`` and ``evidence``.
+
+    Evidence is a JSON text: what was checked, names of empty and of failing bands (``arr0``, ... in a list), soft signals,
+    numbers of slots and items, the overlap of synonyms and antonyms, a proposed repair.
 
     Cards have ``definition, explanation, examples, translations, mnemonic, synonyms, antonyms, collocations,
     primary_sense`` as text (lists as JSON).  A list of synonyms and one of antonyms that share an item are both
@@ -80,6 +175,9 @@ def triage(cards: DataFrame, key: str, word: str, pos: str, cells: bool = False)
     """
     w, c = F.col(word), F.col
     told = cards.select("*", *[triage_relation(c(f), w).alias(f"_{f}") for f in ("synonyms", "antonyms", "collocations")], bands(c("examples")).alias("_bands"))
+    if evidence:
+        told = told.withColumn("_marks", _named_bands(c("examples"), c("_bands"), w, c(pos)))
+        says = field_evidence(told, word, pos)
     both = F.arrays_overlap("_synonyms.items", "_antonyms.items")
     overlap = lambda f: F.coalesce(c(f"_{f}.code"), F.when(c(f).isNotNull() & F.coalesce(both, F.lit(False)), "REL_SYN_ANT_OVERLAP"))
     fields = {
@@ -93,12 +191,12 @@ def triage(cards: DataFrame, key: str, word: str, pos: str, cells: bool = False)
         "relations_collocations": ("collocations", c("_collocations.code")),
         EXEMPT: ("primary_sense", F.lit(None)),
     }
-    coded = [F.struct(F.lit(name).alias("field"), code.cast("string").alias("code"), *([cell_hash(c(value)).alias("cell")] if cells else [])) for name, (value, code) in fields.items()]
+    coded = [F.struct(F.lit(name).alias("field"), code.cast("string").alias("code"), *([cell_hash(c(value)).alias("cell")] if cells else []), *([says[name].alias("evidence")] if evidence else [])) for name, (value, code) in fields.items()]
 
     def record(r):
         # The code is bound by the lambda, so it is evaluated once.
         status = F.when(r["field"] == EXEMPT, "MANUAL_REVIEW").when(r["code"].isNull(), "KEEP").when(r["code"].isin(REPAIRS), "DETERMINISTIC_REPAIR").otherwise("LLM_REVIEW")
-        return F.struct(r["field"].alias("field"), status.alias("status"), r["code"].alias("code"), (status == "LLM_REVIEW").alias("requires_llm"), (status == "MANUAL_REVIEW").alias("requires_human"), *([r["cell"].alias("cell")] if cells else []))
+        return F.struct(r["field"].alias("field"), status.alias("status"), r["code"].alias("code"), (status == "LLM_REVIEW").alias("requires_llm"), (status == "MANUAL_REVIEW").alias("requires_human"), *([r["cell"].alias("cell")] if cells else []), *([_said(r["field"], r["code"], r["evidence"]).alias("evidence")] if evidence else []))
 
     return told.select(key, F.inline(F.transform(F.array(*coded), record)))
 

@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .commits import _read, put_if_absent
+from .commits import _names, _read, put_if_absent
 
 _RECORD = "key string, prompt_sha string, attempt int, outcome string, answer string, problem string, at double"
 
@@ -123,6 +123,8 @@ def run(work: DataFrame, root: str, key: str, prompt: str, generate: Callable[[d
 
 def records(spark: SparkSession, root: str) -> DataFrame:
     """Every attempt that was recorded."""
+    if not _names(spark, root, r"slice=(\d+)"):
+        return spark.createDataFrame([], _RECORD)
     return spark.read.schema(_RECORD).option("pathGlobFilter", "*.jsonl").json(f"{root}/slice=*")
 
 

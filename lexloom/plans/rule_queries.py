@@ -87,6 +87,28 @@ def field_triage_records(spark, sf):
     return rules.triage(_cards(spark, sf), "id", "w", "pos")
 
 
+_MARKS_SQL = rf""",
+m AS (SELECT *, CASE WHEN json_valid(examples) THEN CASE WHEN json_type(examples) = 'OBJECT' THEN json_keys(examples) ELSE ['arr' || i for i in range(len(bands))] END END AS names FROM o),
+n AS (SELECT *, list_filter(range(len(bands)), lambda i: coalesce(trim(bands[i + 1]) = '', true)) AS blank, list_filter(range(len(bands)), lambda i: coalesce(trim(bands[i + 1]) <> '', false)) AS texted FROM m),
+u AS (SELECT *, list_filter(texted, lambda i: NOT list_has_any({_tokens_sql('bands[i + 1]')}, forms)) AS failing, flatten([list_filter([CASE WHEN NOT regexp_matches(trim(bands[i + 1]), '[.!?؟۔]$') THEN names[i + 1] || ':EX_NO_TERMINAL_PUNCT' END, CASE WHEN regexp_matches(trim(bands[i + 1]), '^\p{{Ll}}') THEN names[i + 1] || ':EX_LEADING_LOWERCASE' END], lambda q: q IS NOT NULL) for i in texted]) AS softs FROM n)"""
+
+
+@query(_TRIAGE_SQL + _MARKS_SQL + rf""",
+z AS (SELECT u.*, s.field, s.code FROM u JOIN s USING (id))
+SELECT id, field, code,
+  CASE code WHEN 'EX_EMPTY_BAND' THEN array_to_string([names[i + 1] for i in blank], ',') WHEN 'EX_NO_LEMMA_TOKEN' THEN array_to_string([names[i + 1] for i in failing], ',') END AS bands,
+  CASE WHEN field = 'examples' AND coalesce(code, 'EX_SOFT_ESCALATION') = 'EX_SOFT_ESCALATION' AND len(softs) > 0 THEN array_to_string(softs, ',') WHEN field = 'translations' AND code IS NULL AND NOT regexp_matches(translations, '[؀-ۿ]') THEN ':TR_NO_ARABIC_SCRIPT'
+    WHEN field = 'relations_collocations' AND code IS NULL AND collocations IS NOT NULL AND len(list_filter({_items_sql('collocations')}, lambda q: NOT contains(q, {_norm_phrase_sql('w')}))) > 0 THEN ':REL_COLLOCATION_NO_TARGET' END AS softs,
+  CASE WHEN field = 'translations' AND (code IS NULL OR code = 'TR_DUPLICATE_SLOTS') THEN len(list_filter(string_split(translations, '/'), lambda q: trim(q) <> '')) WHEN field LIKE 'relations%' AND (code IS NULL OR code = 'REL_DUPLICATES')
+    THEN CASE field WHEN 'relations_synonyms' THEN len({_items_sql('synonyms')}) WHEN 'relations_antonyms' THEN len({_items_sql('antonyms')}) ELSE len({_items_sql('collocations')}) END END AS n,
+  CASE WHEN code LIKE 'MNE%' THEN 'normalize_to_null' END AS fix, CASE WHEN code = 'REL_SYN_ANT_OVERLAP' THEN array_to_string(list_sort(list_intersect({_items_sql('synonyms')}, {_items_sql('antonyms')})), ',') END AS shared FROM z""")
+def triage_evidence(spark, sf):
+    told = rules.triage(_cards(spark, sf).withColumn("primary_sense", F.lit("x")), "id", "w", "pos", evidence=True)
+    e = F.from_json("evidence", "empty_bands array<string>, failing_bands array<string>, soft_signals array<struct<band:string,signal:string>>, slot_count int, item_count int, overlap array<string>, proposed_fix string")
+    softs = F.array_join(F.transform("e.soft_signals", lambda s: F.concat(F.coalesce(s["band"], F.lit("")), F.lit(":"), s["signal"])), ",")
+    return told.withColumn("e", e).select("id", "field", "code", F.array_join(F.coalesce("e.empty_bands", "e.failing_bands"), ",").alias("bands"), softs.alias("softs"), F.coalesce("e.slot_count", "e.item_count").cast("long").alias("n"), F.col("e.proposed_fix").alias("fix"), F.array_join("e.overlap", ",").alias("shared"))
+
+
 @query(_TRIAGE_SQL + """,
 q AS (SELECT field, count(*) AS total, count(*) FILTER (status <> 'KEEP') AS flagged, CASE WHEN field = 'examples' THEN 0.35 WHEN field LIKE 'relations%' OR field = 'translations' THEN 0.3 ELSE 0.2 END::DOUBLE AS quota FROM s WHERE field <> 'sense_separation' GROUP BY field)
 SELECT field, total, flagged, round(flagged / total, 4) AS rate, quota, flagged / total > quota AS breached FROM q""")

@@ -52,17 +52,38 @@ def append_log(rows: DataFrame, path: str, sound: Column) -> DataFrame:
     return rows.where(~F.coalesce(sound, F.lit(False)))
 
 
-def append_numbered(rows: DataFrame, path: str, sound: Column, order: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """Append the sound rows to a log with the line each has in it, 1-based (K2); gives ``key, line`` and what was refused."""
+def append_numbered(rows: DataFrame, path: str, sound: Column, order: str, key: str, tries: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Append the sound rows to a log with the line each has in it, 1-based (K2); gives ``key, line`` and what was refused.
+
+    The log is a store (``operators.commits``): each append is one commit that also says how many lines there are now, so
+    nothing is counted again.  A writer that finds another one's commit in its place numbers its rows anew behind it;
+    two writers never give the same line.
+    """
+    from ..operators import commits
     from ..operators.ranking import global_position
 
     spark = rows.sparkSession
-    fine = rows.where(F.coalesce(sound, F.lit(False)))
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    held = spark.read.text(path).count() if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder) else 0
-    placed = global_position(fine, [F.col(order), F.col(key)], "line").withColumn("line", F.col("line") + held)
-    placed.write.mode("append").json(path)
-    return placed.select(key, "line"), rows.where(~F.coalesce(sound, F.lit(False)))
+    placed = global_position(rows.where(F.coalesce(sound, F.lit(False))), [F.col(order), F.col(key)], "line")
+    n = placed.count()
+    for _ in range(tries):
+        draft = commits.begin(spark, path)
+        held = commits.report_at(spark, path, draft.entries).get("lines", 0)
+        numbered = placed.withColumn("line", F.col("line") + held)
+        numbered.write.mode("errorifexists").json(draft.path)
+        try:
+            commits.commit(spark, draft, kind="append", report={"lines": held + n})
+            return numbered.select(key, "line"), rows.where(~F.coalesce(sound, F.lit(False)))
+        except commits.Conflict:
+            continue
+    raise commits.Conflict(f"{tries} times another writer was first")
+
+
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All lines that were appended to a numbered log; what was given up before its commit is not among them."""
+    from ..operators import commits
+
+    parts = [commits.version_path(path, e["version"]) for e in commits.entries(spark, path) if e["kind"] == "append"]
+    return spark.read.schema(schema).json(parts) if parts else spark.createDataFrame([], schema)
 
 
 def write_sealed(rows: DataFrame, path: str, key: str) -> str:

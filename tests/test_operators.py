@@ -218,7 +218,7 @@ def test_greedy_draw_equals_a_draw_row_by_row(spark):
     want = plain_draw(cards, quotas, floors, 25, lambda i: hashlib.md5(f"s:{i}".encode()).hexdigest())
     df = spark.createDataFrame([tuple(c.values()) for c in cards], "id long, pos string, level string, tech boolean, multi boolean, must boolean").repartition(4)
     assert rows(cohorts.quota_draw(df, "id", quotas, floors, 25, "s", F.col("must")), "id") == want and len(want) == 25
-    with pytest.raises(ValueError, match=r"the draw is short of \d+ rows, \d+ pos verb"):
+    with pytest.raises(ValueError, match=r"the draw is short of .*\b9 pos verb"):
         cohorts.quota_draw(df.where("pos <> 'verb'").limit(20), "id", quotas, floors, 25, "s", strict=True)
 
 

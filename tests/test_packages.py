@@ -43,6 +43,27 @@ def test_logs_number_their_lines_and_refuse(spark, tmp_path):
     assert [tuple(r) for r in then.collect()] == [(1, 3)] and spark.read.json(path).count() == 3
 
 
+def test_two_writers_of_a_log_share_no_line(spark, tmp_path, monkeypatch):
+    from lexloom.operators import commits
+
+    path = f"file://{tmp_path}/log"
+    rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id int")
+    commit = commits.commit
+
+    def late(*a, **k):
+        with monkeypatch.context() as m:
+            m.setattr(commits, "commit", commit)
+            files.append_numbered(rows(7, 8), path, F.lit(True), "id", "id")
+        monkeypatch.setattr(commits, "commit", commit)
+        return commit(*a, **k)
+
+    monkeypatch.setattr(commits, "commit", late)
+    told, _ = files.append_numbered(rows(1, 2, 3), path, F.lit(True), "id", "id")
+    assert sorted(tuple(r) for r in told.collect()) == [(1, 3), (2, 4), (3, 5)]
+    assert sorted(tuple(r) for r in files.read_log(spark, path, "id int, line long").collect()) == [(1, 3), (2, 4), (3, 5), (7, 1), (8, 2)]
+    assert files.read_log(spark, f"{path}2", "id int, line long").count() == 0
+
+
 def test_sealed_lines(spark, tmp_path):
     import hashlib
 
