@@ -32,6 +32,8 @@ from .shipping import ship
 
 #: Cached stretches of text, and cached pairs of tokens, a worker; beyond it a cache starts anew.
 CACHE_STRETCHES, CACHE_PAIRS = 400_000, 500_000
+#: Longer stretches, in characters, are not kept.
+LONGEST = 256
 #: Bytes of results that go out together.
 OUT_BYTES = 8 << 20
 #: The sign that stands for a space within pieces.
@@ -77,7 +79,9 @@ class _Stretches(dict):
     def __missing__(self, stretch: str) -> bytes:
         if len(self) >= CACHE_STRETCHES:
             self.clear()
-        out = self[stretch] = self.ids_of(stretch)
+        out = self.ids_of(stretch)
+        if len(stretch) <= LONGEST:
+            self[stretch] = out
         return out
 
 
@@ -148,9 +152,10 @@ class Pieces:
     def _ids(self, stretch: str) -> bytes:
         n, pairs = len(stretch), self.pairs
         last: list = [None] * (n + 1)  # None: the character before has no piece
-        for at, (size, token) in self.matches(stretch):
+        for at, match in self.matches(stretch):
             if last[at + 1] is not None:
                 continue
+            size, token = match
             before = last[at + 1 - size]
             if before is not None:
                 key = before[1] << 32 | token
@@ -161,7 +166,7 @@ class Pieces:
                     fits = pairs[key] = self._compatible(before[1], token)
                 if not fits:
                     continue
-            last[at + 1] = (size, token)
+            last[at + 1] = match  # the automaton's own pair: a place costs one pointer
         out = []
         while n:
             if last[n] is None:

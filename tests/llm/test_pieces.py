@@ -54,6 +54,7 @@ def test_caches_are_bounded(library, monkeypatch):
 def test_one_stretch_without_a_cut(library, table):
     text = "abcdefghijklmnopqrstuvwxyz" * 8000
     assert ids(table.encode(text)) == library.encode(text, add_bos=True, add_eos=True)
+    assert max(map(len, table.stretches)) <= pieces.LONGEST
 
 
 def test_a_space_within_a_piece_leaves_texts_whole():
