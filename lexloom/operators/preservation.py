@@ -62,7 +62,7 @@ def _example(v: Column) -> Column:
 def typed_values(rows: DataFrame, sides: dict[str, tuple[str, str, str, str]], word: str) -> DataFrame:
     """``rows`` with a struct ``has, valid, fault, said`` by each name in ``sides``: (JSON text, the same as VARIANT, path, kind).
 
-    ``said`` is what is compared: a text with its case and white space levelled, or the list of its items.  The values
+    ``said`` is what is compared: a text with its case and white space levelled, texts of examples, or the JSON of items.  The values
     are made step by step, so that none is worked out more often than once.
     """
     node, shape, text, texts = ({k: f"_{k}_{what}" for k in sides} for what in ("node", "shape", "text", "texts"))
@@ -76,13 +76,16 @@ def typed_values(rows: DataFrame, sides: dict[str, tuple[str, str, str, str]], w
         for k, (raw, _, path, _) in lists.items()
     }
     out = out.withColumns({text[k]: F.when(F.col(shape[k]) == "STRING", F.try_variant_get(node[k], "$", "string")) for k in sides if k not in lists})
-    out = out.withColumns({texts[k]: F.filter(F.transform(items[k], _example), lambda x: x != "") if sides[k][3] == "examples" else F.transform(items[k], _plain) for k in lists})
+    held = {k: f"_{k}_items" for k in lists}
+    out = out.withColumns({held[k]: items[k] for k in lists})
+    out = out.withColumns({texts[k]: F.filter(F.transform(held[k], _example), lambda x: x != "") if sides[k][3] == "examples" else F.transform(held[k], _plain) for k in lists})
     told = {k: f"_{k}_told" for k in sides}
     out = out.withColumns({told[k]: field_validity(v[3], F.col(texts[k] if k in lists else text[k]), F.col(word)) for k, v in sides.items()})
-    said = {k: F.col(texts[k]) if k in lists else F.array(norm(F.col(text[k]))) for k in sides}
+    json_of = lambda k: F.transform(held[k], lambda x: F.to_json(x))
+    said = {k: F.array(norm(F.col(text[k]))) if k not in lists else F.col(texts[k]) if v[3] == "examples" else json_of(k) for k, v in sides.items()}
     has = {k: F.exists(texts[k], lambda x: strip(x) != "") if k in lists and v[3] != "examples" else F.size(texts[k]) > 0 if k in lists else F.coalesce(strip(F.col(text[k])) != "", F.lit(False)) for k, v in sides.items()}
     out = out.withColumns({k: F.struct(has[k].alias("has"), F.col(f"{told[k]}.valid").alias("valid"), F.col(f"{told[k]}.why").alias("fault"), said[k].alias("said")) for k in sides})
-    return out.drop(*[c for d in (node, shape, text, texts, told) for c in d.values()])
+    return out.drop(*[c for d in (node, shape, text, texts, told, held) for c in d.values()])
 
 
 def preserved_fields(rows: DataFrame, seed: str, candidate: str, decisions: str, word: str, into: str = "fields") -> DataFrame:
@@ -177,3 +180,40 @@ def import_decisions(lines: DataFrame, submitted: DataFrame, line: str = "line")
     status = F.when(F.col("error").isNotNull(), F.concat(F.lit("error: "), F.col("error"))).when(F.size(F.json_object_keys("_decisions")) > 0, "ok").otherwise("missing")
     fields = F.when(known, F.col("fields"))
     return told.select("key", "error", F.when(known, status).alias("decisions_status"), "lemma", "pos", "cefr", fields.alias("fields")).withColumn("report", F.when(F.col("fields").isNotNull(), field_report(F.col("fields"))))
+
+
+def seed_features(rows: DataFrame, seed: str, word: str, pos: str, technical: list[str], separators: list[str], few: int = 5) -> DataFrame:
+    """``rows`` with all that a draw looks at in an earlier record's JSON.
+
+    ``key, pos_group, mnemonic_null, examples_contract, examples_target_all, examples_count, translations_multi,
+    relations_total, relations_poor, definition_valid, definition_len, multi_pos, technical``.  ``multi_pos`` is by the
+    parts of speech that a word has in ``rows``, blank counting as one; ``translations_multi`` looks for separators in
+    the text, of a list or an object in its JSON.  A record that is no JSON object has empty fields.
+    """
+    from ..functions.text import contains_target, pos_group
+
+    laid = rows.withColumns({"_s": F.try_parse_json(F.col(seed)), "_w": F.lower(strip(F.col(word))), "_p": F.lower(strip(F.coalesce(F.col(pos), F.lit(""))))})
+    laid = typed_values(laid, {f"_x_{f}": (seed, "_s", f"$.{f}", k) for f, k in KINDS.items()}, word)
+    text = lambda f: F.try_variant_get("_s", f"$.{f}", "variant")
+    shown = lambda f: F.coalesce(F.when(F.schema_of_variant(text(f)) == "STRING", F.try_variant_get("_s", f"$.{f}", "string")).when(F.schema_of_variant(text(f)) != "VOID", F.to_json(text(f))), F.lit(""))
+    kinds = laid.groupBy(F.col("_w").alias("_g")).agg(F.min("_p").alias("_lo"), F.max("_p").alias("_hi"))
+    said = lambda f: F.transform(F.col(f"_x_{f}.said"), lambda x: x)
+    # The items of relations are kept as JSON; a blank one is a text of white space.
+    total = sum((F.size(F.filter(said(f), lambda x: ~x.rlike(r'^"\s*"$'))) for f in ("synonyms", "antonyms", "collocations")), F.lit(0))
+    told = laid.join(kinds, F.col("_w") == F.col("_g"), "left").withColumns({"_total": total, "_texts": said("examples"), "_trans": shown("translations")})
+    return told.select(
+        *rows.columns,
+        F.concat_ws("/", "_w", "_p").alias("key"),
+        pos_group(F.col("_p")).alias("pos_group"),
+        (~F.col("_x_mnemonic.has")).alias("mnemonic_null"),
+        F.col("_x_examples.valid").alias("examples_contract"),
+        ((F.size("_texts") == 3) & F.forall("_texts", lambda x: contains_target(x, F.col(word)))).alias("examples_target_all"),
+        F.size("_texts").alias("examples_count"),
+        F.exists(F.array(*map(F.lit, separators)), lambda s: F.contains(F.col("_trans"), s)).alias("translations_multi"),
+        F.col("_total").alias("relations_total"),
+        (F.col("_total") <= few).alias("relations_poor"),
+        F.col("_x_definition_en.valid").alias("definition_valid"),
+        F.char_length(shown("definition_en")).alias("definition_len"),
+        F.coalesce(F.col("_lo") != F.col("_hi"), F.lit(False)).alias("multi_pos"),
+        F.coalesce(F.try_variant_get("_s", "$.category", "string").isin(technical), F.lit(False)).alias("technical"),
+    )

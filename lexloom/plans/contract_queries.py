@@ -218,6 +218,23 @@ def decision_classes(spark, sf):
     return told.select(F.inline("fields")).groupBy("field", "category").agg(F.count(F.lit(1)).alias("n"))
 
 
+_FEATURES_SQL = """, q AS (SELECT id, noun, pos FROM (""" + _WORDS_SQL + """)), m AS (SELECT noun FROM q GROUP BY noun HAVING count(DISTINCT pos) > 1),
+y AS (SELECT id, max(CASE WHEN field = 'mnemonic' THEN NOT oh END) AS mnemonic_null, max(CASE WHEN field = 'examples' THEN ov END) AS examples_contract, max(CASE WHEN field = 'examples' THEN len(ox) = 3 AND NOT list_contains([list_contains(TOKENS, w) for s in ox], false) END) AS examples_target_all, max(CASE WHEN field = 'examples' THEN len(ox) END)::INT AS examples_count,
+  max(CASE WHEN field = 'translations' THEN regexp_matches(CASE json_type(o) WHEN 'VARCHAR' THEN o->>'$' WHEN 'NULL' THEN '' ELSE o::VARCHAR END, '[;/,]') END) AS translations_multi, sum(len(list_filter(ox, lambda s: trim(s) <> ''))) FILTER (field IN ('synonyms', 'antonyms', 'collocations'))::INT AS relations_total,
+  max(CASE WHEN field = 'definition_en' THEN ov END) AS definition_valid, max(CASE WHEN field = 'definition_en' THEN CASE json_type(o) WHEN 'NULL' THEN 0 ELSE len(o->>'$') END END)::INT AS definition_len FROM h GROUP BY id)
+SELECT id, noun || '/' || pos AS key, CASE WHEN pos IN ('noun', 'verb', 'adj', 'adv') THEN pos ELSE 'function' END AS pos_group, mnemonic_null, examples_contract, examples_target_all, examples_count, translations_multi, relations_total, relations_total <= 5 AS relations_poor, definition_valid, definition_len, noun IN (SELECT noun FROM m) AS multi_pos, id % 3 = 0 AS technical FROM y JOIN q USING (id)"""
+
+
+@query(_DECIDED_SQL + _FEATURES_SQL.replace("TOKENS", _tokens_sql("s")))
+def seed_features(spark, sf):
+    i, w = F.col("id"), F.col("noun")
+    at = lambda k, n: F.expr(_index(k, "old", n))
+    parts = {f: F.replace(_pick(at(k, len(_OLD.get(f, _LIST_OLD))), *_OLD.get(f, _LIST_OLD)), F.lit("%"), w) for k, f in enumerate(_FIELDS)}
+    seed = _object(parts | {"category": F.when(i % 3 == 0, '"Health & Senses"').otherwise('"Work & Business"')})
+    rows = _words(spark, sf).select("id", w.alias("w"), "pos", seed.alias("seed"))
+    return preservation.seed_features(rows, "seed", "w", "pos", ["Nature & Science", "Health & Senses"], ["؛", ";", "/", "،", ","]).drop("w", "pos", "seed")
+
+
 # ---- structural flags of entries
 
 _ENTRY_SQL = rf"""WITH p AS ({_WORDS_SQL}),

@@ -235,6 +235,7 @@ def streamed_first_events(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "ts")
     drop = scratch(spark, "drops")
     e.unionByName(e.where("event_id % 5 = 0")).write.json(f"{drop}/in")  # some events arrive twice
-    arriving = drops.read_drops(spark, f"{drop}/in", "event_id long, user_id long, event_type string, value double, ts timestamp")
-    drops.land(drops.first_of_key(arriving, "event_id", "ts", "36500 days"), f"{drop}/out", f"{drop}/state").awaitTermination()
-    return spark.read.parquet(f"{drop}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"), F.round(F.sum("value"), 4).alias("total"))
+    kind = "event_id long, user_id long, event_type string, value double, ts timestamp"
+    arriving = drops.read_drops(spark, f"{drop}/in", kind, 1)
+    drops.land_first(arriving, f"{drop}/out", f"{drop}/state", "event_id", "ts").awaitTermination()
+    return drops.read_first(spark, f"{drop}/out", kind).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"), F.round(F.sum("value"), 4).alias("total"))

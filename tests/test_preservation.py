@@ -48,6 +48,8 @@ CASES = [
     ("synonyms", ["a", "b"], ["b", "a"], {}, "unjustified_change"),
     ("synonyms", "a", ["a"], {}, "preserved"),
     ("synonyms", ["a", None], ["a"], {}, "unjustified_change"),
+    ("synonyms", [5], ["5"], {}, "unjustified_change"),
+    ("antonyms", [5], [5], {}, "preserved"),
     ("collocations", [" "], ["x"], {}, "fill"),
     ("definition_en", 5, "to decline", {}, "fill"),
     ("definition_en", "to refuse", "a refuse", {}, "changed_defective"),

@@ -57,6 +57,27 @@ def test_stream_counts_each_key_once(spark, tmp_path):
     assert run() == ["a", "b", "c"]
 
 
+def test_keys_are_kept_for_good_and_a_batch_may_run_again(spark, tmp_path):
+    inbox, schema = tmp_path / "in", "k string, n int"
+    inbox.mkdir()
+    line = lambda *rows: "".join(json.dumps({"k": k, "n": n}) + "\n" for k, n in rows)
+
+    def run():
+        stream = drops.read_drops(spark, str(inbox), schema, 1)
+        drops.land_first(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "k", "n").awaitTermination(120)
+        return sorted((r.k or "", r.n) for r in drops.read_first(spark, str(tmp_path / "out"), schema).collect())
+
+    (inbox / "1.json").write_text(line(("a", 2), ("a", 1), ("b", 5), (None, 7)))
+    assert run() == [("", 7), ("a", 1), ("b", 5)]
+    (inbox / "2.json").write_text(line(("a", 0), ("c", 3), (None, 1)))
+    assert run() == [("", 7), ("a", 1), ("b", 5), ("c", 3)]
+    last = sorted((tmp_path / "cp" / "commits").glob("[0-9]*"))[-1]
+    last.unlink()  # as if the session had died after the batch was written
+    (tmp_path / "cp" / "commits" / f".{last.name}.crc").unlink(missing_ok=True)
+    assert run() == [("", 7), ("a", 1), ("b", 5), ("c", 3)]
+    assert run() == [("", 7), ("a", 1), ("b", 5), ("c", 3)]
+
+
 def test_banned_fields_are_found_at_any_depth(spark):
     df = spark.sql("select struct(1 as id, array(struct('x' as Job_Id)) as items) as body, 2 as phase, 3 as seed, map('a', struct(1 as candidate_id)) as m")
     assert contracts.banned_fields(df) == ["body.items.Job_Id", "phase", "m.candidate_id"]
