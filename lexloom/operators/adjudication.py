@@ -53,3 +53,15 @@ def pair_overlap(a: DataFrame, b: DataFrame) -> DataFrame:
 def systematic(rows: DataFrame, field: str, card: str, at_least: int = 3) -> DataFrame:
     """Fields in which at least so many regressions lie on at least so many cards."""
     return rows.groupBy(field).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(card).alias("cards")).where((F.col("n") >= at_least) & (F.col("cards") >= at_least))
+
+
+def critical_counts(ballots: DataFrame, sides: DataFrame, key: str, criticals: str, a: str) -> DataFrame:
+    """``error, side, n`` of severe errors that ballots mark (A6): ``criticals`` maps an error to ``A``, ``B``, ``both`` or nothing.
+
+    Sides are what stood there; an error of both counts for each.
+    """
+    own = sides.select(F.col(key).alias("_k"), F.col(a).alias("_a"))
+    told = ballots.select(F.col(key).alias("_b"), F.explode(criticals).alias("error", "_s")).join(own, F.col("_b") == F.col("_k"))
+    other = F.when(F.col("_a") == "candidate", "legacy").otherwise("candidate")
+    marked = F.when(F.col("_s") == "A", F.array("_a")).when(F.col("_s") == "B", F.array(other)).when(F.col("_s") == "both", F.array(F.lit("candidate"), F.lit("legacy")))
+    return told.select("error", F.explode(marked).alias("side")).groupBy("error", "side").agg(F.count(F.lit(1)).alias("n"))

@@ -168,3 +168,32 @@ def manifest_rows(items: DataFrame, key: str, field: Column, verdict: Column, va
     told = items.select(key, field.alias("_f"), promotion(field, verdict, value).alias("_a"), value.alias("_v"))
     held = told.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_f", "_a", "_v"))).alias("_x"))
     return held.select(key, F.map_from_entries(F.transform("_x", lambda x: F.struct(x["_f"], x["_a"]))).alias("actions"), F.map_from_entries(F.filter(F.transform("_x", lambda x: F.struct(x["_f"], F.when(x["_a"] == "promote", x["_v"]))), lambda x: x["_f"].isNotNull())).alias("values"))
+
+
+def manifest_records(items: DataFrame, key: str, field: Column, verdict: Column, value: Column, identities: DataFrame, provenance: DataFrame) -> DataFrame:
+    """Promotion manifest with what each record is and where its fields come from (M9), one row a key.
+
+    ``actions`` and ``values`` as in ``manifest_rows``; ``identity`` (``lemma, pos, cefr``) from ``identities``, null where
+    there is none, and ``cefr_drift`` where its level is not the ``master_cefr`` that stands beside it, in any case;
+    ``field_provenance`` by field and ``artifact_pass`` from ``provenance`` (``field, source, artifact_pass``), which a
+    record without any row lacks: its ``provenance_gap`` is true, and ``load_promotions`` leaves it out.
+    ``value_empty`` tells by field whether there is nothing to promote.  An identity that comes twice fails.
+    """
+    own = items.select(key, field.alias("_f"), value.alias("_v"))
+    empty = own.groupBy(key).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("_f", F.coalesce(F.trim("_v") == "", F.lit(True)).alias("e"))))).alias("value_empty"))
+    once = identities.groupBy(F.col(key).alias("_i")).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct("lemma", "pos", "cefr")).alias("_id"), F.first("master_cefr").alias("_level"))
+    sources = provenance.groupBy(F.col(key).alias("_p")).agg(F.map_from_entries(F.sort_array(F.collect_set(F.struct("field", "source")))).alias("field_provenance"), F.bool_and(F.coalesce("artifact_pass", F.lit(False))).alias("_pass"))
+    told = manifest_rows(items, key, field, verdict, value).join(empty, key).join(once, F.col(key) == F.col("_i"), "left").join(sources, F.col(key) == F.col("_p"), "left")
+    identity = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("identity not unique: "), F.col(key).cast("string")))).otherwise(F.col("_id"))
+    drift = F.coalesce(F.upper("_id.cefr") != F.upper("_level"), F.lit(False))
+    return told.select(key, identity.alias("identity"), F.col("_level").alias("master_cefr"), drift.alias("cefr_drift"), "actions", "values", "value_empty", F.col("_p").isNull().alias("provenance_gap"), F.coalesce("_pass", F.lit(False)).alias("artifact_pass"), "field_provenance")
+
+
+def manifest_summary(records: DataFrame) -> DataFrame:
+    """``what, name, n``: cards, provenance gaps, drifts of level, unknown identities, actions in all and by field (``field=action``)."""
+    one = lambda what, condition: F.struct(F.lit(what).alias("what"), F.lit("").alias("name"), F.count_if(condition).alias("n"))
+    totals = records.agg(F.array(one("cards", F.lit(True)), one("provenance_gap", F.col("provenance_gap")), one("cefr_drift", F.col("cefr_drift")), one("no_identity", F.col("identity").isNull())).alias("_t"))
+    acts = records.select(F.explode("actions").alias("_f", "_a"))
+    in_all = acts.groupBy(F.lit("action").alias("what"), F.col("_a").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    by_field = acts.groupBy(F.lit("field").alias("what"), F.concat_ws("=", "_f", "_a").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return totals.select(F.inline("_t")).unionByName(in_all).unionByName(by_field)

@@ -38,7 +38,7 @@ def blind_map(spark, sf):
 
 @query(_ITEMS_SQL + " SELECT printf('EV-%04d', n) AS eval_id, true AS opens, true AS whole FROM i")
 def judge_prompts(spark, sf):
-    told = packages.judge_prompts(packages.blind_package(_items(spark, sf), "id", "EV", "blind")[0], "RUBRIC")
+    told = packages.judge_prompts(packages.blind_package(_items(spark, sf), "id", "EV", "blind")[0], "RUBRIC", "JUDGE the two sides below; answer with one JSON object.")
     view = F.substring_index("prompt", "\n", -1)
     return told.select("eval_id", F.startswith("prompt", F.lit("RUBRIC\n\nJUDGE")).alias("opens"), (F.array_join(F.json_object_keys(view), ",") == "armA,armB,eval_id,lemma,pos").alias("whole"))
 
