@@ -58,9 +58,14 @@ def staging_audit(runs: DataFrame, words: DataFrame, senses: DataFrame, sounds:
     return reduce(DataFrame.unionByName, out)
 
 
-def preflight(spark: SparkSession, files: list[str], tables: dict[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame:
-    """``check, subject, ok`` (V7, S12): files exist, tables have rows and the columns they need."""
+def preflight(spark: SparkSession, files: list[str], tables: dict[str, DataFrame], columns: dict[str, list[str]], hashes: dict[str, str] | None = None) -> DataFrame:
+    """``check, subject, ok`` (V7, S12): files exist and have the SHA-256 that is promised, tables have rows and the columns they need.
+
+    A file is hashed as a stream, of any size; one that does not exist has no hash.
+    """
     told = []
+    for f, promised in (hashes or {}).items():
+        told.append(("hash", f, file_sha256(spark, f) == promised))
     for f in files:
         path = spark._jvm.org.apache.hadoop.fs.Path(f)
         told.append(("file", f, bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path))))
@@ -70,6 +75,19 @@ def preflight(spark: SparkSession, files: list[str], tables: dict[str, DataFrame
     return spark.createDataFrame(told, "check string, subject string, ok boolean")
 
 
+def file_sha256(spark: SparkSession, path: str) -> str | None:
+    """The SHA-256 of one file, null if there is none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
+
+
 def discovered(tables: dict[str, DataFrame]) -> list[tuple[str, str, str, int]]:
     """``table, column, type, place`` of every column."""
     return [(name, f.name, f.dataType.simpleString(), i + 1) for name, t in sorted(tables.items()) for i, f in enumerate(t.schema.fields)]

@@ -161,6 +161,11 @@ def markdown_cards(spark, sf):
     return table(spark, sf, "nation").select(files.card(F.col("n_name"), {"key": F.col("n_nationkey"), "region": F.when(F.col("n_regionkey") > 1, F.col("n_regionkey"))}).alias("card"), "n_nationkey")
 
 
+@query("""SELECT doc_id, '<section><h2>' || coalesce(replace(replace(replace(replace(source, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '') || '</h2><ul>' || coalesce('<li><b>language</b> ' || lang || '</li>', '') || coalesce('<li><b>text</b> ' || nullif(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '') || '</li>', '') || '</ul></section>' AS card FROM documents""")
+def html_cards(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", files.html_card(F.col("source"), {"language": F.col("lang"), "text": F.col("text")}).alias("card"))
+
+
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_name END AS c_name, CASE WHEN c_custkey % 4 = 0 THEN 'moved' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
 def updated_columns(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")

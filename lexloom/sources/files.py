@@ -107,6 +107,26 @@ def card(title: Column, lines: dict[str, Column]) -> Column:
     return F.concat(F.lit("## "), title, F.lit("\n"), F.array_join(said, "\n"))
 
 
+def html_card(title: Column, lines: dict[str, Column]) -> Column:
+    """A card as HTML (K9): a section with a heading and a list of what says something; texts cannot break out of it."""
+    safe = lambda x: F.replace(F.replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
+    said = F.filter(F.array(*[F.when(F.coalesce(x.cast("string"), F.lit("")) != "", F.concat(F.lit(f"<li><b>{name}</b> "), safe(x.cast("string")), F.lit("</li>"))) for name, x in lines.items()]), lambda x: x.isNotNull())
+    return F.concat(F.lit("<section><h2>"), safe(F.coalesce(title, F.lit(""))), F.lit("</h2><ul>"), F.array_join(said, ""), F.lit("</ul></section>"))
+
+
+def read_template(spark: SparkSession, path: str) -> tuple[str, str]:
+    """A template's text and its SHA-256 (S13), from any file system; a template is a small file."""
+    import hashlib
+
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        raw = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+    return raw.decode(), hashlib.sha256(raw).hexdigest()
+
+
 def remapped(value: Column, moves: dict[str, str], known: list[str], default: str) -> Column:
     """A value under its new name; a known one stays, any other becomes the default (K4)."""
     table = F.create_map(*[F.lit(x) for kv in moves.items() for x in kv])

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexloom.operators import audits, lookups, protocol
+from lexloom.sources import files
 
 
 @pytest.fixture
@@ -70,6 +71,11 @@ def test_quarantine_and_gates(spark, tmp_path):
     (tmp_path / "x").write_text("hello")
     told = audits.preflight(spark, [f"file://{tmp_path}/x", f"file://{tmp_path}/y"], {}, {}).collect()
     assert [r.ok for r in told] == [True, False]
+    import hashlib
+
+    promised = {f"file://{tmp_path}/x": hashlib.sha256(b"hello").hexdigest(), f"file://{tmp_path}/y": "0"}
+    assert [r.ok for r in audits.preflight(spark, [], {}, {}, promised).collect()] == [True, False]
+    assert files.read_template(spark, f"file://{tmp_path}/x") == ("hello", hashlib.sha256(b"hello").hexdigest())
     gate = audits.golden_gate(df, "0", 4).first()
     assert gate.n_rows == 4 and not gate.ok and audits.golden_gate(df, gate.sha256, 4).first().ok
     assert audits.discovered({"t": df}) == [("t", "kind", "string", 1)]
@@ -85,3 +91,19 @@ def test_files_and_folders_are_hashed(spark, tmp_path):
     assert sorted(tuple(r) for r in got.collect()) == [(n, 3, hashlib.sha256((n * 3).encode()).hexdigest()) for n in "ab"]
     lines = "\n".join(f"{n}:{hashlib.sha256((n * 3).encode()).hexdigest()}" for n in "ab")
     assert lookups.folder_hash(got).first().sha256 == hashlib.sha256(lines.encode()).hexdigest()
+
+
+def test_manifests_know_where_records_come_from(spark):
+    items = spark.createDataFrame([(1, "synonyms", "candidate", "x"), (1, "mnemonic", "candidate", " "), (2, "synonyms", "legacy", None)], "id long, f string, v string, x string")
+    known = spark.createDataFrame([(1, "a", "noun", "a1", "A1")], "id long, lemma string, pos string, cefr string, master_cefr string")
+    made = spark.createDataFrame([(1, "synonyms", "llm_changed", True), (1, "mnemonic", "null", None)], "id long, field string, source string, artifact_pass boolean")
+    told = lambda k: protocol.manifest_records(items, "id", F.col("f"), F.col("v"), F.col("x"), k, made)
+    one, two = told(known).orderBy("id").collect()
+    assert (one.identity.lemma, one.cefr_drift, one.provenance_gap, one.artifact_pass, one.field_provenance) == ("a", False, False, False, {"synonyms": "llm_changed", "mnemonic": "null"})
+    assert one.value_empty == {"synonyms": False, "mnemonic": True} and one.actions == {"synonyms": "promote", "mnemonic": "keep"}
+    assert (two.identity, two.provenance_gap, two.field_provenance) == (None, True, None)
+    loaded = protocol.load_promotions(told(known), "id", {"synonyms": "syn"}).collect()
+    assert [(r.id, r.field, r.after) for r in loaded] == [(1, "syn", "x")]
+    assert {(r.what, r.name): r.n for r in protocol.manifest_summary(told(known)).collect()}["no_identity", ""] == 1
+    with pytest.raises(Exception, match="identity not unique"):
+        told(known.union(known)).collect()
