@@ -198,37 +198,51 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def _with_column(batches: Iterator[pa.RecordBatch], make, column: str, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """All but the last column of each batch, and ``make`` of the last, some megabytes at a time."""
+def _made(batches: Iterator[pa.RecordBatch], make, columns: list[str], kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """All but the last column of each batch, and what ``make`` gives of the last, some megabytes at a time."""
     for batch in batches:
-        kept, values, start, held = batch.columns[:-1], [], 0, 0
+        kept, rows, start, held = batch.columns[:-1], [], 0, 0
 
         def slab(stop: int, kept=kept, batch=batch):
-            return pa.RecordBatch.from_arrays([*[c.slice(start, stop - start) for c in kept], pa.array(values, kind)], names=[*batch.schema.names[:-1], column])
+            made = [pa.array(values, kind) for values, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([*[c.slice(start, stop - start) for c in kept], *made], names=[*batch.schema.names[:-1], *columns])
 
         for k, value in enumerate(batch.columns[-1]):
-            values.append(make(value.as_py()))
-            held += len(values[-1])
+            rows.append(make(value.as_py()))
+            held += sum(map(len, rows[-1]))
             if held >= OUT_BYTES:
                 yield slab(k + 1)
-                values, start, held = [], k + 1, 0
-        if values:
+                rows, start, held = [], k + 1, 0
+        if rows:
             yield slab(batch.num_rows)
 
 
-def encode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "ids", keep: list[str] | None = None, back_col: str | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with the ids of every whole text as binary little-endian unsigned 32-bit integers.
 
-    Ids begin with the begin id and end with the end id.  Null text is empty: those two ids alone.  Rows
-    are independent of each other, so repeated rows and ids, ties, null ids and very long texts need nothing
-    special, and nothing is shuffled; an empty table gives none.  ``ids_col`` replaces a column of that name.
+    Ids begin with the begin id and end with the end id.  With ``back_col`` they are decoded at once, in the same
+    pass.  Null text is empty: those two ids alone.  Rows are independent of each other, so repeated rows and ids, ties,
+    null ids and very long texts need nothing special, and nothing is shuffled; an empty table gives none.
+    ``ids_col`` and ``back_col`` replace columns of these names.
     """
     ship(docs.sparkSession)
-    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() != ids_col.lower()]
+    new = [ids_col] if back_col is None else [ids_col, back_col]
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in {n.lower() for n in new}]
     read = hold_name(kept, "_read")
     rows = docs.select(*kept, text_column(text_col).alias(read))
-    schema = docs.select(*kept, F.lit(b"").alias(ids_col)).schema
-    return rows.mapInArrow(lambda batches: _with_column(batches, pieces(model).encode, ids_col, pa.binary()), schema)
+    schema = docs.select(*kept, F.lit(b"").alias(ids_col), *([F.lit("").alias(back_col)] if back_col else [])).schema
+    kinds = [pa.binary(), pa.string()][: len(new)]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pieces(model)
+
+        def both(text: str) -> tuple:
+            ids = table.encode(text)
+            return (ids, table.decode(ids)) if back_col else (ids,)
+
+        return _made(batches, both, new, kinds)
+
+    return rows.mapInArrow(work, schema)
 
 
 def decode(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -238,12 +252,17 @@ def decode(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "d
     read = hold_name(kept, "_read")
     schema = rows.select(*kept, F.lit("").alias(text_col)).schema
     given = rows.select(*kept, F.coalesce(F.col(ids_col), F.lit(b"")).alias(read))
-    return given.mapInArrow(lambda batches: _with_column(batches, pieces(model).decode, text_col, pa.string()), schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pieces(model)
+        return _made(batches, lambda ids: (table.decode(ids),), [text_col], [pa.string()])
+
+    return given.mapInArrow(work, schema)
 
 
 def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256`` of every row: ids made of its text, and the text made of those ids."""
-    both = decode(encode(docs, model, text_col, "_ids", keep=[id_col]), model, "_ids", "_back")
+    both = encode(docs, model, text_col, "_ids", keep=[id_col], back_col="_back")
     return both.select(
         id_col,
         F.shiftright(F.octet_length("_ids").cast("long"), 2).alias("n_tokens"),

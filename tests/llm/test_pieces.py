@@ -78,4 +78,7 @@ def test_columns_stay_and_names_may_clash(spark, messy, monkeypatch):
     both = pieces.decode(pieces.encode(clash, MODEL), MODEL)
     assert both.columns == [c for c in clash.columns if c not in ("IDS", "decoded")] + ["ids", "decoded"]
     assert both.where("coalesce(text, '') <> decoded").count() == 0
+    at_once = pieces.encode(clash, MODEL, back_col="Decoded")
+    assert at_once.columns == [*[c for c in clash.columns if c not in ("IDS", "decoded")], "ids", "Decoded"]
+    assert at_once.select("doc_id", "ids", "Decoded").exceptAll(both.select("doc_id", "ids", "decoded")).count() == 0
     assert pieces.decode(spark.createDataFrame([(1, None)], "a int, ids binary"), MODEL).first().decoded == ""
