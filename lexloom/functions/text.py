@@ -118,14 +118,23 @@ def phrase_variants(phrase: Column, forms_of) -> Column:
     return F.array_distinct(F.flatten(F.transform(words, lambda w, i: F.transform(forms_of(w), lambda f: put(i, f)))))
 
 
-def target_present(text: Column, lemma: Column, pos: Column) -> Column:
+def target_forms(lemma: Column, pos: Column) -> tuple[Column, Column, Column]:
+    """What ``holds_target`` looks for: the word, its forms, and the variants of a phrase (null for a single word)."""
+    word = norm_phrase(lemma)
+    return word, lemma_closure(word, pos), F.when(word.contains(" "), phrase_variants(word, lambda w: lemma_closure(w, pos)))
+
+
+def holds_target(text: Column, word: Column, forms: Column, variants: Column) -> Column:
     """Some form of the word is a token of the text; of a phrase, it or it with one word inflected is part of it."""
-    word, said = norm_phrase(lemma), norm_phrase(text)
-    variants = phrase_variants(word, lambda w: lemma_closure(w, pos))
-    found = F.when(word.contains(" "), F.exists(variants, lambda v: F.contains(said, v))).otherwise(F.arrays_overlap(tokens(text), lemma_closure(word, pos)))
+    found = F.when(word.contains(" "), F.exists(variants, lambda v: F.contains(norm_phrase(text), v))).otherwise(F.arrays_overlap(tokens(text), forms))
     return F.coalesce((word != "") & found, F.lit(False))
 
 
+def target_present(text: Column, lemma: Column, pos: Column) -> Column:
+    """``holds_target`` of one text; where many texts share a word, find its forms once."""
+    return holds_target(text, *target_forms(lemma, pos))
+
+
 def strip_artifacts(x: Column) -> Column:
     """Without links, bracketed citations and daggers."""
     bare = F.regexp_replace(F.regexp_replace(x, r"(?U)https?://\S+", ""), r"【[^】]*】", "")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import ARABIC, cell_hash, is_circular, is_null_like, norm_phrase, strip, target_present
+from ..functions.text import ARABIC, cell_hash, holds_target, is_circular, is_null_like, norm_phrase, strip, target_forms
 
 # The share of flagged fields from which on a run is halted, and the field that has none.
 QUOTAS = {"examples": 0.35, "relations_synonyms": 0.3, "relations_antonyms": 0.3, "relations_collocations": 0.3, "translations": 0.3, "explanation_ar": 0.2, "definition_en": 0.2, "mnemonic": 0.2}
@@ -34,15 +34,15 @@ def bands(x: Column) -> Column:
     return F.when(F.size(texts) > 0, texts)
 
 
-def triage_examples(items: Column, word: Column, pos: Column) -> Column:
-    """``items``: what ``bands`` gives."""
+def triage_examples(items: Column, *target: Column) -> Column:
+    """``items``: what ``bands`` gives; ``target``: what ``target_forms`` does."""
     plain = F.transform(items, norm_phrase)
     unended = F.exists(items, lambda s: ~strip(s).rlike("[.!?؟۔]$"))
     uncased = F.exists(items, lambda s: strip(s).rlike(r"^\p{Ll}"))
     return (
         F.when(items.isNull(), "EX_MALFORMED_JSON")
         .when(F.exists(items, _blank), "EX_EMPTY_BAND")
-        .when(F.exists(items, lambda s: ~target_present(s, word, pos)), "EX_NO_LEMMA_TOKEN")
+        .when(F.exists(items, lambda s: ~holds_target(s, *target)), "EX_NO_LEMMA_TOKEN")
         .when(F.size(F.array_distinct(plain)) < F.size(plain), "EX_DUPLICATE_BANDS")
         .when(unended & uncased, "EX_SOFT_ESCALATION")
     )
@@ -100,11 +100,11 @@ def _soft(band: Column, signal: str, count: Column | None = None) -> Column:
     return F.struct(band.cast("string").alias("band"), F.lit(signal).alias("signal"), (F.lit(None) if count is None else count).cast("int").alias("count"))
 
 
-def _named_bands(x: Column, items: Column, word: Column, pos: Column) -> Column:
+def _named_bands(x: Column, items: Column, *target: Column) -> Column:
     """Of each sentence of ``bands``: its name, whether it is empty, lacks the word, does not end or begin as it should."""
     kind = F.schema_of_variant(F.try_parse_json(x))
     names = F.when(kind.startswith("OBJECT"), F.map_keys(F.from_json(x, "map<string,variant>"))).otherwise(F.transform(items, lambda s, i: F.concat(F.lit("arr"), i.cast("string"))))
-    told = lambda s, n: F.struct(n.alias("band"), _blank(s).alias("empty"), (~_blank(s) & ~target_present(s, word, pos)).alias("lacks"), (~_blank(s) & ~strip(s).rlike("[.!?؟۔]$")).alias("unended"), (~_blank(s) & strip(s).rlike(r"^\p{Ll}")).alias("uncased"))
+    told = lambda s, n: F.struct(n.alias("band"), _blank(s).alias("empty"), (~_blank(s) & ~holds_target(s, *target)).alias("lacks"), (~_blank(s) & ~strip(s).rlike("[.!?؟۔]$")).alias("unended"), (~_blank(s) & strip(s).rlike(r"^\p{Ll}")).alias("uncased"))
     return F.zip_with(items, names, told)
 
 
@@ -174,16 +174,17 @@ def triage(cards: DataFrame, key: str, word: str, pos: str, cells: bool = False,
     defective, if both are sound by themselves.  Senses always go to a reviewer.
     """
     w, c = F.col(word), F.col
-    told = cards.select("*", *[triage_relation(c(f), w).alias(f"_{f}") for f in ("synonyms", "antonyms", "collocations")], bands(c("examples")).alias("_bands"))
+    told = cards.select("*", *[triage_relation(c(f), w).alias(f"_{f}") for f in ("synonyms", "antonyms", "collocations")], bands(c("examples")).alias("_bands"), *[x.alias(n) for n, x in zip(("_word", "_forms", "_variants"), target_forms(w, c(pos)), strict=True)])
+    target = [c("_word"), c("_forms"), c("_variants")]  # made once a card, not once a sentence
     if evidence:
-        told = told.withColumn("_marks", _named_bands(c("examples"), c("_bands"), w, c(pos)))
+        told = told.withColumn("_marks", _named_bands(c("examples"), c("_bands"), *target))
         says = field_evidence(told, word, pos)
     both = F.arrays_overlap("_synonyms.items", "_antonyms.items")
     overlap = lambda f: F.coalesce(c(f"_{f}.code"), F.when(c(f).isNotNull() & F.coalesce(both, F.lit(False)), "REL_SYN_ANT_OVERLAP"))
     fields = {
         "definition_en": ("definition", triage_definition(c("definition"), w)),
         "explanation_ar": ("explanation", triage_explanation(c("explanation"))),
-        "examples": ("examples", triage_examples(c("_bands"), w, c(pos))),
+        "examples": ("examples", triage_examples(c("_bands"), *target)),
         "translations": ("translations", triage_translations(c("translations"))),
         "mnemonic": ("mnemonic", triage_mnemonic(c("mnemonic"))),
         "relations_synonyms": ("synonyms", overlap("synonyms")),
