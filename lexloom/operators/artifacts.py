@@ -35,8 +35,8 @@ def bad_tags(tags: Column) -> Column:
     return F.when(tags.isNull(), "NO_TAGS").when(~F.size(tags).between(LEAST_TAGS, MOST_TAGS), "TAG_COUNT").when(F.exists(tags, lambda t: ~F.coalesce(t.startswith("#"), F.lit(False))), "TAG_FORMAT")
 
 
-def sense_issues(s: Column, registers: list[str] = REGISTERS) -> Column:
-    """Codes of what a sense lacks; a missing closed value is an error here."""
+def sense_issues(s: Column, registers: list[str] = REGISTERS, translit: bool = False) -> Column:
+    """Codes of what a sense lacks; a missing closed value is an error here.  ``translit``: senses have that field, which must be null."""
     out = _codes(
         {
             "SENSE_NO": s["sense_no"].isNull() | (s["sense_no"] == 0),
@@ -46,6 +46,7 @@ def sense_issues(s: Column, registers: list[str] = REGISTERS) -> Column:
             "REGISTER": ~F.coalesce(s["register"].isin(registers), F.lit(False)),
             "PRIMARY_SENSE": ~F.coalesce(s["primary_sense"].isin(PRIMARY_SENSES), F.lit(False)),
             "BRACKETS": _brackets(s["mnemonic_ar"]),
+            **({"TRANSLIT": s["translit"].isNotNull()} if translit else {}),
         }
     )
     tags = bad_tags(s["semantic_tags"])
@@ -61,7 +62,8 @@ def response_issues(words: DataFrame, expected: DataFrame, key: str = "id") -> D
     sent = expected.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_{c}") for c in ("lemma", "pos", "cefr_level")])
     both = words.join(sent, F.col(key) == F.col("_k"), "full_outer")
     here, known, c = F.col(key).isNotNull(), F.col("_k").isNotNull(), F.col
-    per_sense = F.transform("senses", lambda s, i: F.transform(sense_issues(s), lambda code: F.concat(F.lit("sense "), (i + 1).cast("string"), F.lit(": "), code)))
+    in_senses = "translit" in words.schema["senses"].dataType.elementType.names
+    per_sense = F.transform("senses", lambda s, i: F.transform(sense_issues(s, translit=in_senses), lambda code: F.concat(F.lit("sense "), (i + 1).cast("string"), F.lit(": "), code)))
     primary = F.size(F.filter("senses", lambda s: F.coalesce(s["is_primary"], F.lit(False))))
     some = F.size("senses") > 0
     own = _codes(

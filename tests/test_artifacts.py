@@ -31,6 +31,12 @@ def test_a_batch_answer(spark, change, code):
     assert issues(spark, WORD | change) == ([(1, code)] if code else [])
 
 
+def test_senses_may_hold_no_transliteration(spark):
+    words = spark.createDataFrame([json.loads(json.dumps(WORD | {"senses": [SENSE, SENSE | {"is_primary": False, "translit": "x"}]}))], WORDS.replace("is_primary:boolean", "is_primary:boolean,translit:string"))
+    sent = spark.createDataFrame([(1, "sun", "noun", "A1")], "id long, lemma string, pos string, cefr_level string")
+    assert [r.code for r in artifacts.response_issues(words, sent).collect()] == ["sense 2: TRANSLIT"]
+
+
 def test_words_that_were_not_sent_or_did_not_come_back(spark):
     assert issues(spark, WORD | {"id": 2}) == [(1, "MISSING_ID"), (2, "EXTRA_ID")]
     df = spark.createDataFrame([(1,), (2,)], "id int")
