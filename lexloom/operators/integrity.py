@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.base import cut
+from ..plans.base import cut, stored
 from . import commits
 from .ranking import global_position
 
@@ -57,7 +57,7 @@ def doomed_keys(tables: dict[str, DataFrame], keys: dict[str, str], references:
 
     Tables come parents first, each found by semi-joins with the keys already lost above it.  Where references lead
     back, within a table or around several, rounds follow only what the last one added, until nothing is added; each
-    round is checkpointed.  Keys that no row has are ignored.
+    round is written to the shared folder, so that plans stay as small as the first.  Keys that no row has are ignored.
     """
     found: dict[str, DataFrame] = {}
     for group in waves(list(tables), references):
@@ -75,17 +75,17 @@ def doomed_keys(tables: dict[str, DataFrame], keys: dict[str, str], references:
             empty = tables[t].select(own.alias("_id")).where("false")
             start[t] = reduce(DataFrame.union, [_ids(p, keys[t]) for p in parts], empty).distinct()
         if not inner:
-            found |= {t: cut(start[t]) for t in group}
+            found |= {t: stored(start[t]) for t in group}
             continue
-        seen = {t: cut(start[t]) for t in group}
+        seen = {t: stored(start[t]) for t in group}
         fresh = dict(seen)
         while any(not f.isEmpty() for f in fresh.values()):
             after = {}
             for t in group:
                 parts = [_ids(tables[t].join(_referred(tables[r.parent], keys[r.parent], fresh[r.parent], r.key), F.col(r.column) == F.col("_ref"), "left_semi"), keys[t]) for r in inner if r.child == t]
                 reached = reduce(DataFrame.union, parts, seen[t].where("false")).distinct()
-                after[t] = cut(reached.join(seen[t], "_id", "left_anti"))
-            seen = {t: cut(seen[t].union(after[t])) for t in group}
+                after[t] = stored(reached.join(seen[t], "_id", "left_anti"))
+            seen = {t: stored(seen[t].union(after[t])) for t in group}
             fresh = after
         found |= seen
     return found

@@ -235,3 +235,16 @@ def test_positions_in_scopes(spark):
         own = sorted((x, i) for t, i, x in rows if t == s)
         assert [got[s, i] for _, i in own] == [(k, len(own)) for k in range(1, len(own) + 1)]
     assert position_in_scope(df.where("false"), ["s"], [F.col("x")], "p").count() == 0
+
+
+def test_rounds_over_a_computed_reference_leave_plans_as_small_as_the_first(spark, monkeypatch):
+    sizes, plain = [], integrity._ids
+    monkeypatch.setattr(integrity, "_ids", lambda rows, key: sizes.append(len(rows._jdf.queryExecution().optimizedPlan().toString())) or plain(rows, key))
+    p = spark.range(1, 400).select("id", F.expr("CASE WHEN id % 2 = 1 THEN id DIV 3 END").alias("up"))
+    told = integrity.delete({"p": p}, {"p": "id"}, [Reference("p", "up", "p", "id")], {"p": p.where("id = 1")})
+    gone = {1}
+    for i in range(2, 400):
+        if i % 2 == 1 and i // 3 in gone:
+            gone.add(i)
+    assert {r["_id"] for r in told.gone["p"].collect()} == gone
+    assert len(sizes) > 5 and max(sizes[2:]) < 1.2 * sizes[1]
