@@ -142,3 +142,33 @@ def test_evidence_is_folded_in_order(spark):
     with pytest.raises(Exception, match="not exactly one record: 1 rows, first 4"):
         fold(rows.union(spark.createDataFrame([(4, "exact", "zz", "n", "t", "s")], rows.schema)))[0].collect()
     assert fold(rows.where("false"))[0].count() == 0
+
+
+def most_rows(df):
+    """The most rows that any step of the plan gave when ``df`` was last collected."""
+    most, left = 0, [df._jdf.queryExecution().executedPlan()]
+    while left:
+        step = left.pop()
+        kind = step.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            left.append(step.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            left.append(step.plan())
+        else:
+            left += [step.children().apply(i) for i in range(step.children().size())]
+        if step.metrics().contains("numOutputRows"):
+            most = max(most, step.metrics().apply("numOutputRows").value())
+    return most
+
+
+def test_evidence_never_pairs_the_rows_and_records_of_one_word(spark):
+    master = spark.range(2000).select("id", F.lit("w").alias("w")).union(spark.createDataFrame([(0, "v")], "id long, w string"))
+    rows = spark.range(500).select(F.col("id").alias("rid"), F.when(F.col("id") % 5 == 0, "x").when(F.col("id") == 1, "v").otherwise("w").alias("w"), (F.col("id") % 7 + 1).alias("id"), F.when(F.col("id") % 2 == 0, "exact").otherwise("loose").alias("tier"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("t"), F.col("id") % 4)).alias("topic"), F.lit("s").alias("src"))
+    told, lost = evidence.derived_evidence(rows, master, "id", "tier", {"exact": ["id"], "loose": ["w"]}, ["exact"], "rid", "topic", "src")
+    missing, got = lost.collect(), {r.id: r for r in told.collect()}
+    assert sorted(r.rid for r in missing) == [i for i in range(500) if i % 2 and i % 5 == 0]
+    for k in (0, 3, 1999):
+        own = [i for i in range(500) if (i % 2 == 0 and i % 7 + 1 == k) or (i % 2 and i % 5 and (i > 1 or k == 0))]
+        topics = list(dict.fromkeys(f"t{i % 4}" for i in own if i % 3))
+        assert got[k].row_ids == own and got[k].topics == topics and got[k].n == len(got[k].sources) == len(own)
+    assert len(got) == 2000 and max(most_rows(lost), most_rows(told)) < 20_000
