@@ -1,9 +1,10 @@
-"""Near-copy groups at a given Jaccard similarity of shingle sets: min-hash cells, then exact comparison.
+"""Near-copy groups at a given Jaccard similarity of shingle sets: SimHash and min-hash cells, then exact comparison.
 
-Two sets agree in a min-hash with a probability of just their similarity, whatever their size, which bits
-of a SimHash do only for large sets.  So documents meet in cells of a few min-hashes each.  What meets
-and looks alike is gathered, loosely, into components, and within each of these the whole shingle sets
-are compared: no link rests on an estimate.
+Documents meet by the SimHash operator (``simhash``: fingerprints, segment popcounts, the grid under Manhattan
+distance).  Its 3 bits hold what differs in a few words of a long text; at a similarity of 0.8 fingerprints are some 10
+bits apart.  So documents also meet in cells of a few min-hashes each: two sets agree in a min-hash with a probability of
+just their similarity, whatever their size.  What meets either way is gathered, loosely, into components, and within each
+of these the whole shingle sets are compared: no link rests on an estimate.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .shared import staged, text_column
 from .shipping import ship
-from .simhash import _then_none, shingle_hashes, slices
+from .simhash import _then_none, near_groups, shingle_hashes, slices
 
 #: Cells a document lies in, and min-hashes a cell.  A pair at a similarity of 0.8 shares none with a
 #: probability of (1 - 0.8 ** 4) ** 32, some 5 in 100 million.
@@ -84,6 +85,12 @@ def _cells(rows: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(spread, "cell long, node long, held binary").repartition("cell").sortWithinPartitions("cell", "node")
 
 
+def _by_simhash(rows: DataFrame) -> DataFrame:
+    """``a, b``: each document and the first of its SimHash group; texts without words are in none."""
+    worded = rows.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return near_groups(worded, "node", "text").select(F.col("node").alias("a"), F.col("component_id").alias("b")).where("a <> b")
+
+
 def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray]]:
     """Nodes, what they hold and what is known to connect them (a label each), cell by cell, where a cell holds more than one.
 
@@ -171,7 +178,7 @@ def _spread_join(rows: DataFrame, key: str, by: str, figures: DataFrame, figures
 def near_links(rows: DataFrame, words: int, similarity: float, chunk: int = CHUNK) -> DataFrame:
     """``a, b``: links that connect all near copies of ``rows`` (``node``, ``text``), each of them exact.
 
-    Documents that share a cell and whose sketches agree well enough are first connected loosely.  Within
+    Documents of one SimHash group, and those that share a cell and whose sketches agree well enough, are first connected loosely.  Within
     each loose component the whole shingle sets are compared: in one group if it has up to ``chunk``
     documents.  A larger one is dealt into groups of about so many, each with the component's first document
     beside them.  What is not connected to that one then is compared with all others of the component, group
@@ -188,7 +195,8 @@ def near_links(rows: DataFrame, words: int, similarity: float, chunk: int = CHUN
     def compared(groups: DataFrame) -> DataFrame:
         return _links(groups.repartition("cell").sortWithinPartitions("cell", "node"), _similar, similarity)
 
-    loose = staged(components(_links(_cells(rows, words), _agreeing, similarity).distinct()), "near-loose")
+    met = _by_simhash(rows).unionByName(_links(_cells(rows, words), _agreeing, similarity))
+    loose = staged(components(met.distinct()), "near-loose")
     sizes = loose.groupBy(F.col("root").alias("_r")).agg(F.count(F.lit(1)).alias("_n"))
     sized = _spread_join(loose, "root", "node", sizes, "_r").select(F.col("root"), F.col("node").alias("near"), F.col("_n").alias("n"))
     # What is joined here grows with the corpus: dealt out at every size, never broadcast.
@@ -222,7 +230,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Documents are near copies if their sets of ``words``-word shingles (words lower-cased, A-Z) have a Jaccard
     similarity of ``similarity`` or more, computed on the whole sets; groups are what such pairs connect.
-    A pair that shares no cell is missed, at a similarity of 0.8 with a probability of 5 in 100 million.  A text of fewer words is one shingle; null and wordless texts have none and always stay.
+    A pair that is in no SimHash group and shares no cell is missed, at a similarity of 0.8 with a probability of 5 in 100 million.  A text of fewer words is one shingle; null and wordless texts have none and always stay.
     Rows that repeat an id but not its text are told apart; a null id is the largest.
     """
     ship(docs.sparkSession)

@@ -1,6 +1,6 @@
 import random
 
-from lexloom.llm import near_copies
+from lexloom.llm import near_copies, simhash
 from lexloom.llm.components import components
 
 
@@ -78,3 +78,18 @@ def test_large_loose_components_are_split_without_losing_a_link(spark):
     for chunk in (16, 1000):
         got = {r.node: r.root for r in components(near_copies.near_links(rows, 5, 0.8, chunk)).collect()}
         assert [got.get(i, i) for i in range(len(texts))] == root
+
+
+def test_simhash_brings_near_copies_together_by_itself(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = {}
+    for i in range(0, 40, 2):
+        base = [str(rng.randint(0, 10**6)) for _ in range(2000)]
+        texts |= {i: " ".join(base), i + 1: " ".join([*base[:900], "changed", *base[901:]])}
+    texts |= {100: "a b c " * 3000, 101: "a b c " * 3000 + " ".join(str(rng.random()) for _ in range(20)), 200: " ", 201: "\t", 202: None}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    monkeypatch.setattr(near_copies, "_cells", lambda rows, words: spark.createDataFrame([], "cell long, node long, held binary"))
+    got = {r.doc_id for r in near_copies.drop_near_copies(df).collect()}
+    prints = simhash.simhash([simhash.shingle_hashes(texts[i], 3) for i in range(40)])
+    gone = {i for i in range(1, 40, 2) if int(prints[i] ^ prints[i - 1]).bit_count() <= 3}
+    assert len(gone) > 12 and got == {*range(40), 100, 101, 200, 201, 202} - gone  # 101 has the fingerprint of 100, but not its shingles
