@@ -61,7 +61,8 @@ def staging_audit(runs: DataFrame, words: DataFrame, senses: DataFrame, sounds:
 def preflight(spark: SparkSession, files: list[str], tables: dict[str, DataFrame], columns: dict[str, list[str]], hashes: dict[str, str] | None = None) -> DataFrame:
     """``check, subject, ok`` (V7, S12): files exist and have the SHA-256 that is promised, tables have rows and the columns they need.
 
-    A file is hashed as a stream, of any size; one that does not exist has no hash.
+    A file is hashed as a stream, of any size; one that does not exist has no hash.  Tables are counted as a whole, with the
+    columns they need, so that one which breaks off or cannot be read fails here and not in the run.
     """
     told = []
     for f, promised in (hashes or {}).items():
@@ -70,7 +71,8 @@ def preflight(spark: SparkSession, files: list[str], tables: dict[str, DataFrame
         path = spark._jvm.org.apache.hadoop.fs.Path(f)
         told.append(("file", f, bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path))))
     for name, table in tables.items():
-        told.append(("rows", name, bool(table.limit(1).count())))
+        held = [F.count(F.col(f"`{c}`")) for c in columns.get(name, []) if c in table.columns]
+        told.append(("rows", name, table.agg(F.count(F.lit(1)), *held).first()[0] > 0))
         told += [("column", f"{name}.{c}", c in table.columns) for c in columns.get(name, [])]
     return spark.createDataFrame(told, "check string, subject string, ok boolean")
 

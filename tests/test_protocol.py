@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +109,21 @@ def test_manifests_know_where_records_come_from(spark):
     assert {(r.what, r.name): r.n for r in protocol.manifest_summary(told(known)).collect()}["no_identity", ""] == 1
     with pytest.raises(Exception, match="identity not unique"):
         told(known.union(known)).collect()
+
+
+def test_preflight_reads_the_columns_it_promises(spark, tmp_path):
+    import glob
+
+    path = f"{tmp_path}/t"
+    spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")).coalesce(1).write.parquet(path)
+    t = spark.read.parquet(path)
+    need = {"t": ["text", "none"], "empty": ["id"]}
+    assert [tuple(r) for r in audits.preflight(spark, [], {"t": t, "empty": t.where("id < 0")}, need).collect()] == [("rows", "t", True), ("column", "t.text", True), ("column", "t.none", False), ("rows", "empty", False), ("column", "empty.id", True)]
+    (file,) = glob.glob(f"{path}/*.parquet")
+    with open(file, "r+b") as f:  # whole at both ends
+        f.seek(400_000)
+        f.write(bytes(300_000))
+    for crc in glob.glob(f"{path}/.*.crc"):
+        os.remove(crc)
+    with pytest.raises(Exception, match="(?i)parquet|read"):
+        audits.preflight(spark, [], {"t": spark.read.parquet(path)}, {"t": ["text"]})
