@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexloom.operators import commits, evidence, imports, runs
+from lexloom.plans import run_queries
 
 
 @pytest.fixture
@@ -172,3 +173,60 @@ def test_evidence_never_pairs_the_rows_and_records_of_one_word(spark):
         topics = list(dict.fromkeys(f"t{i % 4}" for i in own if i % 3))
         assert got[k].row_ids == own and got[k].topics == topics and got[k].n == len(got[k].sources) == len(own)
     assert len(got) == 2000 and max(most_rows(lost), most_rows(told)) < 20_000
+
+
+def moved(df):
+    """The bytes that the exchanges of the plan moved when ``df`` was last collected."""
+    total, left = 0, [df._jdf.queryExecution().executedPlan()]
+    while left:
+        step = left.pop()
+        kind = step.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            left.append(step.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            left.append(step.plan())
+        else:
+            left += [step.children().apply(i) for i in range(step.children().size())]
+        if kind == "ShuffleExchangeExec":
+            total += step.metrics().apply("dataSize").value()
+    return total
+
+
+def test_membership_moves_the_rows_of_a_word_as_text(spark, tmp_path):
+    names = {"p_type": F.lit("SMALL"), "p_size": F.lit(1), "p_retailprice": F.lit(1.0)}
+    spark.range(300).select(F.col("id").alias("p_partkey"), F.lit("blue ring").alias("p_name"), *[v.alias(k) for k, v in names.items()]).write.parquet(f"{tmp_path}/part.parquet")
+    n = 4000  # rows of the word, and 300 of the records
+    key = F.when(F.col("id") < n, F.col("id") * 5 + 1).otherwise((F.col("id") - n) * 5 + 2)
+    spark.range(n + 300).select(key.alias("o_orderkey"), (F.col("id") % 300).alias("o_custkey"), F.lit("1-URGENT").alias("o_orderpriority"), F.lit("F").alias("o_orderstatus")).write.parquet(f"{tmp_path}/orders.parquet")
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        told = run_queries.derived_membership(spark, str(tmp_path))
+        got = {r.id: r for r in told.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    for k in (0, 1, 299):
+        own = sorted([i * 5 + 1 for i in range(n) if (i * 5 + 1) % 4] + [i * 5 + 2 for i in range(300) if (n + i) % 300 == k])
+        assert got[k].row_ids == ",".join(map(str, own)) and got[k].n == len(own)
+        assert got[k].tiers == ",".join("loose" if i % 5 == 1 else "exact" for i in own) and got[k].sources == ",".join("F" for i in own if i % 3)
+    assert len(got) == 300 and moved(told) < 400 * n
+
+
+@pytest.mark.parametrize("kept", ["true", "tier = 'loose'", "tier = 'exact'", "false"])
+def test_texts_of_evidence_say_what_its_lists_say(spark, kept):
+    master = spark.createDataFrame([(i, None if i == 9 else f"w{i % 3}") for i in range(12)] + [(0, "w1"), (0, "w2"), (1, "w1"), (11, "zz"), (14, "none")], "id long, w string")
+    made = [(r // 2 if r % 11 == 0 else r, None if r % 13 == 0 else f"w{r % 4}", r % 8 + 2, ["exact", "loose", "off"][r % 3 if r % 5 else 1], None if r % 7 == 0 else ["a", " ", "bé,c", "d"][r % 4], [None, "", "é", "xx"][r % 4]) for r in range(120)]
+    rows = spark.createDataFrame(made + [(None, "w1", 3, "exact", "n", "s"), (None, "w2", 3, "loose", "m", "s")], "rid long, w string, id long, tier string, topic string, src string").where(kept)
+    args = (master, "id", "tier", {"exact": ["id"], "loose": ["w"]}, ["exact"], "rid", "topic", "src")
+    split = lambda text: text.split("|") if text else []
+    # Rows of one rid stand in any order, in all lists alike.
+    want = {r.id: (r.n, [str(x) for x in r.row_ids if x is not None], r.topics, sorted(r.tiers), sorted(r.sources)) for r in evidence.derived_evidence(rows, *args)[0].collect()}
+    got = {r.id: (r.n, split(r.row_ids), split(r.topics), sorted(split(r.tiers)), sorted(split(r.sources))) for r in evidence.derived_texts(rows, *args, sep="|").collect()}
+    assert got == want and (kept == "false") == (not got)
+
+
+def test_texts_of_evidence_need_one_record_for_exact_rows(spark):
+    master = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b")], "id long, w string")
+    rows = spark.createDataFrame([(7, 1, "a", "exact", "t", "s"), (4, 2, "a", "exact", "t", "s"), (5, 9, "a", "exact", "t", "s"), (6, 1, "a", "loose", "t", "s")], "rid long, id long, w string, tier string, topic string, src string")
+    with pytest.raises(Exception, match="not exactly one record: 2 rows, first 4"):
+        evidence.derived_texts(rows, master, "id", "tier", {"exact": ["id"], "loose": ["w"]}, ["exact"], "rid", "topic", "src").collect()
