@@ -230,3 +230,5 @@ def test_texts_of_evidence_need_one_record_for_exact_rows(spark):
     rows = spark.createDataFrame([(7, 1, "a", "exact", "t", "s"), (4, 2, "a", "exact", "t", "s"), (5, 9, "a", "exact", "t", "s"), (6, 1, "a", "loose", "t", "s")], "rid long, id long, w string, tier string, topic string, src string")
     with pytest.raises(Exception, match="not exactly one record: 2 rows, first 4"):
         evidence.derived_texts(rows, master, "id", "tier", {"exact": ["id"], "loose": ["w"]}, ["exact"], "rid", "topic", "src").collect()
+    with pytest.raises(Exception, match="not exactly one record: 1 rows, first 4"):
+        evidence.derived_texts(rows.where("rid = 4"), master, "id", "tier", {"exact": ["id"], "loose": ["w"]}, ["exact"], "rid", "topic", "src").collect()
